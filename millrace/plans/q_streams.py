@@ -213,30 +213,27 @@ def _readings(spark, sf, value="value"):
 
 @query("stream_running_count", RUNNING_COUNT_SQL)
 def stream_running_count(spark, sf):
-    schema = "user_id bigint, event_id bigint, ts timestamp, running bigint"
-    out = state.apply_state(_readings(spark, sf), ["user_id"], state.RunningCount(), schema)
-    return drain(out, "running").drop("ts")
+    out = state.apply_state(_readings(spark, sf), "user_id", state.RunningCount())
+    return drain(out, "running").drop("ts").withColumnRenamed("seq", "event_id")
 
 
 @query("stream_alert_jump", JUMP_SQL)
 def stream_alert_jump(spark, sf):
-    schema = "user_id bigint, event_id bigint, previous double, current double"
-    out = state.apply_state(_readings(spark, sf), ["user_id"], state.JumpAlert(20.0), schema)
-    return drain(out, "jumps")
+    out = state.apply_state(_readings(spark, sf), "user_id", state.JumpAlert(20.0))
+    return drain(out, "jumps").withColumnRenamed("seq", "event_id")
 
 
 @query("stream_rate_blacklist", BLACKLIST_SQL)
 def stream_rate_blacklist(spark, sf):
-    schema = "user_id bigint, event_id bigint, local_day string, n bigint"
-    out = state.apply_state(_readings(spark, sf), ["user_id"], state.RateBlacklist(5, 8), schema)
-    return drain(out, "blacklist")
+    out = state.apply_state(_readings(spark, sf), "user_id", state.RateBlacklist(5, 8))
+    return drain(out, "blacklist").withColumnRenamed("seq", "event_id")
 
 
 @query("stream_last_n_list", _LAST3_SQL.format(k=shared.K_SQL))
 def stream_last_n_list(spark, sf):
     """The list after the last micro-batch of each user is the longest-lived one."""
     rows = _readings(spark, sf, "cast(get_json_object(props, '$.k') as bigint)")
-    out = state.apply_state(rows, ["user_id"], state.LastN(3), "user_id bigint, last_values array<double>")
+    out = state.apply_state(rows, "user_id", state.LastN(3))
     texts = F.transform("last_values", lambda v: v.cast("bigint").cast("string"))
     fired = drain(out, "last-n")
     return fired.withColumn("last_values", F.array_join(texts, ","))
@@ -245,24 +242,21 @@ def stream_last_n_list(spark, sf):
 @query("stream_count_window_avg", COUNT_WINDOW_SQL)
 def stream_count_window_avg(spark, sf):
     rows = _readings(spark, sf, "cast(get_json_object(props, '$.k') as bigint)")
-    schema = "user_id bigint, window_no bigint, avg_value double"
-    return drain(state.apply_state(rows, ["user_id"], state.CountWindowAvg(2), schema), "count-window")
+    return drain(state.apply_state(rows, "user_id", state.CountWindowAvg(2)), "count-window")
 
 
 @query("stream_sustained_rise", SUSTAINED_SQL)
 def stream_sustained_rise(spark, sf):
     rows = _readings(spark, sf).withWatermark("ts", "0 seconds")
-    schema = "user_id bigint, alert_at timestamp"
     processor = state.SustainedRise(4 * 3600)
-    out = state.apply_state(rows, ["user_id"], processor, schema, "EventTime")
+    out = state.apply_state(rows, "user_id", processor)
     return timestamp_to_ntz(drain(out, "rise"))
 
 
 @query("stream_inactivity", INACTIVITY_SQL)
 def stream_inactivity(spark, sf):
     rows = _readings(spark, sf).withWatermark("ts", "0 seconds")
-    schema = "user_id bigint, last_ts timestamp, alert_at timestamp"
-    out = state.apply_state(rows, ["user_id"], state.Inactivity(24 * 3600), schema, "EventTime")
+    out = state.apply_state(rows, "user_id", state.Inactivity(24 * 3600))
     return timestamp_to_ntz(drain(out, "inactivity"))
 
 
@@ -284,9 +278,8 @@ def stream_asof_join(spark, sf):
         "ts",
         "value",
     ).withWatermark("ts", "0 seconds")
-    schema = "user_id bigint, event_id bigint, ts timestamp, version_ts timestamp, version_value double"
-    out = state.apply_state(sided, ["user_id"], state.AsOfJoin(), schema, "EventTime")
-    return timestamp_to_ntz(drain(out, "asof")).drop("ts")
+    out = state.apply_state(sided, "user_id", state.AsOfJoin())
+    return timestamp_to_ntz(drain(out, "asof")).drop("ts").withColumnRenamed("seq", "event_id")
 
 
 @query(

@@ -16,16 +16,17 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.session import use_rocksdb_state
 
 
-def apply_state(
-    df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str, time_mode: str = "None"
-) -> DataFrame:
+def apply_state(df: DataFrame, key: str, processor: StatefulProcessor) -> DataFrame:
+    """Rows (key, seq, ts, value) through one of the processors below; key keeps its name."""
     use_rocksdb_state(df.sparkSession)
-    return df.groupBy(*keys).transformWithState(
+    kind = df.schema[key].dataType.simpleString()
+    out = df.groupBy(key).transformWithState(
         statefulProcessor=processor,
-        outputStructType=schema,
+        outputStructType=f"key {kind}, {processor.OUTPUT}",
         outputMode="Append",
-        timeMode=time_mode,
+        timeMode=processor.TIME,
     )
+    return out.withColumnRenamed("key", key)
 
 
 def _ordered(rows: Iterator[Row]) -> list[Row]:
@@ -33,13 +34,22 @@ def _ordered(rows: Iterator[Row]) -> list[Row]:
 
 
 def _millis(ts: datetime) -> int:
+    """Epoch milliseconds, rounded down."""
     aware = ts if ts.tzinfo else ts.astimezone()
-    return int(aware.timestamp() * 1000)
+    return (aware - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(milliseconds=1)
+
+
+def _due(ts: datetime) -> int:
+    """First millisecond at which a timer for this instant may fire."""
+    return _millis(ts + timedelta(microseconds=999))
 
 
 class RunningCount(StatefulProcessor):
     """(key, seq, ts, running): how many rows of the key have come so far."""
 
+    OUTPUT = "seq bigint, ts timestamp, running bigint"
+    TIME = "None"
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n long")
 
@@ -47,7 +57,7 @@ class RunningCount(StatefulProcessor):
         n = self.count.get()[0] if self.count.exists() else 0
         for r in _ordered(rows):
             n += 1
-            yield Row(key[0], r["seq"], r["ts"], n)
+            yield Row(key=key[0], seq=r["seq"], ts=r["ts"], running=n)
         self.count.update((n,))
 
     def close(self) -> None:
@@ -57,6 +67,9 @@ class RunningCount(StatefulProcessor):
 class JumpAlert(StatefulProcessor):
     """(key, seq, previous, current) when a value differs from the one before by more than a limit."""
 
+    OUTPUT = "seq bigint, previous double, current double"
+    TIME = "None"
+
     def __init__(self, threshold: float):
         self.threshold = threshold
 
@@ -67,7 +80,7 @@ class JumpAlert(StatefulProcessor):
         previous = self.last.get()[0] if self.last.exists() else None
         for r in _ordered(rows):
             if previous is not None and abs(r["value"] - previous) > self.threshold:
-                yield Row(key[0], r["seq"], previous, r["value"])
+                yield Row(key=key[0], seq=r["seq"], previous=previous, current=r["value"])
             previous = r["value"]
         if previous is not None:
             self.last.update((previous,))
@@ -79,6 +92,9 @@ class JumpAlert(StatefulProcessor):
 class RateBlacklist(StatefulProcessor):
     """(key, seq, day, n) for each event beyond the limit of a local day."""
 
+    OUTPUT = "seq bigint, local_day string, n bigint"
+    TIME = "None"
+
     def __init__(self, limit: int, offset_hours: int):
         self.limit, self.offset = limit, timedelta(hours=offset_hours)
 
@@ -94,7 +110,7 @@ class RateBlacklist(StatefulProcessor):
                 counts[day] = self.days.getValue((day,))[0] if self.days.containsKey((day,)) else 0
             counts[day] += 1
             if counts[day] > self.limit:
-                yield Row(key[0], r["seq"], day, counts[day])
+                yield Row(key=key[0], seq=r["seq"], local_day=day, n=counts[day])
         # older days can no longer change once a newer one has begun
         newest = max(counts)
         for (day,) in list(self.days.keys()):
@@ -110,6 +126,9 @@ class RateBlacklist(StatefulProcessor):
 class LastN(StatefulProcessor):
     """(key, last_values) after each micro-batch: the newest n values, oldest first."""
 
+    OUTPUT = "last_values array<double>"
+    TIME = "None"
+
     def __init__(self, n: int):
         self.n = n
 
@@ -120,7 +139,7 @@ class LastN(StatefulProcessor):
         held = [v[0] for v in self.values.get()] if self.values.exists() else []
         held = (held + [r["value"] for r in _ordered(rows)])[-self.n :]
         self.values.put([(v,) for v in held])
-        yield Row(key[0], held)
+        yield Row(key=key[0], last_values=held)
 
     def close(self) -> None:
         pass
@@ -129,6 +148,9 @@ class LastN(StatefulProcessor):
 class CountWindowAvg(StatefulProcessor):
     """(key, window_no, avg_value) after every n rows of a key; an unfinished group stays in state."""
 
+    OUTPUT = "window_no bigint, avg_value double"
+    TIME = "None"
+
     def __init__(self, n: int):
         self.n = n
 
@@ -141,7 +163,7 @@ class CountWindowAvg(StatefulProcessor):
             held, total = held + 1, total + int(r["value"])
             if held == self.n:
                 quotient = abs(total) // self.n
-                yield Row(key[0], window_no, float(quotient if total >= 0 else -quotient))
+                yield Row(key=key[0], window_no=window_no, avg_value=float(quotient if total >= 0 else -quotient))
                 window_no, held, total = window_no + 1, 0, 0
         self.open.update((window_no, held, total))
 
@@ -155,6 +177,9 @@ class SustainedRise(StatefulProcessor):
     Timers run on event time; a due timer fires before the next reading is applied.
     """
 
+    OUTPUT = "alert_at timestamp"
+    TIME = "EventTime"
+
     def __init__(self, seconds: int, first_reading_starts: bool = True):
         self.wait = timedelta(seconds=seconds)
         self.first = first_reading_starts
@@ -170,7 +195,7 @@ class SustainedRise(StatefulProcessor):
         registered = pending
         for r in _ordered(rows):
             if pending is not None and pending <= r["ts"]:
-                yield Row(key[0], pending)
+                yield Row(key=key[0], alert_at=pending)
                 pending = None
             value = r["value"]
             rises = value > previous if previous is not None else self.first and value > 0
@@ -181,17 +206,17 @@ class SustainedRise(StatefulProcessor):
             previous = value
         self.last.update((previous,))
         if registered is not None and registered != pending:
-            self.handle.deleteTimer(_millis(registered))
+            self.handle.deleteTimer(_due(registered))
         if pending is None:
             self.timer.clear()
         else:
             self.timer.update((pending,))
             if pending != registered:
-                self.handle.registerTimer(_millis(pending))
+                self.handle.registerTimer(_due(pending))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.timer.exists():
-            yield Row(key[0], self.timer.get()[0])
+            yield Row(key=key[0], alert_at=self.timer.get()[0])
             self.timer.clear()
 
     def close(self) -> None:
@@ -201,6 +226,9 @@ class SustainedRise(StatefulProcessor):
 class Inactivity(StatefulProcessor):
     """(key, last_ts, alert_at) when a key is silent for longer than the wait."""
 
+    OUTPUT = "last_ts timestamp, alert_at timestamp"
+    TIME = "EventTime"
+
     def __init__(self, seconds: int):
         self.wait = timedelta(seconds=seconds)
 
@@ -211,21 +239,21 @@ class Inactivity(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last, alerted = self.last.get() if self.last.exists() else (None, False)
         if last is not None and not alerted:
-            self.handle.deleteTimer(_millis(last + self.wait))
+            self.handle.deleteTimer(_due(last + self.wait))
         for r in _ordered(rows):
             if last is not None and not alerted and r["ts"] - last > self.wait:
-                yield Row(key[0], last, last + self.wait)
+                yield Row(key=key[0], last_ts=last, alert_at=last + self.wait)
             if last is None or r["ts"] >= last:
                 last, alerted = r["ts"], False
         self.last.update((last, alerted))
         if not alerted:
-            self.handle.registerTimer(_millis(last + self.wait))
+            self.handle.registerTimer(_due(last + self.wait))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         last, alerted = self.last.get()
         if not alerted:
             self.last.update((last, True))
-            yield Row(key[0], last, last + self.wait)
+            yield Row(key=key[0], last_ts=last, alert_at=last + self.wait)
 
     def close(self) -> None:
         pass
@@ -238,6 +266,9 @@ class AsOfJoin(StatefulProcessor):
     the watermark only the newest is kept.
     """
 
+    OUTPUT = "seq bigint, ts timestamp, version_ts timestamp, version_value double"
+    TIME = "EventTime"
+
     def __init__(self, keep_misses: bool = False):
         self.keep_misses = keep_misses
 
@@ -274,9 +305,9 @@ class AsOfJoin(StatefulProcessor):
             while at < len(versions) and versions[at][0] <= ts:
                 at += 1
             if at:
-                yield Row(key[0], seq, ts, versions[at - 1][0], versions[at - 1][2])
+                yield Row(key=key[0], seq=seq, ts=ts, version_ts=versions[at - 1][0], version_value=versions[at - 1][2])
             elif self.keep_misses:
-                yield Row(key[0], seq, ts, None, None)
+                yield Row(key=key[0], seq=seq, ts=ts, version_ts=None, version_value=None)
         old = sum(_millis(v[0]) < now for v in versions)
         keep = versions[max(0, old - 1) :]
         self._replace(self.versions, keep)
