@@ -27,14 +27,14 @@ def operation(kind: Column) -> Column:
 
 
 def parse_canal(df: DataFrame, value: str = "value") -> DataFrame:
-    """Messages to (database, table, op, es, id, data); other kinds and broken JSON are dropped."""
+    """Messages to (database, table, op, cdc_es, cdc_id, data); other kinds and broken JSON are dropped."""
     parsed = df.select(F.from_json(F.col(value), CANAL_SCHEMA).alias("m"))
     return parsed.select(
         F.col("m.database").alias("database"),
         F.col("m.table").alias("table"),
         operation(F.col("m.type")).alias("op"),
-        F.col("m.es").alias("es"),
-        F.col("m.id").alias("id"),
+        F.col("m.es").alias("cdc_es"),
+        F.col("m.id").alias("cdc_id"),
         F.col("m.data").alias("data"),
     ).where(F.col("op").isNotNull() & F.col("table").isNotNull())
 
@@ -44,26 +44,26 @@ def of_table(parsed: DataFrame, database: str, table: str) -> DataFrame:
 
 
 def change_rows(parsed: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """One row per changed record: op, es, id, pos and the declared columns.
+    """One row per changed record: op, cdc_es, cdc_id, cdc_pos and the declared columns.
 
     Keys are lower-cased; text that does not cast to the declared type becomes null, and columns
     the message does not carry are null, so a batch can never change the table's schema.
     """
-    rows = parsed.select("op", "es", "id", F.posexplode("data").alias("pos", "__row"))
+    rows = parsed.select("op", "cdc_es", "cdc_id", F.posexplode("data").alias("cdc_pos", "__row"))
     rows = rows.withColumn("__row", lower_keys(F.col("__row")))
     return rows.select(
         "op",
-        "es",
-        "id",
-        "pos",
+        "cdc_es",
+        "cdc_id",
+        "cdc_pos",
         *[F.col("__row")[c.lower()].try_cast(kind).alias(c) for c, kind in columns.items()],
     )
 
 
 def rows_to_json(parsed: DataFrame) -> DataFrame:
     """One JSON text per changed record, with lower-case keys."""
-    rows = parsed.select("op", "es", "id", F.explode("data").alias("__row"))
-    return rows.select("op", "es", "id", F.to_json(lower_keys(F.col("__row"))).alias("json"))
+    rows = parsed.select("op", "cdc_es", "cdc_id", F.explode("data").alias("__row"))
+    return rows.select("op", "cdc_es", "cdc_id", F.to_json(lower_keys(F.col("__row"))).alias("json"))
 
 
 def row_images(entries: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ WHERE rn = 1 AND event_type <> 'error' GROUP BY event_type""",
 def cdc_group_count(spark, sf):
     parsed = cdc.parse_canal(shared.canal_messages(spark, sf))
     changes = cdc.change_rows(parsed, {"user_id": "bigint", "kind": "string"})
-    return cdc.group_counts(cdc.current_rows(changes, "user_id", ["id", "pos"]), "kind")
+    return cdc.group_counts(cdc.current_rows(changes, "user_id", ["cdc_id", "cdc_pos"]), "kind")
 
 
 _HOUR = "date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end"

@@ -125,7 +125,7 @@ SELECT id, '{{"user_id":"' || user_id || '","kind":"' || kind || '","day":"' ||
 )
 def fn_rows_to_json(spark, sf):
     parsed = cdc.parse_canal(shared.canal_messages(spark, sf))
-    return cdc.rows_to_json(parsed).select("id", "json")
+    return cdc.rows_to_json(parsed).select(F.col("cdc_id").alias("id"), "json")
 
 
 _HASH_SQL = """list_reduce(list_transform(range(1, length(c_name) + 1), lambda i: CAST(ascii(substr(c_name, i, 1)) AS BIGINT)),

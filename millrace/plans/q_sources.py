@@ -134,7 +134,7 @@ def canal_parse(spark, sf):
     parsed = cdc.parse_canal(shared.canal_messages(spark, sf))
     rows = cdc.change_rows(parsed.withColumn("data", _tagged(parsed)), _CHANGE | {"db": "string", "tbl": "string"})
     return rows.select(
-        "op", "id", "user_id", "kind", "day", F.col("db").alias("database"), F.col("tbl").alias("table")
+        "op", F.col("cdc_id").alias("id"), "user_id", "kind", "day", F.col("db").alias("database"), F.col("tbl").alias("table")
     )
 
 
@@ -150,7 +150,7 @@ def _tagged(parsed):
 )
 def cdc_table_filter(spark, sf):
     parsed = cdc.of_table(cdc.parse_canal(shared.canal_messages(spark, sf)), "shop", "user_state")
-    return cdc.change_rows(parsed, _CHANGE).select("op", "id", "user_id", "kind")
+    return cdc.change_rows(parsed, _CHANGE).select("op", F.col("cdc_id").alias("id"), "user_id", "kind")
 
 
 @query(

@@ -226,7 +226,8 @@ def stream_alert_jump(spark, sf):
 @query("stream_rate_blacklist", BLACKLIST_SQL)
 def stream_rate_blacklist(spark, sf):
     out = state.apply_state(_readings(spark, sf), "user_id", state.RateBlacklist(5, 8))
-    return drain(out, "blacklist").withColumnRenamed("seq", "event_id")
+    hits = drain(out, "blacklist").withColumnRenamed("seq", "event_id")
+    return hits.withColumn("local_day", F.date_format("local_day", "yyyy-MM-dd"))
 
 
 @query("stream_last_n_list", _LAST3_SQL.format(k=shared.K_SQL))
@@ -266,7 +267,7 @@ def stream_inactivity(spark, sf):
 SELECT p.user_id, p.event_id, s.ts AS version_ts, s.value AS version_value
 FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF JOIN
      (SELECT * FROM events WHERE event_type = 'signup') s ON s.user_id = p.user_id AND s.ts <= p.ts
-WHERE p.ts < (SELECT max(ts) - INTERVAL 1 SECOND FROM events)""",
+WHERE epoch_us(p.ts) < (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM events)""",
 )
 def stream_asof_join(spark, sf):
     """Purchases against versions made by sign-ups, emitted once the watermark has passed."""

@@ -8,46 +8,50 @@ keys; here a key's rows of one micro-batch pass through one task, bounded by the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.session import use_rocksdb_state
 
 
 def apply_state(df: DataFrame, key: str, processor: StatefulProcessor) -> DataFrame:
-    """Rows (key, seq, ts, value) through one of the processors below; key keeps its name."""
+    """Rows (key, seq, ts, value) through one of the processors below; key keeps its name.
+
+    Inside a processor every instant is a number of microseconds, in rows and in state alike.
+    """
     use_rocksdb_state(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
-    out = df.groupBy(key).transformWithState(
+    rows = df.withColumn("at", F.unix_micros("ts"))
+    if processor.TIME == "None":
+        rows = rows.drop("ts")
+    out = rows.groupBy(key).transformWithState(
         statefulProcessor=processor,
         outputStructType=f"key {kind}, {processor.OUTPUT}",
         outputMode="Append",
         timeMode=processor.TIME,
     )
-    return out.withColumnRenamed("key", key)
+    times = [c for c in out.columns if c.endswith("_us")]
+    named = [
+        F.timestamp_micros(c).alias(c[:-3]) if c in times else F.col(c) for c in out.columns if c != "key"
+    ]
+    return out.select(F.col("key").alias(key), *named)
 
 
 def _ordered(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (r["ts"], r["seq"]))
-
-
-def _millis(ts: datetime) -> int:
-    """Epoch milliseconds, rounded down."""
-    aware = ts if ts.tzinfo else ts.astimezone()
-    return (aware - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(milliseconds=1)
+    return sorted(rows, key=lambda r: (r["at"], r["seq"]))
 
 
-def _due(ts: datetime) -> int:
+def _due(at: int) -> int:
     """First millisecond at which a timer for this instant may fire."""
-    return _millis(ts + timedelta(microseconds=999))
+    return -(-at // 1000)
 
 
 class RunningCount(StatefulProcessor):
     """(key, seq, ts, running): how many rows of the key have come so far."""
 
-    OUTPUT = "seq bigint, ts timestamp, running bigint"
+    OUTPUT = "seq bigint, ts_us bigint, running bigint"
     TIME = "None"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -57,7 +61,7 @@ class RunningCount(StatefulProcessor):
         n = self.count.get()[0] if self.count.exists() else 0
         for r in _ordered(rows):
             n += 1
-            yield Row(key=key[0], seq=r["seq"], ts=r["ts"], running=n)
+            yield Row(key=key[0], seq=r["seq"], ts_us=r["at"], running=n)
         self.count.update((n,))
 
     def close(self) -> None:
@@ -92,25 +96,24 @@ class JumpAlert(StatefulProcessor):
 class RateBlacklist(StatefulProcessor):
     """(key, seq, day, n) for each event beyond the limit of a local day."""
 
-    OUTPUT = "seq bigint, local_day string, n bigint"
+    OUTPUT = "seq bigint, local_day_us bigint, n bigint"
     TIME = "None"
 
     def __init__(self, limit: int, offset_hours: int):
-        self.limit, self.offset = limit, timedelta(hours=offset_hours)
+        self.limit, self.offset = limit, offset_hours * 3_600_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.days = handle.getMapState("days", "day string", "n long")
+        self.days = handle.getMapState("days", "day long", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        counts: dict[str, int] = {}
+        counts: dict[int, int] = {}
         for r in _ordered(rows):
-            utc = datetime.fromtimestamp(_millis(r["ts"]) / 1000, timezone.utc)
-            day = (utc + self.offset).date().isoformat()
+            day = (r["at"] + self.offset) // 86_400_000_000
             if day not in counts:
                 counts[day] = self.days.getValue((day,))[0] if self.days.containsKey((day,)) else 0
             counts[day] += 1
             if counts[day] > self.limit:
-                yield Row(key=key[0], seq=r["seq"], local_day=day, n=counts[day])
+                yield Row(key=key[0], seq=r["seq"], local_day_us=day * 86_400_000_000, n=counts[day])
         # older days can no longer change once a newer one has begun
         newest = max(counts)
         for (day,) in list(self.days.keys()):
@@ -177,30 +180,30 @@ class SustainedRise(StatefulProcessor):
     Timers run on event time; a due timer fires before the next reading is applied.
     """
 
-    OUTPUT = "alert_at timestamp"
+    OUTPUT = "alert_at_us bigint"
     TIME = "EventTime"
 
     def __init__(self, seconds: int, first_reading_starts: bool = True):
-        self.wait = timedelta(seconds=seconds)
+        self.wait = seconds * 1_000_000
         self.first = first_reading_starts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "v double")
-        self.timer = handle.getValueState("timer", "at timestamp")
+        self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         previous = self.last.get()[0] if self.last.exists() else None
         pending = self.timer.get()[0] if self.timer.exists() else None
         registered = pending
         for r in _ordered(rows):
-            if pending is not None and pending <= r["ts"]:
-                yield Row(key=key[0], alert_at=pending)
+            if pending is not None and pending <= r["at"]:
+                yield Row(key=key[0], alert_at_us=pending)
                 pending = None
             value = r["value"]
             rises = value > previous if previous is not None else self.first and value > 0
             if rises and pending is None:
-                pending = r["ts"] + self.wait
+                pending = r["at"] + self.wait
             elif previous is not None and value < previous:
                 pending = None
             previous = value
@@ -216,7 +219,7 @@ class SustainedRise(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.timer.exists():
-            yield Row(key=key[0], alert_at=self.timer.get()[0])
+            yield Row(key=key[0], alert_at_us=self.timer.get()[0])
             self.timer.clear()
 
     def close(self) -> None:
@@ -226,25 +229,25 @@ class SustainedRise(StatefulProcessor):
 class Inactivity(StatefulProcessor):
     """(key, last_ts, alert_at) when a key is silent for longer than the wait."""
 
-    OUTPUT = "last_ts timestamp, alert_at timestamp"
+    OUTPUT = "last_ts_us bigint, alert_at_us bigint"
     TIME = "EventTime"
 
     def __init__(self, seconds: int):
-        self.wait = timedelta(seconds=seconds)
+        self.wait = seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "at timestamp, alerted boolean")
+        self.last = handle.getValueState("last", "at long, alerted boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last, alerted = self.last.get() if self.last.exists() else (None, False)
         if last is not None and not alerted:
             self.handle.deleteTimer(_due(last + self.wait))
         for r in _ordered(rows):
-            if last is not None and not alerted and r["ts"] - last > self.wait:
-                yield Row(key=key[0], last_ts=last, alert_at=last + self.wait)
-            if last is None or r["ts"] >= last:
-                last, alerted = r["ts"], False
+            if last is not None and not alerted and r["at"] - last > self.wait:
+                yield Row(key=key[0], last_ts_us=last, alert_at_us=last + self.wait)
+            if last is None or r["at"] >= last:
+                last, alerted = r["at"], False
         self.last.update((last, alerted))
         if not alerted:
             self.handle.registerTimer(_due(last + self.wait))
@@ -253,7 +256,7 @@ class Inactivity(StatefulProcessor):
         last, alerted = self.last.get()
         if not alerted:
             self.last.update((last, True))
-            yield Row(key=key[0], last_ts=last, alert_at=last + self.wait)
+            yield Row(key=key[0], last_ts_us=last, alert_at_us=last + self.wait)
 
     def close(self) -> None:
         pass
@@ -262,11 +265,11 @@ class Inactivity(StatefulProcessor):
 class AsOfJoin(StatefulProcessor):
     """(key, seq, ts, version_ts, version_value) for left rows, once the watermark has passed them.
 
-    Input rows carry side 0 (version) or 1 (left), seq, ts and value. Of the versions older than
-    the watermark only the newest is kept.
+    Input rows carry side 0 (version) or 1 (left), seq, ts and value. The key's one timer stands at
+    its oldest waiting left row. Of the versions older than the watermark only the newest is kept.
     """
 
-    OUTPUT = "seq bigint, ts timestamp, version_ts timestamp, version_value double"
+    OUTPUT = "seq bigint, ts_us bigint, version_ts_us bigint, version_value double"
     TIME = "EventTime"
 
     def __init__(self, keep_misses: bool = False):
@@ -274,44 +277,61 @@ class AsOfJoin(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.left = handle.getListState("left", "ts timestamp, seq long")
-        self.versions = handle.getListState("versions", "ts timestamp, seq long, value double")
+        self.left = handle.getListState("left", "at long, seq long")
+        self.versions = handle.getListState("versions", "at long, seq long, value double")
+        self.timer = handle.getValueState("timer", "millis long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        latest = None
         left, versions = [], []
         for r in rows:
             if r["side"] == 1:
-                left.append((r["ts"], r["seq"]))
-                latest = r["ts"] if latest is None else max(latest, r["ts"])
+                left.append((r["at"], r["seq"]))
             else:
-                versions.append((r["ts"], r["seq"], r["value"]))
-        if left:
-            self.left.appendList(left)
-            self.handle.registerTimer(_millis(latest) + 1)
+                versions.append((r["at"], r["seq"], r["value"]))
         if versions:
             self.versions.appendList(versions)
+        if left:
+            self.left.appendList(left)
+            wanted = self._after(min(left)[0])
+            current = self.timer.get()[0] if self.timer.exists() else None
+            if current is None or wanted < current:
+                if current is not None:
+                    self.handle.deleteTimer(current)
+                self._wake(wanted)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = timerValues.getCurrentWatermarkInMs()
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
         left = sorted(tuple(x) for x in self.left.get()) if self.left.exists() else []
         versions = sorted(tuple(x) for x in self.versions.get()) if self.versions.exists() else []
-        waiting, at = [], 0
-        for ts, seq in left:
-            if _millis(ts) >= now:
-                waiting.append((ts, seq))
+        waiting, i = [], 0
+        for at, seq in left:
+            if at >= passed:
+                waiting.append((at, seq))
                 continue
-            while at < len(versions) and versions[at][0] <= ts:
-                at += 1
-            if at:
-                yield Row(key=key[0], seq=seq, ts=ts, version_ts=versions[at - 1][0], version_value=versions[at - 1][2])
+            while i < len(versions) and versions[i][0] <= at:
+                i += 1
+            if i:
+                v_at, _, value = versions[i - 1]
+                yield Row(key=key[0], seq=seq, ts_us=at, version_ts_us=v_at, version_value=value)
             elif self.keep_misses:
-                yield Row(key=key[0], seq=seq, ts=ts, version_ts=None, version_value=None)
-        old = sum(_millis(v[0]) < now for v in versions)
-        keep = versions[max(0, old - 1) :]
-        self._replace(self.versions, keep)
+                yield Row(key=key[0], seq=seq, ts_us=at, version_ts_us=None, version_value=None)
+        old = sum(v[0] < passed for v in versions)
+        self._replace(self.versions, versions[max(0, old - 1) :])
         self._replace(self.left, waiting)
+        if waiting:
+            self._wake(self._after(waiting[0][0]))
+        else:
+            self.timer.clear()
+
+    @staticmethod
+    def _after(at: int) -> int:
+        """The millisecond at which the watermark is past this instant."""
+        return at // 1000 + 1
+
+    def _wake(self, millis: int) -> None:
+        self.handle.registerTimer(millis)
+        self.timer.update((millis,))
 
     @staticmethod
     def _replace(state, rows) -> None:
