@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ GRADES = {
     "*": ".", "C": ".", "#": ".", "/": ".",
 }
 POSITIONS = 24
+_DIGITS = "0123456789abcdefghijklmnopqrstuv"
+_PER_NUMBER = 12  # five bits each, so that a number stays below 2^60
 
 
 def status_rank(c: Column, severity: str = SEVERITY) -> Column:
@@ -33,23 +37,29 @@ def worst_status(c: Column, severity: str = SEVERITY, positions: int = POSITIONS
 
     The last ``positions`` characters count; shorter text is an error; nulls are passed over and a
     group of nulls only gives the least severe character everywhere.
+
+    A text becomes a few numbers, each holding the ranks of twelve positions as base-32 digits, so
+    that the aggregate takes plain maxima of five-bit fields.
     """
-    checked = F.when(
-        F.length(c) < positions,
-        F.raise_error(F.format_string("status text shorter than %d: %s", F.lit(positions), c)),
-    ).otherwise(F.right(c, F.lit(positions)))
-    chars = [
-        F.substring(
-            F.lit(severity),
-            F.coalesce(
-                F.max(F.greatest(F.instr(F.lit(severity), F.substring(checked, i, 1)), F.lit(1))),
-                F.lit(1),
-            ),
-            F.lit(1),
-        )
-        for i in range(1, positions + 1)
-    ]
-    return F.concat(*chars)
+    if len(severity) >= len(_DIGITS):
+        raise ValueError(f"at most {len(_DIGITS) - 1} status characters")
+    known = re.escape(severity)
+    clean = F.when(c.rlike(f"^[{known}]*$"), c).otherwise(
+        F.regexp_replace(c, f"[^{known}]", severity[0].replace("\\", "\\\\").replace("$", "\\$"))
+    )
+    ranks = F.translate(F.right(clean, F.lit(positions)), severity, _DIGITS[1 : len(severity) + 1])
+    chars = []
+    for start in range(0, positions, _PER_NUMBER):
+        width = min(_PER_NUMBER, positions - start)
+        number = F.conv(F.substring(ranks, start + 1, width), 32, 10).cast("long")
+        for i in range(width):
+            rank = F.shiftright(number, 5 * (width - 1 - i)).bitwiseAND(31)
+            worst = F.coalesce(F.max(rank), F.lit(1)).cast("int")
+            chars.append(F.substring(F.lit(severity), worst, F.lit(1)))
+    # fixed-width buffers only, so that the aggregate stays a hash aggregate
+    shortest = F.min(F.length(c))
+    message = F.concat(F.lit(f"status text shorter than {positions}: length "), shortest.cast("string"))
+    return F.when(shortest < positions, F.raise_error(message).cast("string")).otherwise(F.concat(*chars))
 
 
 def is_integer_text(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,8 +16,23 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+def computed_once(df: DataFrame, expr: Column, name: str) -> DataFrame:
+    """df plus one column whose expression is evaluated once per row.
+
+    A generator stands between the expression and later filters, which the optimizer would else
+    push below the projection and so evaluate costly parsing again in each condition.
+    """
+    return df.select("*", F.explode_outer(F.array(expr)).alias(name))
+
+
 def lower_keys(m: Column) -> Column:
     """Keys in lower case; of keys that fall together the last entry wins."""
+    names = F.transform(F.map_keys(m), lambda k: F.lower(k))
+    apart = F.size(F.array_distinct(names)) == F.size(m)
+    return F.when(apart, F.transform_keys(m, lambda k, v: F.lower(k))).otherwise(_last_of_each(m))
+
+
+def _last_of_each(m: Column) -> Column:
     entries = F.map_entries(m)
     lowered = F.transform(
         entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from millrace.operators.ordered import (
     HOT_ROWS,
@@ -15,6 +16,8 @@ from millrace.operators.ordered import (
 )
 from millrace.session import cut_lineage
 
+_BLOCK = 1000
+
 
 def jump(
     df: DataFrame, keys: list[str], order: list[str], value: str, threshold: float, hot_rows: int = HOT_ROWS
@@ -116,13 +119,29 @@ def _fold_runs(marks: DataFrame, key: str, ended: Column, wait: Column) -> DataF
         F.array_sort(F.collect_list("rise")).alias("rises"), ended.alias("ended")
     )
     runs = runs.where(F.size("rises") > 0)
-    none = F.array().cast(runs.schema["rises"].dataType)
+    times = runs.schema["rises"].dataType
+    # fired timers are gathered in blocks, so that appending to a long list stays cheap
+    start = F.struct(
+        F.array().cast(ArrayType(times)).alias("full"),
+        F.array().cast(times).alias("block"),
+        F.lit(None).cast(times.elementType).alias("last"),
+    )
+
+    def step(acc: Column, t: Column) -> Column:
+        fresh = acc["last"].isNull() | (t >= acc["last"])
+        done = F.size(acc["block"]) >= _BLOCK
+        one = F.array(t + wait)
+        return F.when(
+            fresh,
+            F.struct(
+                F.when(done, F.concat(acc["full"], F.array(acc["block"]))).otherwise(acc["full"]).alias("full"),
+                F.when(done, one).otherwise(F.concat(acc["block"], one)).alias("block"),
+                (t + wait).alias("last"),
+            ),
+        ).otherwise(acc)
+
     fired = F.aggregate(
-        "rises",
-        none,
-        lambda acc, t: F.when(
-            (F.size(acc) == 0) | (t >= F.element_at(acc, F.lit(-1))), F.concat(acc, F.array(t + wait))
-        ).otherwise(acc),
+        "rises", start, step, lambda acc: F.concat(F.flatten(acc["full"]), acc["block"])
     )
     due = F.filter(fired, lambda t: t <= F.col("ended"))
     return runs.select(key, F.explode(due).alias("alert_at"))

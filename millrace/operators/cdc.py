@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import lower_keys
+from millrace.functions.text import computed_once, lower_keys
 from millrace.operators.joins import broadcast_if_small
 from millrace.session import cut_lineage
 
@@ -28,7 +28,8 @@ def operation(kind: Column) -> Column:
 
 def parse_canal(df: DataFrame, value: str = "value") -> DataFrame:
     """Messages to (database, table, op, cdc_es, cdc_id, data); other kinds and broken JSON are dropped."""
-    parsed = df.select(F.from_json(F.col(value), CANAL_SCHEMA).alias("m"))
+    message = F.from_json(F.col(value), CANAL_SCHEMA)
+    parsed = computed_once(df.select(value), message, "m")
     return parsed.select(
         F.col("m.database").alias("database"),
         F.col("m.table").alias("table"),
@@ -136,13 +137,13 @@ def merge_into(
     """
     base = spark.read.parquet(path)
     last = cut_lineage(precombine(changes, key, order))
-    keys = broadcast_if_small(last.select(key))
+    keys = broadcast_if_small(last.select(key), materialized=True)
     upserts = last.where(F.col("op") != "delete").select(*base.columns)
     # partition values, not rows: one entry per table folder
     hit = base.select(key, partition).join(keys, key, "left_semi").select(partition)
     touched = cut_lineage(hit.unionByName(upserts.select(partition)).distinct())
     rewritten = (
-        base.join(broadcast_if_small(touched), partition, "left_semi")
+        base.join(broadcast_if_small(touched, materialized=True), partition, "left_semi")
         .join(keys, key, "left_anti")
         .unionByName(upserts)
     )

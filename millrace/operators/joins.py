@@ -8,15 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
+CHECKED_BYTES = 256 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger side is left to a shuffled, skew-split join."""
-    if df.isStreaming:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, materialized: bool = False
+) -> DataFrame:
+    """Hint a broadcast only where its size is known to be small.
+
+    A side that the planner estimates above ``CHECKED_BYTES`` is not even counted: it stays without
+    a hint, and the join is shuffled with skew splitting unless the run-time size allows better.
+    Below that its rows are counted. ``materialized`` sides are cheap to count, whatever the estimate.
+    """
+    if df.isStreaming or not (materialized or _estimated_bytes(df) <= CHECKED_BYTES):
         return df
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the last in order; max_by combines map-side, so hot keys do not gather."""
     rest = [c for c in df.columns if c not in keys]

@@ -29,7 +29,7 @@ def statements(scripts: DataFrame) -> DataFrame:
     """(script_id, sql) to (script_id, statement_no, statement) without comments and literals."""
     clean = F.regexp_replace(F.regexp_replace("sql", _NOISE, " "), "`", "")
     cut = scripts.select("script_id", F.posexplode(F.split(clean, ";")).alias("pos", "statement"))
-    return cut.where(F.trim(F.regexp_replace("statement", r"\s+", " ")) != "").select(
+    return cut.where(F.col("statement").rlike(r"\S")).select(
         "script_id", F.col("pos").cast("long").alias("statement_no"), "statement"
     )
 
@@ -64,11 +64,11 @@ def table_names(scripts: DataFrame) -> DataFrame:
 
 def edges(scripts: DataFrame) -> DataFrame:
     """(script_id, statement_no, input_table, output_table)."""
-    return (
-        table_names(scripts)
-        .select("script_id", "statement_no", F.explode("inputs").alias("input_table"), "outputs")
-        .select("script_id", "statement_no", "input_table", F.explode("outputs").alias("output_table"))
-    )
+    names = table_names(scripts)
+    for column, name in (("inputs", "input_table"), ("outputs", "output_table")):
+        # the outer form does not test the array's size first, which would match all texts twice
+        names = names.withColumn(name, F.explode_outer(column)).where(F.col(name).isNotNull())
+    return names.select("script_id", "statement_no", "input_table", "output_table")
 
 
 def downstream(edge_table: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFrame:

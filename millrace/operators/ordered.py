@@ -63,7 +63,7 @@ class HotKeys:
         if self.table is None:
             cut = F.coalesce(F.floor((where - F.lit(self.lo)) / F.lit(self.width)), F.lit(-1))
             return df.withColumns({"__slice": cut.cast("long"), "__hot": F.lit(True)})
-        joined = df.join(broadcast_if_small(self.table), self._same_key(), "left")
+        joined = df.join(self._table(), self._same_key(), "left")
         cut = F.coalesce(F.floor((where - F.col("__lo")) / F.col("__width")), F.lit(-1))
         hot = F.col("__width").isNotNull()
         return joined.withColumns(
@@ -73,7 +73,10 @@ class HotKeys:
     def only(self, df: DataFrame, hot: bool) -> DataFrame:
         """The rows of hot keys, or all others."""
         how = "left_semi" if hot else "left_anti"
-        return df.join(broadcast_if_small(self.table), self._same_key(), how)
+        return df.join(self._table(), self._same_key(), how)
+
+    def _table(self) -> DataFrame:
+        return broadcast_if_small(self.table, materialized=True)
 
     def _same_key(self) -> Column:
         same = F.lit(True)
@@ -100,13 +103,12 @@ def probe_hot_keys(
 
     # at most (rows / hot_rows) keys can pass this filter
     heavy = df.groupBy(*keys).agg(*stats).where(F.col("__n") > hot_rows)
-    if heavy.isEmpty():
-        return None
     slices = F.greatest(F.lit(1), F.floor(F.col("__n") * SLICES_PER_HOT_ROWS / hot_rows))
     width = F.floor((F.col("__hi") - F.col("__lo")) / slices) + F.lit(1)
     renamed = [F.col(k).alias(f"__hk_{k}") for k in keys]
     table = heavy.select(*renamed, F.col("__lo"), width.cast("long").alias("__width"))
-    return HotKeys(tuple(keys), order, cut_lineage(table))
+    table = cut_lineage(table)
+    return None if table.isEmpty() else HotKeys(tuple(keys), order, table)
 
 
 def running(

@@ -81,10 +81,12 @@ def page(df: DataFrame, order: list[Column], offset: int, size: int = 10) -> Dat
 def page_with_total(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:
     """One page plus the number of hits over all pages."""
     rows = page(df, order, number * size, size)
-    total = df.agg(F.count(F.lit(1)).alias("total_hits"))
-    return rows.withColumn("__one", F.lit(1)).join(
-        F.broadcast(total.withColumn("__one", F.lit(1))), "__one"
-    ).drop("__one")
+    return with_total(rows, df)
+
+
+def with_total(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """Each row also tells how many hits there are in all, by a scalar subquery."""
+    return rows.withColumn("total_hits", hits.agg(F.count(F.lit(1))).scalar())
 
 
 def page_after(df: DataFrame, key: str, last_key, size: int) -> DataFrame:

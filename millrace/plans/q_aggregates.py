@@ -161,7 +161,7 @@ def word_count_running(spark, sf):
         sinks.counter_sink(path, "word", "n")(aggs.word_count(df, "text"), batch_id)
 
     each_batch(stream, "word-totals", count)
-    return sinks.read_snapshot(spark, path)
+    return sinks.read_counters(spark, path, "word", "n")
 
 
 @query("salted_count", _WORDS_SQL)

@@ -45,7 +45,7 @@ def keyed_upsert(spark, sf):
     path = scratch_path(spark, "upserts")
     stream = stream_table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
     each_batch(stream, "upserts", sinks.upsert_sink(path, "user_id", ["ts", "event_id"]))
-    return sinks.read_snapshot(spark, path).drop("ts")
+    return sinks.read_upserts(spark, path, "user_id", ["ts", "event_id"]).drop("ts")
 
 
 @query(

@@ -271,10 +271,7 @@ def multi_get(spark, sf):
 )
 def doc_match_all(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    total = docs.agg(F.count(F.lit(1)).alias("total_hits"))
-    return docs.withColumn("__one", F.lit(1)).join(
-        F.broadcast(total.withColumn("__one", F.lit(1))), "__one"
-    ).drop("__one")
+    return search.with_total(docs, docs)
 
 
 def small_files(spark, sf) -> str:

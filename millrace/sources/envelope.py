@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.functions.text import computed_once
 from millrace.operators.joins import broadcast_if_small
 from millrace.sources.tables import MAX_BYTES_PER_TRIGGER
 
@@ -99,12 +100,8 @@ def json_value(df: DataFrame, columns: list[str] | None = None) -> Column:
 def parse_json(df: DataFrame, value: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(typed rows, rejected rows): malformed text is set aside, not failed on."""
     with_corrupt = f"{schema}, _corrupt string"
-    parsed = df.withColumn(
-        "__j",
-        F.from_json(
-            F.col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-        ),
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = computed_once(df, F.from_json(F.col(value), with_corrupt, options), "__j")
     bad = F.col("__j").isNull() | F.col("__j._corrupt").isNotNull()
     rest = [c for c in df.columns if c != value]
     good = parsed.where(~bad).select(*rest, *[F.col(f"__j.{n}").alias(n) for n in _names(schema)])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+OPEN_COST_BYTES = 16 * 1024
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -23,23 +24,30 @@ def whole_files(spark: SparkSession, path: str, glob: str | None = None) -> Data
 
 
 def pack_small_files(
-    spark: SparkSession, path: str, target: str, glob: str | None = None,
-    target_bytes: int = TARGET_FILE_BYTES,
+    spark: SparkSession, path: str, target: str, glob: str | None = None, target_bytes: int = TARGET_FILE_BYTES
 ) -> None:
-    """Many small files into few parquet files of (path, content), sorted by path.
-
-    The number of output files follows from the listed lengths; no content is read for it.
-    """
-    files = whole_files(spark, path, glob)
-    total = files.agg(F.sum("length")).first()[0] or 0
-    parts = max(1, -(-total // target_bytes))
-    (
-        files.select("path", "content")
-        .repartitionByRange(parts, "path")
-        .sortWithinPartitions("path")
-        .write.mode("overwrite")
-        .parquet(target)
-    )
+    """Many small files into few parquet files of (path, content), in one pass without a shuffle.
+
+    Spark combines whole files into read splits of ``target_bytes``; each split is written as one
+    file. The cost assumed per opened file is lowered, else a split would hold few small files.
+    """
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.files.openCostInBytes": str(OPEN_COST_BYTES),
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        files = whole_files(spark, path, glob).select("path", "content")
+        files.sortWithinPartitions("path").write.mode("overwrite").parquet(target)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def unpack_lines(packed: DataFrame) -> DataFrame:

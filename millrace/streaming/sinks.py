@@ -22,51 +22,41 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def snapshot_versions(spark: SparkSession, path: str, before: int | None = None) -> list[int]:
-    """Finished snapshot folders ``v=<batch id>``, oldest first."""
-    if not has_files(spark, path):
-        return []
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    found = sorted(int(n[2:]) for n in names if n.startswith("v="))
-    done = [v for v in found if has_files(spark, f"{path}/v={v}/_SUCCESS")]
-    return [v for v in done if before is None or v < before]
+def upsert_sink(path: str, key: str, order: list[str]) -> Handler:
+    """Keyed table, merged on read: a batch writes the last row of each of its keys and no more."""
+    write = batch_folders(path)
+    return lambda df, batch_id: write(last_per_key(df, [key], order), batch_id)
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/v={snapshot_versions(spark, path)[-1]}")
+def read_upserts(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
+    """The current row of each key over all batches."""
+    return last_per_key(spark.read.parquet(path).drop("batch_id"), [key], order)
 
 
-def upsert_sink(path: str, key: str, order: list[str]) -> Handler:
-    """Keyed table: the last row per key of the batch replaces the stored one.
+def counter_sink(path: str, key: str, count: str) -> Handler:
+    """Running totals per key: a batch writes its own sums, readers add them up."""
+    write = batch_folders(path)
+    return lambda df, batch_id: write(df.groupBy(key).agg(F.sum(count).alias(count)), batch_id)
 
-    Batch n reads the newest snapshot before n and writes snapshot n in one set-based merge.
-    """
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        changes = last_per_key(df, [key], order)
-        earlier = snapshot_versions(spark, path, before=batch_id)
-        if earlier:
-            base = spark.read.parquet(f"{path}/v={earlier[-1]}")
-            changes = last_per_key(base.unionByName(changes), [key], order)
-        changes.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+def read_counters(spark: SparkSession, path: str, key: str, count: str) -> DataFrame:
+    return spark.read.parquet(path).groupBy(key).agg(F.sum(count).alias(count))
 
-    return write
 
+def compact(current: DataFrame, path: str) -> None:
+    """Write a resolved table as the first batch of a new folder, to shorten later reads."""
+    batch_folders(path)(current, -1)
 
-def counter_sink(path: str, key: str, count: str) -> Handler:
-    """Running totals per key: batch counts are added to the newest earlier snapshot."""
+
+def persisted(handle: Handler) -> Handler:
+    """For handlers that read their batch more than once."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        totals = df.groupBy(key).agg(F.sum(count).alias(count))
-        earlier = snapshot_versions(spark, path, before=batch_id)
-        if earlier:
-            base = spark.read.parquet(f"{path}/v={earlier[-1]}")
-            totals = base.unionByName(totals).groupBy(key).agg(F.sum(count).alias(count))
-        totals.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        df.persist()
+        try:
+            handle(df, batch_id)
+        finally:
+            df.unpersist()
 
     return write
 
@@ -89,7 +79,7 @@ def ledger_sink(path: str, group: str, handle: Handler) -> Handler:
         handle(df, batch_id)
         note(next_offsets(df, group), batch_id)
 
-    return write
+    return persisted(write)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -106,7 +96,7 @@ def quarantine_sink(good_path: str, bad_path: str, checks: dict[str, Column]) ->
         good_sink(good, batch_id)
         bad_sink(bad, batch_id)
 
-    return write
+    return persisted(write)
 
 
 def with_attempts(handle: Handler, attempts: int = 3) -> Handler:
@@ -149,4 +139,4 @@ def late_router(
         late(tagged.where("__late").drop("__late"), batch_id)
         note(df.agg(F.max(ts).alias("max_ts")), batch_id)
 
-    return write
+    return persisted(write)
