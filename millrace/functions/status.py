@@ -32,34 +32,45 @@ def status_grade(c: Column) -> Column:
     return F.create_map(*pairs)[c]
 
 
-def worst_status(c: Column, severity: str = SEVERITY, positions: int = POSITIONS) -> Column:
+def worst_status(column: str, severity: str = SEVERITY, positions: int = POSITIONS) -> Column:
     """Aggregate: per position the most severe character of the group.
 
     The last ``positions`` characters count; shorter text is an error; nulls are passed over and a
     group of nulls only gives the least severe character everywhere.
+    """
+    return F.expr(worst_status_sql(column, severity, positions))
+
+
+def worst_status_sql(text: str, severity: str = SEVERITY, positions: int = POSITIONS) -> str:
+    """The same aggregate as SQL text, for scripts: hand it in as a variable.
 
     A text becomes a few numbers, each holding the ranks of twelve positions as base-32 digits, so
-    that the aggregate takes plain maxima of five-bit fields.
+    that the aggregate takes plain maxima of five-bit fields. All buffers have a fixed width, which
+    keeps it a hash aggregate.
     """
     if len(severity) >= len(_DIGITS):
         raise ValueError(f"at most {len(_DIGITS) - 1} status characters")
+    if "'" in severity or "\\" in severity:
+        raise ValueError("quotes and backslashes cannot be status characters")
     known = re.escape(severity)
-    clean = F.when(c.rlike(f"^[{known}]*$"), c).otherwise(
-        F.regexp_replace(c, f"[^{known}]", severity[0].replace("\\", "\\\\").replace("$", "\\$"))
+    clean = (
+        f"CASE WHEN {text} RLIKE r'^[{known}]*$' THEN {text} "
+        f"ELSE translate(regexp_replace({text}, r'[^{known}]', '~'), '~', '{severity[0]}') END"
     )
-    ranks = F.translate(F.right(clean, F.lit(positions)), severity, _DIGITS[1 : len(severity) + 1])
+    ranks = f"translate(right({clean}, {positions}), '{severity}', '{_DIGITS[1 : len(severity) + 1]}')"
     chars = []
     for start in range(0, positions, _PER_NUMBER):
         width = min(_PER_NUMBER, positions - start)
-        number = F.conv(F.substring(ranks, start + 1, width), 32, 10).cast("long")
+        number = f"cast(conv(substring({ranks}, {start + 1}, {width}), 32, 10) as bigint)"
         for i in range(width):
-            rank = F.shiftright(number, 5 * (width - 1 - i)).bitwiseAND(31)
-            worst = F.coalesce(F.max(rank), F.lit(1)).cast("int")
-            chars.append(F.substring(F.lit(severity), worst, F.lit(1)))
-    # fixed-width buffers only, so that the aggregate stays a hash aggregate
-    shortest = F.min(F.length(c))
-    message = F.concat(F.lit(f"status text shorter than {positions}: length "), shortest.cast("string"))
-    return F.when(shortest < positions, F.raise_error(message).cast("string")).otherwise(F.concat(*chars))
+            rank = f"shiftright({number}, {5 * (width - 1 - i)}) & 31"
+            chars.append(f"substring('{severity}', cast(coalesce(max({rank}), 1) as int), 1)")
+    shortest = f"min(length({text}))"
+    message = f"concat('status text shorter than {positions}: length ', {shortest})"
+    return (
+        f"CASE WHEN {shortest} < {positions} THEN cast(raise_error({message}) as string) "
+        f"ELSE concat({', '.join(chars)}) END"
+    )
 
 
 def is_integer_text(c: Column) -> Column:

@@ -186,7 +186,7 @@ PAS_STATUS_SQL = (
 @query("pas_status24", PAS_STATUS_SQL)
 def pas_status24(spark, sf):
     rows = load(spark, sf, "lineitem").select("l_orderkey", shared.status_text().alias("s"))
-    return rows.groupBy("l_orderkey").agg(worst_status(F.col("s")).alias("status24"))
+    return rows.groupBy("l_orderkey").agg(worst_status("s").alias("status24"))
 
 
 @query("doc_max", "SELECT max(c_acctbal) AS max_acctbal FROM customer")

@@ -19,14 +19,14 @@ def test_worst_status(spark):
         ("002", None),
     ]
     df = spark.createDataFrame(rows, "uid string, s string")
-    got = {r.uid: r.w for r in df.groupBy("uid").agg(status.worst_status(F.col("s")).alias("w")).collect()}
+    got = {r.uid: r.w for r in df.groupBy("uid").agg(status.worst_status("s").alias("w")).collect()}
     assert got == {"001": "*****NN**NNNNNNNNNNNNNNA", "002": "/" * 24}
 
 
 def test_worst_status_rejects_short_text(spark):
     df = spark.createDataFrame([("001", "***")], "uid string, s string")
     with pytest.raises(Exception, match="shorter than 24"):
-        df.groupBy("uid").agg(status.worst_status(F.col("s"))).collect()
+        df.groupBy("uid").agg(status.worst_status("s")).collect()
 
 
 def test_severity_and_grades(spark):
