@@ -9,6 +9,7 @@ from millrace.functions.text import words
 from millrace.operators.ordered import (
     HOT_ROWS,
     Running,
+    between_scans,
     probe_hot_keys,
     row_numbers,
     running,
@@ -72,7 +73,8 @@ def sessions(
     breaks = F.col("__prev_ts").isNull() | (
         F.col(ts) - F.col("__prev_ts") > F.expr(f"interval {gap}")
     )
-    flagged = flagged.withColumn("__new", F.when(breaks, 1).otherwise(0).cast("long"))
+    flagged = flagged.withColumn("__new", F.when(breaks, 1).otherwise(0).cast("long")).drop("__prev_ts")
+    flagged = between_scans(flagged, hot)
     numbered = running(flagged, keys, order, {"__session": Running("sum", F.col("__new"))}, hot=hot)
     return (
         numbered.groupBy(*keys, "__session")

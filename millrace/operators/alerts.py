@@ -9,6 +9,7 @@ from pyspark.sql.types import ArrayType
 from millrace.operators.ordered import (
     HOT_ROWS,
     Running,
+    between_scans,
     probe_hot_keys,
     row_numbers,
     running,
@@ -77,13 +78,14 @@ def sustained_rise(
     rows = with_previous(rows, [key], order, {"__pv": value}, hot=hot)
     starts = F.col("__pv").isNull() & F.lit(first_reading_starts) & (F.col(value) > 0)
     rise = F.coalesce(F.col(value) > F.col("__pv"), starts)
-    rows = rows.withColumn("__rise", F.when(rise, F.col(ts)))
+    rows = between_scans(rows.withColumn("__rise", F.when(rise, F.col(ts))), hot)
     rows = running(
         rows, [key], order, {"__last_rise": Running("last", F.col("__rise"), inclusive=False)}, hot=hot
     )
     fall = F.coalesce(F.col(value) < F.col("__pv"), F.lit(False))
     pause = F.coalesce(F.col("__rise") - F.col("__last_rise") >= wait, F.lit(False))
     rows = rows.withColumn("__cut", F.when(fall | pause, 1).otherwise(0).cast("long"))
+    rows = between_scans(rows.drop("__pv", "__last_rise", value), hot)
     rows = running(rows, [key], order, {"__run": Running("sum", F.col("__cut"))}, hot=hot)
 
     # a cutting row also marks the end of the run before it

@@ -74,8 +74,8 @@ def edges(scripts: DataFrame) -> DataFrame:
 def downstream(edge_table: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFrame:
     """(root, table_name, depth): tables fed by each root, with the least number of steps.
 
-    Breadth first: only the frontier is joined in each round. Rounds are cut by reliable
-    checkpoints, and tables already reached are dropped, so cycles end.
+    Breadth first: only the frontier is joined in each round. Rounds are cut by written
+    tables, and names already reached are dropped, so cycles end.
     """
     steps = cut_lineage(
         edge_table.select(

@@ -34,7 +34,8 @@ class Running:
 
 
 def position(df: DataFrame, name: str) -> Column:
-    """An integer that grows with the column: microseconds for timestamps, whole units for numbers."""
+    """An integer that grows with the column: microseconds for timestamps, days for dates,
+    whole units for numbers."""
     kind = df.schema[name].dataType.typeName()
     c = F.col(name)
     if kind == "timestamp":
@@ -44,6 +45,8 @@ def position(df: DataFrame, name: str) -> Column:
         seconds = F.hour(c) * 3600 + F.minute(c) * 60
         micros = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
         return (days * 86_400 + seconds) * 1_000_000 + micros
+    if kind == "date":
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
     return F.floor(c).cast("long")
 
 
@@ -189,6 +192,12 @@ def _carry_rows(
     return per_slice.withColumns(carried).withColumn("__first", F.lit(0))
 
 
+def between_scans(df: DataFrame, hot: HotKeys | None) -> DataFrame:
+    """Put between two scans of the same keys: with hot keys each scan reads its input twice (rows
+    and carry), so the result of the scan before is written once instead of computed again."""
+    return df if hot is None else cut_lineage(df)
+
+
 def row_numbers(
     df: DataFrame, keys: list[str], order: list[str], name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:

@@ -18,8 +18,8 @@ def term(field: str, value) -> Column:
 
 
 def text_term(field: str, token: str) -> Column:
-    """One token of analyzed text."""
-    return F.array_contains(tokens(F.col(field)), token)
+    """One token of analyzed text; the plain substring test spares most texts the splitting."""
+    return F.lower(F.col(field)).contains(token) & F.array_contains(tokens(F.col(field)), token)
 
 
 def match(field: str, query: str) -> Column:

@@ -11,27 +11,32 @@ from millrace.plans import shared
 from millrace.plans.registry import query
 from millrace.sources.tables import load
 
-_CHAR_SQL = f"SELECT l_orderkey, l_linenumber, substr({shared.STATUS_SQL}, 1, 1) AS ch FROM lineitem"
+_CHAR_SQL = f"SELECT unnest(string_split({shared.STATUS_SQL}, '')) AS ch FROM lineitem"
 
 
-def _first_char(spark, sf):
-    return load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.substring(shared.status_text(), 1, 1).alias("ch")
-    )
+def _chars(spark, sf):
+    """Every character of every status text."""
+    chars = F.split(shared.status_text(), "")
+    return load(spark, sf, "lineitem").select(F.explode(chars).alias("ch"))
 
 
-@query("fn_status_rank", f"SELECT *, instr('{status.SEVERITY}', ch) AS severity FROM ({_CHAR_SQL})")
+@query(
+    "fn_status_rank",
+    f"SELECT ch, instr('{status.SEVERITY}', ch) AS severity, count(*) AS n FROM ({_CHAR_SQL}) GROUP BY ALL",
+)
 def fn_status_rank(spark, sf):
-    return _first_char(spark, sf).withColumn("severity", status.status_rank(F.col("ch")).cast("long"))
+    severity = status.status_rank(F.col("ch")).cast("long").alias("severity")
+    return _chars(spark, sf).groupBy("ch", severity).agg(shared.n_rows())
 
 
 @query(
     "fn_status_grade",
-    f"""SELECT *, CASE WHEN ch IN ('B','Z','D','G') THEN '8' WHEN ch BETWEEN '1' AND '7' THEN ch
-  WHEN ch IN ('0','A','N','M') THEN '0' WHEN ch IN ('*','C','#','/') THEN '.' END AS grade FROM ({_CHAR_SQL})""",
+    f"""SELECT ch, CASE WHEN ch IN ('B','Z','D','G') THEN '8' WHEN ch BETWEEN '1' AND '7' THEN ch
+  WHEN ch IN ('0','A','N','M') THEN '0' WHEN ch IN ('*','C','#','/') THEN '.' END AS grade, count(*) AS n
+FROM ({_CHAR_SQL}) GROUP BY ALL""",
 )
 def fn_status_grade(spark, sf):
-    return _first_char(spark, sf).withColumn("grade", status.status_grade(F.col("ch")))
+    return _chars(spark, sf).groupBy("ch", status.status_grade(F.col("ch")).alias("grade")).agg(shared.n_rows())
 
 
 _TEXT_SQL = """SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN '-' || o_orderkey WHEN '2-HIGH' THEN '+'

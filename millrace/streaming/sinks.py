@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 from millrace.operators import cdc
 from millrace.operators.joins import last_per_key
 from millrace.operators.routing import quarantine
+from millrace.sources import jdbc
 from millrace.sources.envelope import next_offsets
 from millrace.streaming.run import batch_folders
 
@@ -61,6 +62,11 @@ def persisted(handle: Handler) -> Handler:
     return write
 
 
+def jdbc_sink(**options) -> Handler:
+    """Batched appends to a JDBC table; a replayed batch is appended again (at least once)."""
+    return lambda df, batch_id: jdbc.append(df, **options)
+
+
 def cdc_sink(path: str, key: str, order: list[str], partition: str) -> Handler:
     """Merge each batch of (op, ...) rows into a partitioned table; replay gives the same table."""
 

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import dates, sql, status
-from millrace.operators import lineage, recon, search
-from millrace.sources import envelope, jdbc, sqlscript
+from millrace.functions import dates, rowkeys, sql, status
+from millrace.operators import lineage, recon, routing, search
+from millrace.session import scratch_path
+from millrace.sources import envelope, files, jdbc, sqlscript
 
 
 def test_split_statements():
@@ -110,3 +111,33 @@ def test_kafka_options():
     options = envelope.kafka_options("h:1", ["a", "b"], {"a": {0: 5}}, 10)
     assert options["startingOffsets"] == '{"a": {"0": 5}}'
     assert options["subscribe"] == "a,b" and options["maxOffsetsPerTrigger"] == "10"
+
+
+def test_routes_are_written_in_one_pass(spark):
+    df = routing.with_route(spark.range(10), {"low": F.col("id") < 3, "high": F.col("id") > 6})
+    path = scratch_path(spark, "routes")
+    routing.write_routes(df, path)
+    got = {r.route: r["count"] for r in spark.read.parquet(path).groupBy("route").count().collect()}
+    assert got == {"low": 3, "high": 3}
+
+
+def test_regions_are_sorted_ranges(spark):
+    df = spark.range(1000).select(rowkeys.salted_row_key(F.col("id").cast("string"), 8).alias("row_key"))
+    path = scratch_path(spark, "regions")
+    rowkeys.write_regions(df, "row_key", path, 4)
+    files = spark.read.parquet(path).groupBy("_metadata.file_name").agg(F.min("row_key").alias("lo"), F.max("row_key").alias("hi"))
+    ranges = sorted((r.lo, r.hi) for r in files.collect())
+    assert len(ranges) == 4 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert {r[0] for r in df.select(rowkeys.region_of(F.col("row_key"))).distinct().collect()} == set(range(8))
+
+
+def test_packing_restores_the_settings(spark):
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(n) for n in names]
+    source, target = scratch_path(spark, "tiny"), scratch_path(spark, "packed")
+    spark.range(40).select(F.col("id").cast("string")).repartition(40).write.text(source)
+    files.pack_small_files(spark, source, target, "*.txt")
+    packed = spark.read.parquet(target)
+    assert packed.count() > 1 and len(packed.inputFiles()) == 1
+    assert sorted(int(r.value) for r in files.unpack_lines(packed).collect()) == list(range(40))
+    assert [spark.conf.get(n) for n in names] == before
