@@ -42,7 +42,8 @@ def latest(cells: DataFrame) -> DataFrame:
 def keep_versions(cells: DataFrame, versions: int, tie: list[str] = ()) -> DataFrame:
     """At most n newest versions per cell; the rank limit is applied before the shuffle as well."""
     w = Window.partitionBy(*CELL).orderBy(F.desc("ts"), *[F.desc(c) for c in tie])
-    return cells.withColumn("version", F.row_number().over(w)).where(F.col("version") <= versions)
+    ranked = cells.withColumn("version", F.row_number().over(w)).where(F.col("version") <= versions)
+    return ranked.withColumn("version", F.col("version").cast("long"))
 
 
 def update(cells: DataFrame, changes: DataFrame) -> DataFrame:

@@ -232,12 +232,12 @@ def stream_rate_blacklist(spark, sf):
 
 @query("stream_last_n_list", _LAST3_SQL.format(k=shared.K_SQL))
 def stream_last_n_list(spark, sf):
-    """The list after the last micro-batch of each user is the longest-lived one."""
+    """Each micro-batch emits the lists of its users; the last one of a user stands."""
     rows = _readings(spark, sf, "cast(get_json_object(props, '$.k') as bigint)")
-    out = state.apply_state(rows, "user_id", state.LastN(3))
-    texts = F.transform("last_values", lambda v: v.cast("bigint").cast("string"))
-    fired = drain(out, "last-n")
-    return fired.withColumn("last_values", F.array_join(texts, ","))
+    fired = drain(state.apply_state(rows, "user_id", state.LastN(3)), "last-n")
+    last = fired.groupBy("user_id").agg(F.max_by("last_values", "seq").alias("v"))
+    texts = F.transform("v", lambda v: v.cast("bigint").cast("string"))
+    return last.select("user_id", F.array_join(texts, ",").alias("last_values"))
 
 
 @query("stream_count_window_avg", COUNT_WINDOW_SQL)

@@ -127,9 +127,9 @@ class RateBlacklist(StatefulProcessor):
 
 
 class LastN(StatefulProcessor):
-    """(key, last_values) after each micro-batch: the newest n values, oldest first."""
+    """(key, seq, last_values) after each micro-batch: the newest n values, oldest first, as of seq."""
 
-    OUTPUT = "last_values array<double>"
+    OUTPUT = "seq bigint, last_values array<double>"
     TIME = "None"
 
     def __init__(self, n: int):
@@ -140,9 +140,10 @@ class LastN(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = [v[0] for v in self.values.get()] if self.values.exists() else []
-        held = (held + [r["value"] for r in _ordered(rows)])[-self.n :]
+        fresh = _ordered(rows)
+        held = (held + [r["value"] for r in fresh])[-self.n :]
         self.values.put([(v,) for v in held])
-        yield Row(key=key[0], last_values=held)
+        yield Row(key=key[0], seq=fresh[-1]["seq"], last_values=held)
 
     def close(self) -> None:
         pass

@@ -79,6 +79,12 @@ def test_blacklist_and_count_windows_over_batches(spark, events, in_order, rows_
     assert rows_of(averages) == rows_of(twin.select("user_id", "window_no", "avg_value"))
 
 
+def test_last_n_over_batches(spark, events, in_order, rows_of):
+    fired = drain(state.apply_state(readings(spark, in_order, events.schema), "user_id", state.LastN(3)), "t-last")
+    last = fired.groupBy("user_id").agg(F.max_by("last_values", "seq"))
+    assert rows_of(last) == rows_of(aggs.last_n_values(events, ["user_id"], ORDER, "value", 3))
+
+
 def test_asof_join_over_batches(spark, events, in_order, rows_of):
     from millrace.operators import joins
 
