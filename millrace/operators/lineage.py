@@ -27,8 +27,9 @@ _CTES = rf"(?i)(?:\bwith|,)\s*({_NAME})\s+as\s*\("
 
 def statements(scripts: DataFrame) -> DataFrame:
     """(script_id, sql) to (script_id, statement_no, statement) without comments and literals."""
-    clean = F.regexp_replace(F.regexp_replace("sql", _NOISE, " "), "`", "")
-    cut = scripts.select("script_id", F.posexplode(F.split(clean, ";")).alias("pos", "statement"))
+    clean = F.replace(F.regexp_replace("sql", _NOISE, " "), F.lit("`"), F.lit(""))
+    # the outer form does not test the array's size first, which would clean all texts twice
+    cut = scripts.select("script_id", F.posexplode_outer(F.split(clean, ";")).alias("pos", "statement"))
     return cut.where(F.col("statement").rlike(r"\S")).select(
         "script_id", F.col("pos").cast("long").alias("statement_no"), "statement"
     )
@@ -37,7 +38,7 @@ def statements(scripts: DataFrame) -> DataFrame:
 def _sources(text: Column) -> Column:
     lists = F.regexp_extract_all(text, F.lit(_SOURCES), F.lit(1))
     items = F.flatten(F.transform(lists, lambda s: F.split(s, r"\s*,\s*")))
-    return F.array_distinct(F.transform(items, lambda s: F.regexp_extract(F.trim(s), r"^(\S+)", 1)))
+    return F.array_distinct(F.transform(items, lambda s: F.element_at(F.split(s, r"\s"), 1)))
 
 
 def table_names(scripts: DataFrame) -> DataFrame:

@@ -7,8 +7,10 @@ keys; here a key's rows of one micro-batch pass through one task, bounded by the
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -16,6 +18,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.session import use_rocksdb_state
 
 
+# processors travel to the executors by value, so the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def apply_state(df: DataFrame, key: str, processor: StatefulProcessor) -> DataFrame:
     """Rows (key, seq, ts, value) through one of the processors below; key keeps its name.
 
