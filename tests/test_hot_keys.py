@@ -127,7 +127,7 @@ def test_lateness(events, rows_of):
     assert 0 < sum(r[1] for r in rows) < len(rows)
 
 
-def reference_rise(readings, wait, until=None):
+def one_by_one_rise(readings, wait, until=None):
     """One reading after the other, as a state machine."""
     alerts_, previous, timer, last = [], None, None, None
     for at, value in readings:
@@ -170,14 +170,14 @@ def test_sustained_rise_against_the_state_machine(spark, hot_rows, until):
             value += -1 if rng.random() < falls else rng.choice([0, 1])
             readings.append((at, value))
         keyed[k] = readings
-    expected = {k: reference_rise(r, 10, until) for k, r in keyed.items()}
+    expected = {k: one_by_one_rise(r, 10, until) for k, r in keyed.items()}
     assert rise_on_spark(spark, keyed, 10, hot_rows, until) == expected
 
 
 def test_one_endless_rise_is_solved_by_jumps(spark):
     """A counter that never falls and never pauses: one run of 500 rises."""
     readings = [(i, float(i + 1)) for i in range(500)]
-    assert rise_on_spark(spark, {"a": readings}, 7, 20)["a"] == reference_rise(readings, 7)
+    assert rise_on_spark(spark, {"a": readings}, 7, 20)["a"] == one_by_one_rise(readings, 7)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
