@@ -20,12 +20,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIGEST_BYTES = 7
 BUCKET_BYTES = 32 << 20
+#: At least 32 buckets, for even work on small inputs too.
+LEAST_BITS = 5
 
 
 def bucket_bits(docs: DataFrame, text: str = "text") -> int:
-    """So many bits that the hashes of one bucket stem from about 32 MB of text."""
+    """So many bits that the hashes of one bucket stem from about 32 MB of text, or less."""
     total = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    return max(0, (total // BUCKET_BYTES).bit_length())
+    return max(LEAST_BITS, (total // BUCKET_BYTES).bit_length())
 
 
 def cut(hashes: np.ndarray, bits: int) -> np.ndarray:
