@@ -26,7 +26,6 @@ told apart by nothing but their text; a component holds the ids.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import sys
 from collections.abc import Iterator
 
@@ -47,8 +46,8 @@ PERCENT = 80
 LENGTH_CAP = 255
 #: Records of one list that one task takes together.
 BLOCK = 512
-#: So many next records of its block does a record meet before components are known.
-NEAR = 4
+#: So many next records of its block does a record meet, round by round, before it meets them all.
+NEAR = (2, 8)
 
 _SENT = "bucket int, kind int, doc_id bigint, n bigint, digest binary, steps binary, runs binary, hashes binary, lengths binary"
 _KNOWN = "kind int, doc_id bigint, n bigint, digest binary, hashes binary, lengths binary"
@@ -200,28 +199,46 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(percent: int, near: int):
-    """Candidates of one block, or of two blocks, of a list; with near > 0 of close records only."""
+    """Candidates of lists, or of pairs of blocks of a list, that come one after the other by size.
+
+    A record is held against those that follow in its list: with near > 0 against so many, else
+    against all whose size still allows the overlap.
+    """
     schema = _schema("a bigint, b bigint")
 
-    def run(table: pa.Table) -> pa.Table:
-        sides: dict[int, list[tuple]] = {}
-        for side, *record in zip(*(table[c].to_pylist() for c in ("side", "n", "doc_id", "after", "component")), strict=True):
-            sides.setdefault(side, []).append((*record, side))
-        merged = list(heapq.merge(*(sorted(rows) for rows in sides.values())))
-        found = set()
-        for i, (n, doc, after, component, side) in enumerate(merged):
-            met = 0
-            for m, other, left, its, its_side in merged[i + 1 :]:
-                if 100 * n < percent * m:
-                    break
-                if its == component or len(sides) > 1 and its_side == side:
-                    continue
-                if 1 + min(after, left) >= least_overlap(n, m, percent):
-                    found.add((doc, other) if doc < other else (other, doc))
-                    met += 1
-                    if met == near:
-                        break
-        return pa.Table.from_batches([_batch(sorted(found), schema)])
+    def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
+        shingle, block, other, n, doc, after, component, side = cols
+        begins = np.ones(len(n), bool)
+        begins[1:] = (shingle[1:] != shingle[:-1]) | (block[1:] != block[:-1]) | (other[1:] != other[:-1])
+        group = np.cumsum(begins)
+        first, found, step = np.arange(len(n)), [], 0
+        while len(first) and (not near or step < near):
+            step += 1
+            first = first[first + step < len(n)]
+            second = first + step
+            open_ = (group[first] == group[second]) & (100 * n[first] >= percent * n[second])
+            first, second = first[open_], second[open_]
+            new = component[first] != component[second]
+            new &= (side[first] != side[second]) | (block[first] == other[first])
+            new &= 1 + np.minimum(after[first], after[second]) >= least_overlap(n[first], n[second], percent)
+            found.append(np.sort(np.stack([doc[first[new]], doc[second[new]]], axis=1), axis=1))
+        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
+            if not len(cols[0]):
+                continue
+            last = cols[0] == cols[0][-1]  # the list at the end may go on in the next batch
+            cut = int(np.argmax(last & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])))
+            if cut:
+                yield pairs([c[:cut] for c in cols])
+            held = [c[cut:] for c in cols]
+        if held is not None:
+            yield pairs(held)
 
     return run
 
@@ -250,33 +267,41 @@ def _verify(percent: int):
 def components(links: DataFrame) -> DataFrame:
     """(doc_id, component): the smallest document that links (a, b) reach, for every linked document.
 
-    Each round a document takes the smallest label around it, and then the label of its label.
+    Each round every vertex moves to the smallest vertex around it, a chain of moves is followed one
+    step further, and the links of merged vertices shrink to links between the new ones.
     """
-    both = cut_lineage(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
-    while True:
-        around = both.join(labels.withColumnRenamed("doc_id", "b"), "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("component").alias("least"))
-        lower = labels.join(around, "doc_id").select("doc_id", F.least("component", "least").alias("label"), F.col("component").alias("was"))
-        jump = labels.select(F.col("doc_id").alias("label"), F.col("component").alias("further"))
-        lower = cut_lineage(
-            lower.join(jump, "label", "left").select("doc_id", F.least("label", F.coalesce("further", "label")).alias("component"), "was")
-        )
-        labels = lower.drop("was")
-        if lower.where("component <> was").limit(1).count() == 0:
-            return labels
-
-
-def _in_blocks(lists: DataFrame, percent: int, near: int, seed: int) -> DataFrame:
+    edges = cut_lineage(links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high").distinct())
+    vertices = edges.select("low").union(edges.select("high")).distinct()
+    labels = vertices.select(F.col("low").alias("doc_id"), F.col("low").alias("component"))
+    while edges.limit(1).count():
+        down = edges.groupBy(F.col("high").alias("vertex")).agg(F.min("low").alias("target"))
+        further = down.select(F.col("vertex").alias("target"), F.col("target").alias("beyond"))
+        moves = cut_lineage(down.join(further, "target", "left").select("vertex", F.coalesce("beyond", "target").alias("target")))
+
+        def moved(df: DataFrame, column: str) -> DataFrame:
+            onto = moves.select(F.col("vertex").alias(column), "target")
+            return df.join(onto, column, "left").withColumn(column, F.coalesce("target", column)).drop("target")
+
+        labels = cut_lineage(moved(labels, "component"))
+        ends = moved(moved(edges, "high"), "low")
+        ends = ends.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high"))
+        edges = cut_lineage(ends.where("low < high").distinct())
+    return labels
+
+
+def _candidates(lists: DataFrame, percent: int, near: int) -> DataFrame:
     """Candidate pairs of every list whose records do not all share a component."""
     size = lists.groupBy("shingle").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = size.where("low <> high").select("shingle", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    dealt = lists.join(open_, "shingle").withColumn("block", F.expr(f"cast(pmod(xxhash64(doc_id, {seed}), blocks) as int)"))
+    dealt = lists.join(open_, "shingle").withColumn("block", F.expr(f"cast(pmod(xxhash64(doc_id, {near}), blocks) as int)"))
     if near:
         met = dealt.withColumns({"other": F.col("block"), "side": F.lit(0)})
     else:  # block i meets block j: the record goes to all pairs with its own block in it
         met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         met = met.withColumns({"other": F.greatest("block", "with"), "side": F.col("block")}).withColumn("block", F.least("block", "with"))
-    return met.groupBy("shingle", "block", "other").applyInArrow(_merge(percent, near), "a bigint, b bigint").distinct()
+    rows = met.select("shingle", "block", "other", "n", "doc_id", "after", "component", "side").repartition("shingle", "block", "other")
+    ordered = rows.sortWithinPartitions("shingle", "block", "other", "n", "doc_id")
+    return ordered.mapInArrow(_merge(percent, near), "a bigint, b bigint").distinct()
 
 
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, all_pairs: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -306,12 +331,14 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, all_pa
 
     alone = lists.withColumn("component", F.col("doc_id"))
     if all_pairs:
-        return documents, cut_lineage(verified(_in_blocks(alone, percent, 0, 1)))
-    links = cut_lineage(verified(_in_blocks(alone, percent, NEAR, 1)))
-    groups = components(links)
-    grouped = lists.join(groups, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    rest = verified(_in_blocks(grouped, percent, 0, 2))
-    return documents, cut_lineage(links.union(rest))
+        return documents, cut_lineage(verified(_candidates(alone, percent, 0)))
+    links, grouped = None, alone
+    for near in (*NEAR, 0):
+        more = verified(_candidates(grouped, percent, near))
+        links = cut_lineage(more if links is None else links.union(more))
+        if near:
+            grouped = lists.join(components(links), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return documents, links
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

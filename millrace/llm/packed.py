@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIGEST_BYTES = 7
-BUCKET_BYTES = 32 << 20
-#: At least 32 buckets, for even work on small inputs too.
-LEAST_BITS = 5
+BUCKET_BYTES = 16 << 20
+#: At least 64 buckets, for even work on small inputs too.
+LEAST_BITS = 6
 
 
 def bucket_bits(docs: DataFrame, text: str = "text") -> int:
-    """So many bits that the hashes of one bucket stem from about 32 MB of text, or less."""
+    """So many bits that the hashes of one bucket stem from about 16 MB of text, or less."""
     total = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     return max(LEAST_BITS, (total // BUCKET_BYTES).bit_length())
 
