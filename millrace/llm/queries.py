@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ngram_join, substrings
+from millrace.llm import bpe, decontam, ngram_join, secrets, substrings
 from millrace.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,36 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_decontamination(spark, sf):
+    return decontam.contamination(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+ORACLES["op1_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS s
+  FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(p) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT * FROM d CROSS JOIN lengths), unnest(range(1, len(w) - n + 2)) AS t(p)),
+met AS (SELECT doc_id, p, n, item_id FROM doc_windows JOIN item_windows USING (n, s)),
+places AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM met, unnest(range(p, p + n)) AS t(q) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM met) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 @query
 def op4_substring_dedup(spark, sf):
     return substrings.remove_repeats(load(spark, sf, "documents"), with_text=False)
@@ -66,3 +96,14 @@ reach(doc_id, other) AS (
 least_id AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)"""
+
+
+@query
+def op7_bpe(spark, sf):
+    columns = ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode(load(spark, sf, "documents"), columns=columns)
+
+
+@query
+def op9_secret_scan(spark, sf):
+    return secrets.scan(load(spark, sf, "documents"))
