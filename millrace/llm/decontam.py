@@ -74,27 +74,28 @@ def _document_counts(vocabulary):
     return run
 
 
+def _hits(own: list[bytes], filed: dict) -> tuple[set, set]:
+    places, items = set(), set()
+    for at, word in enumerate(own):
+        if word in filed:
+            for before, window, its_items in filed[word]:
+                first = at - before
+                if first >= 0 and first + len(window) <= len(own) and own[first : first + len(window)] == window:
+                    places.update(range(first, first + len(window)))
+                    items.update(its_items)
+    return places, items
+
+
 def _scan(index):
     """Add the hit places and items that the windows of one block give."""
 
-    def hits(own: list[bytes], filed: dict) -> tuple[set, set]:
-        places, items = set(), set()
-        for at, word in enumerate(own):
-            if word in filed:
-                for before, window, its_items in filed[word]:
-                    first = at - before
-                    if first >= 0 and first + len(window) <= len(own) and own[first : first + len(window)] == window:
-                        places.update(range(first, first + len(window)))
-                        items.update(its_items)
-        return places, items
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filed = index.value
         for batch in batches:
             totals, all_places, all_items = [], [], []
             for text, places, items in zip(words.utf8(batch.column(1)), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 own = split_words(text)
-                more_places, more_items = hits(own, filed)
+                more_places, more_items = _hits(own, filed)
                 totals.append(len(own))
                 all_places.append(sorted(more_places.union(places or ())))
                 all_items.append(sorted(more_items.union(items or ())))
@@ -117,23 +118,35 @@ def _file_windows(windows: dict[bytes, set[str]], counts: dict[bytes, int]) -> d
     return filed
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, text, n_words, hits (places of hit words), items (ids of items with a window there)."""
+def _blocks(docs: DataFrame, benchmark: DataFrame, size: int) -> Iterator:
+    """For each block of windows, the broadcast index that `_scan` and `_drop` take."""
     sc = docs.sparkSession.sparkContext
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
     windows = cut_lineage(items.mapInArrow(_item_windows(size), "item_id string, window binary").distinct())
     n_bytes = windows.select(F.sum(F.octet_length("window") + F.octet_length("item_id") + 64).alias("n")).first()["n"] or 0
-    blocks = -(-n_bytes // BLOCK_BYTES)
-    found = texts.select("*", F.lit(0).cast("bigint").alias("n_words"), F.lit(None).cast("array<int>").alias("hits"), F.lit(None).cast("array<string>").alias("items"))
-    for block in range(max(1, blocks)):
+    blocks = max(1, -(-n_bytes // BLOCK_BYTES))
+    for block in range(blocks):
         own: dict[bytes, set[str]] = {}
-        for row in windows.where(F.pmod(F.xxhash64("window"), F.lit(max(1, blocks))) == block).toLocalIterator():
+        for row in windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block).toLocalIterator():
             own.setdefault(bytes(row["window"]), set()).add(row["item_id"])
         vocabulary = sc.broadcast({w for window in own for w in window.split()})
-        counted = texts.select("text").where("text is not null").mapInArrow(_document_counts(vocabulary), "word binary, n bigint")
-        counts = {bytes(r["word"]): r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator()} if own else {}
-        found = found.mapInArrow(_scan(sc.broadcast(_file_windows(own, counts))), _FOUND)
+        counted = texts.mapInArrow(_document_counts(vocabulary), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        counts = {bytes(r["word"]): r["n"] for r in counted.toLocalIterator()} if own else {}
+        yield sc.broadcast(_file_windows(own, counts))
+
+
+def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """doc_id, text, n_words, hits (places of hit words), items (ids of items with a window there)."""
+    found = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.lit(0).cast("bigint").alias("n_words"),
+        F.lit(None).cast("array<int>").alias("hits"),
+        F.lit(None).cast("array<string>").alias("items"),
+    )
+    for index in _blocks(docs, benchmark, size):
+        found = found.mapInArrow(_scan(index), _FOUND)
     return found
 
 
@@ -161,7 +174,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
 
 
+def _drop(index, text_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filed = index.value
+        for batch in batches:
+            clean = [not _hits(split_words(t), filed)[0] for t in words.utf8(batch.column(text_at))]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of docs, all columns, whose text holds no window of the benchmark."""
-    dirty = find_passages(docs, benchmark, size).where(F.size("hits") > 0).select("text").distinct()
-    return docs.join(dirty, "text", "left_anti").select(*docs.columns)
+    clean = docs
+    for index in _blocks(docs, benchmark, size):
+        clean = clean.mapInArrow(_drop(index, docs.columns.index("text")), docs.schema)
+    return clean

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontam, ngram_join, secrets, substrings
+from millrace.llm import bpe, decontam, merkle, ngram_join, secrets, shards, substrings
 from millrace.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+@query
+def op2_sharding(spark, sf):
+    return shards.assign(load(spark, sf, "documents"))
+
+
 @query
 def op4_substring_dedup(spark, sf):
     return substrings.remove_repeats(load(spark, sf, "documents"), with_text=False)
@@ -107,3 +112,37 @@ def op7_bpe(spark, sf):
 @query
 def op9_secret_scan(spark, sf):
     return secrets.scan(load(spark, sf, "documents"))
+
+
+@query
+def op10_merkle_fingerprint(spark, sf):
+    return merkle.compare_edits(load(spark, sf, "documents"))
+
+
+ORACLES["op10_merkle_fingerprint"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (
+  SELECT doc_id, text, length(text) // 3 AS k,
+    coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text FROM d WINDOW w AS (ORDER BY doc_id DESC, text
+    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT *, substr(text, 1, length(text) - k) || substr(next_text, 1, k) AS edited FROM n),
+texts AS (SELECT DISTINCT t FROM (SELECT text AS t FROM e UNION ALL SELECT edited FROM e)),
+trees AS (
+  SELECT t, list_transform(string_split(t, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
+    lambda p: array_to_string(list_transform(regexp_extract_all(p, '(?s).{1,32}'), lambda x: md5(x)[1:8]), ','))) AS tree
+  FROM texts),
+written AS (
+  SELECT t, array_to_string(list_transform(tree, lambda s:
+      md5(array_to_string(list_transform(s, lambda p: md5(p)), ','))[1:16]), ',') || '|' ||
+    array_to_string(list_transform(tree, lambda s: array_to_string(s, '/')), ';') AS w,
+    list_distinct(list_filter(string_split_regex(array_to_string(list_transform(tree,
+      lambda s: array_to_string(s, '/')), ';'), '[,/;]'), lambda x: x <> '')) AS leaves
+  FROM trees),
+prints AS (SELECT t, sha256(w) || '|' || w AS fp, leaves FROM written)
+SELECT doc_id, length(e.text) AS n_chars, sha256(edited) AS edited_sha256, a.fp AS fingerprint,
+  b.fp AS edited_fingerprint,
+  CASE WHEN a.fp = b.fp THEN 1.0::DOUBLE
+    ELSE 2.0::DOUBLE * len(list_intersect(a.leaves, b.leaves)) / (len(a.leaves) + len(b.leaves)) END AS near_edited,
+  CASE WHEN a.fp = c.fp THEN 1.0::DOUBLE
+    ELSE 2.0::DOUBLE * len(list_intersect(a.leaves, c.leaves)) / (len(a.leaves) + len(c.leaves)) END AS near_next
+FROM e JOIN prints a ON a.t = e.text JOIN prints b ON b.t = e.edited JOIN prints c ON c.t = e.next_text"""

@@ -63,18 +63,19 @@ def byte_set(members: bytes, inverted: bool = False) -> np.ndarray:
 NOT_SPACE = byte_set(WHITE_SPACE, inverted=True)
 
 
-def spans(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every maximal run of word bytes."""
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = is_word[data]
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return edges[0::2], edges[1::2]
+def spans(data: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every maximal run of bytes of one kind; kind 0 (False) lies between words."""
+    own = np.zeros(len(data) + 2, kinds.dtype)
+    own[1:-1] = kinds[data]
+    edges = np.flatnonzero(own[1:] != own[:-1])
+    inside = np.flatnonzero(own[1:][edges[:-1]]) if len(edges) else edges
+    return edges[inside], edges[inside + 1]
 
 
-def hashed_words(texts: list[bytes], is_word: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: list[bytes], kinds: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in order, and the number of words of each text.
 
-    A space must be no word byte. The work goes block by block, cut between words.
+    A space must be of kind 0. The work goes block by block, cut between words.
     """
     data = b" ".join(texts)
     view = np.frombuffer(data, np.uint8)
@@ -82,10 +83,10 @@ def hashed_words(texts: list[bytes], is_word: np.ndarray = NOT_SPACE) -> tuple[n
     low = 0
     while low < len(data):
         high = min(low + _BLOCK, len(data))
-        while high < len(data) and is_word[data[high]]:
+        while high < len(data) and kinds[data[high]]:
             high += 1
         block = view[low:high]
-        starts, ends = spans(block, is_word)
+        starts, ends = spans(block, kinds)
         if len(starts):
             hashes.append(_range_sums(_byte_values()[block], starts, ends, _BASE))
             firsts.append(starts + low)
