@@ -49,8 +49,12 @@ BLOCK = 512
 #: So many next records of its block does a record meet, round by round, before it meets them all.
 NEAR = (2, 8)
 
-_SENT = "bucket int, kind int, doc_id bigint, n bigint, digest binary, steps binary, runs binary, hashes binary, lengths binary"
-_KNOWN = "kind int, doc_id bigint, n bigint, digest binary, hashes binary, lengths binary"
+#: Bits of the parity sketch that a record takes along.
+SKETCH = 512
+
+_SENT = "bucket int, doc_id bigint, steps binary, runs binary, hashes binary, lengths binary"
+_KNOWN = "doc_id bigint, hashes binary, lengths binary"
+_POSTING = "shingle bigint, n bigint, doc_id bigint, after bigint, shared bigint, sketch binary"
 _KINDS = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
@@ -86,20 +90,38 @@ def _sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
         at += count
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
+    rows = (
+        (doc, text.lower())  # of bytes, this changes A-Z only
+        for batch in batches
+        for doc, text in zip(batch.column(0).to_pylist(), words.utf8(batch.column(1)), strict=True)
+    )
+    return words.in_chunks(rows, 1)
+
+
+def _digest(own: np.ndarray) -> bytes:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+
+
+def _digests(size: int):
+    schema = _schema("doc_id bigint, n bigint, digest binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _folded(batches):
+            sets = _sets([t for _, t in chunk], size)
+            yield _batch([(doc, len(own), _digest(own)) for (doc, _), own in zip(chunk, sets, strict=True)], schema)
+
+    return run
+
+
 def _emit(size: int, bits: int):
     schema = _schema(_SENT)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), words.utf8(batch.column(1)), strict=True):
-                yield doc, text.lower()  # of bytes, this changes A-Z only
-
     def chunk_rows(chunk: list[tuple]) -> Iterator[tuple]:
         chunk = sorted(chunk, key=lambda r: r[0])
         ids, sets, seen = [], [], set()
         for (doc, _), own in zip(chunk, _sets([r[1] for r in chunk], size), strict=True):
-            digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-            yield doc & ((1 << bits) - 1), 0, doc, len(own), digest, None, None, None, None
+            digest = _digest(own)
             if len(own) and digest not in seen:  # of equal sets the chunk's first speaks for all
                 seen.add(digest)
                 ids.append(doc)
@@ -117,15 +139,15 @@ def _emit(size: int, bits: int):
         send = np.ones(len(order), bool)
         send[order] = place < LENGTH_CAP
         for bucket, steps, runs, digests in packed.by_bucket(docs[send], hashes[send], bits):
-            yield bucket, 1, None, None, None, steps, runs, digests, None
+            yield bucket, None, steps, runs, digests, None
         docs, hashes = docs[full & ~send], hashes[full & ~send]
         for doc, at in packed.per_document(docs):
             for bucket, _, _, digests in packed.by_bucket(docs[at], hashes[at], bits):
                 known = bytes([LENGTH_CAP]) * (len(digests) // packed.DIGEST_BYTES)
-                yield bucket, 2, doc, None, None, None, None, digests, known
+                yield bucket, doc, None, None, digests, known
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in words.in_chunks(rows(batches), 1):
+        for chunk in _folded(batches):
             yield _batch(list(chunk_rows(chunk)), schema)
 
     return emit
@@ -136,16 +158,13 @@ def _list_lengths(bits: int):
 
     def count(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        kinds = np.array(table["kind"].to_pylist())
         rows, open_ = [], []
-        columns = [table[c].to_pylist() for c in ("doc_id", "n", "digest", "steps", "runs", "hashes", "lengths")]
-        for kind, (doc, n, digest, steps, runs, hashes, lengths) in zip(kinds, zip(*columns, strict=True), strict=True):
-            if kind == 0:
-                rows.append((0, doc, n, digest, None, None))
-            elif kind == 1:
+        columns = [table[c].to_pylist() for c in ("doc_id", "steps", "runs", "hashes", "lengths")]
+        for doc, steps, runs, hashes, lengths in zip(*columns, strict=True):
+            if doc is None:
                 open_.append((steps, runs, hashes))
             else:
-                rows.append((1, doc, None, None, packed.unpack(hashes, bucket, bits).tobytes(), lengths))
+                rows.append((doc, packed.unpack(hashes, bucket, bits).tobytes(), lengths))
         docs, hashes = packed.from_bucket(open_, bucket, bits)
         order = np.argsort(hashes)
         docs, hashes = docs[order], hashes[order]
@@ -155,7 +174,7 @@ def _list_lengths(bits: int):
         shared = lengths > 1
         docs, hashes, lengths = docs[shared], hashes[shared], lengths[shared]
         for doc, at in packed.per_document(docs):
-            rows.append((1, doc, None, None, hashes[at].tobytes(), lengths[at].tobytes()))
+            rows.append((doc, hashes[at].tobytes(), lengths[at].tobytes()))
         return pa.Table.from_batches([_batch(rows, schema)])
 
     return count
@@ -182,19 +201,21 @@ def _records(percent: int):
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shingle, n, doc_id, after): `after` shared shingles follow in the document's order."""
+    """A record's entries in its short lists: `after` shared shingles follow there, of `shared` in all.
+
+    The sketch has a bit for each residue of hashes: whether an odd number of shared shingles has it.
+    Two sketches differ in at most as many bits as their sets have shingles of one side only.
+    """
     for batch in batches:
         for doc, n, short, hashes in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             own = np.frombuffer(hashes, np.uint64)
             k = min(short, len(own))
+            residues = (words.mix(own) % np.uint64(SKETCH)).astype(np.int64)
+            sketch = np.packbits(np.bincount(residues, minlength=SKETCH) & 1).tobytes()
+            fixed = [np.full(k, n), np.full(k, doc), len(own) - 1 - np.arange(k), np.full(k, len(own))]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(own[:k].view(np.int64)),
-                    pa.array(np.full(k, n, np.int64)),
-                    pa.array(np.full(k, doc, np.int64)),
-                    pa.array(len(own) - 1 - np.arange(k), pa.int64()),
-                ],
-                names=["shingle", "n", "doc_id", "after"],
+                [pa.array(own[:k].view(np.int64)), *(pa.array(f, pa.int64()) for f in fixed), pa.array([sketch] * k, pa.binary())],
+                names=[c.split()[0] for c in _POSTING.split(", ")],
             )
 
 
@@ -207,7 +228,7 @@ def _merge(percent: int, near: int):
     schema = _schema("a bigint, b bigint")
 
     def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
-        shingle, block, other, n, doc, after, component, side = cols
+        shingle, block, other, n, doc, after, shared, component, side, sketch = cols
         begins = np.ones(len(n), bool)
         begins[1:] = (shingle[1:] != shingle[:-1]) | (block[1:] != block[:-1]) | (other[1:] != other[:-1])
         group = np.cumsum(begins)
@@ -218,17 +239,26 @@ def _merge(percent: int, near: int):
             second = first + step
             open_ = (group[first] == group[second]) & (100 * n[first] >= percent * n[second])
             first, second = first[open_], second[open_]
+            going = first
             new = component[first] != component[second]
             new &= (side[first] != side[second]) | (block[first] == other[first])
-            new &= 1 + np.minimum(after[first], after[second]) >= least_overlap(n[first], n[second], percent)
-            found.append(np.sort(np.stack([doc[first[new]], doc[second[new]]], axis=1), axis=1))
+            least = least_overlap(n[first], n[second], percent)
+            new &= 1 + np.minimum(after[first], after[second]) >= least
+            first, second, least = first[new], second[new], least[new]
+            apart = np.bitwise_count(sketch[first] ^ sketch[second]).sum(axis=1, dtype=np.int64)
+            near_enough = apart <= shared[first] + shared[second] - 2 * least
+            first_kept, second_kept = first[near_enough], second[near_enough]
+            found.append(np.sort(np.stack([doc[first_kept], doc[second_kept]], axis=1), axis=1))
+            first = going
         both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(9)]
+            sketches = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint64)
+            cols.append(sketches.reshape(-1, SKETCH // 64))
             cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
             if not len(cols[0]):
                 continue
@@ -299,7 +329,7 @@ def _candidates(lists: DataFrame, percent: int, near: int) -> DataFrame:
     else:  # block i meets block j: the record goes to all pairs with its own block in it
         met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         met = met.withColumns({"other": F.greatest("block", "with"), "side": F.col("block")}).withColumn("block", F.least("block", "with"))
-    rows = met.select("shingle", "block", "other", "n", "doc_id", "after", "component", "side").repartition("shingle", "block", "other")
+    rows = met.select("shingle", "block", "other", "n", "doc_id", "after", "shared", "component", "side", "sketch").repartition("shingle", "block", "other")
     ordered = rows.sortWithinPartitions("shingle", "block", "other", "n", "doc_id")
     return ordered.mapInArrow(_merge(percent, near), "a bigint, b bigint").distinct()
 
@@ -313,15 +343,15 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, all_pa
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     bits = packed.bucket_bits(texts)
-    known = cut_lineage(texts.mapInArrow(_emit(size, bits), _SENT).groupBy("bucket").applyInArrow(_list_lengths(bits), _KNOWN))
-    members = known.where("kind = 0").select("doc_id", "n", "digest")
+    members = cut_lineage(texts.mapInArrow(_digests(size), "doc_id bigint, n bigint, digest binary"))
     classes = members.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("class_id"))
     documents = members.join(classes.select("digest", "class_id"), "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), "class_id")
 
-    shared = known.where("kind = 1").groupBy("doc_id").agg(F.collect_list(F.struct("hashes", "lengths")).alias("parts"))
+    known = texts.mapInArrow(_emit(size, bits), _SENT).groupBy("bucket").applyInArrow(_list_lengths(bits), _KNOWN)
+    shared = known.groupBy("doc_id").agg(F.collect_list(F.struct("hashes", "lengths")).alias("parts"))
     records = shared.join(classes.select(F.col("class_id").alias("doc_id"), "n"), "doc_id").select("doc_id", "n", "parts")
     records = cut_lineage(records.mapInArrow(_records(percent), "doc_id bigint, n bigint, short int, hashes binary"))
-    lists = cut_lineage(records.mapInArrow(_postings, "shingle bigint, n bigint, doc_id bigint, after bigint"))
+    lists = records.mapInArrow(_postings, _POSTING)
 
     def verified(pairs: DataFrame) -> DataFrame:
         sets = records.select("doc_id", "n", "hashes")
