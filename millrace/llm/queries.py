@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontam, merkle, ngram_join, secrets, shards, substrings
+from millrace.llm import bpe, decontam, html_main, merkle, ngram_join, quality, secrets, shards, substrings, token_counts
 from millrace.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +54,16 @@ def op2_sharding(spark, sf):
     return shards.assign(load(spark, sf, "documents"))
 
 
+@query
+def op3_token_counts(spark, sf):
+    """Counts before and after an edit: in the middle, up to 40 characters give way to the text's first ones."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    change = F.struct(half.alias("start"), F.lit(40).alias("length"), F.substring("text", 1, 40).alias("replacement"))
+    docs = load(spark, sf, "documents").withColumn("edits", F.array(change))
+    columns = ("doc_id", "n_tokens", "edited_tokens", "edited_chars", "encoded_chars")
+    return token_counts.recount(token_counts.build_trees(docs), columns=columns)
+
+
 @query
 def op4_substring_dedup(spark, sf):
     return substrings.remove_repeats(load(spark, sf, "documents"), with_text=False)
@@ -103,12 +114,25 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(other, d
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)"""
 
 
+@query
+def op6_quality_resampling(spark, sf):
+    """The documents that are kept."""
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    model = quality.fit(docs, load(spark, sf, "labels"))
+    return quality.resample(docs, model).select("doc_id", "weight", "n_grams", "gumbel")
+
+
 @query
 def op7_bpe(spark, sf):
     columns = ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     return bpe.encode(load(spark, sf, "documents"), columns=columns)
 
 
+@query
+def op8_html_extraction(spark, sf):
+    return html_main.main_text(load(spark, sf, "pages"))
+
+
 @query
 def op9_secret_scan(spark, sf):
     return secrets.scan(load(spark, sf, "documents"))
