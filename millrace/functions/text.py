@@ -12,8 +12,9 @@ def words(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    """Lower-case runs of letters and digits; each ideograph or kana is a token of its own."""
+    apart = F.regexp_replace(F.lower(c), r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}])", " $1 ")
+    return F.filter(F.split(apart, r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
 def computed_once(df: DataFrame, expr: Column, name: str) -> DataFrame:

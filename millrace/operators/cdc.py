@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import computed_once, lower_keys
 from millrace.operators.joins import broadcast_if_small
 from millrace.session import cut_lineage
+from millrace.sources.files import read_partitioned
 
 CANAL_SCHEMA = """
     `table` string, type string, data array<map<string,string>>, database string, es bigint,
@@ -127,29 +128,57 @@ def merge(base: DataFrame, changes: DataFrame, key: str, order: list[str]) -> Da
     return kept.unionByName(upserts)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def merge_into(
-    spark: SparkSession, path: str, changes: DataFrame, key: str, order: list[str], partition: str
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    key: str,
+    order: list[str],
+    partition: str,
+    columns: list[str] | None = None,
+    keys_move: bool = True,
 ) -> None:
     """Merge changes into a partitioned parquet table, rewriting only partitions that change.
 
     A key is looked up in all partitions, so an update that moves the partition value removes the
-    old copy. Partitions left without rows are dropped at the end.
+    old copy; ``keys_move=False`` states that a key never changes its partition, and then only the
+    partitions of the batch are read. Partitions left without rows are dropped at the end. A null
+    (or empty) partition value is a partition like any other. A table that does not exist is created
+    with ``columns``, by default all columns of the changes but the operation and those that start
+    with ``cdc_``.
     """
-    base = spark.read.parquet(path)
-    last = cut_lineage(precombine(changes, key, order))
-    keys = broadcast_if_small(last.select(key), materialized=True)
-    upserts = last.where(F.col("op") != "delete").select(*base.columns)
+    kind = changes.schema[partition].dataType
+    exists = _exists(spark, path)
+    base = read_partitioned(spark, path, partition, kind.simpleString()) if exists else None
+    if columns is None:
+        columns = base.columns if exists else [c for c in changes.columns if c != "op" and not c.startswith("cdc_")]
+    value = F.col(partition)
+    if kind.typeName() == "string":  # the empty text has no folder of its own
+        value = F.when(value != "", value)
+    last = cut_lineage(precombine(changes.withColumn(partition, value), key, order))
+    upserts = last.where(F.col("op") != "delete").select(*columns)
+    if not exists:
+        overwrite_partitions(upserts, path, [partition])
+        return
+
+    keys = broadcast_if_small(last.select(key))
+    own = last.select(F.col(partition).alias("__partition")).distinct()
+    same = F.col(partition).eqNullSafe(F.col("__partition"))
+    searched = base if keys_move else base.join(broadcast_if_small(own), same, "left_semi")
     # partition values, not rows: one entry per table folder
-    hit = base.select(key, partition).join(keys, key, "left_semi").select(partition)
-    touched = cut_lineage(hit.unionByName(upserts.select(partition)).distinct())
+    hit = searched.select(key, partition).join(keys, key, "left_semi").select(partition)
+    touched = cut_lineage(hit.unionByName(upserts.select(partition)).distinct().withColumnRenamed(partition, "__partition"))
     rewritten = (
-        base.join(broadcast_if_small(touched, materialized=True), partition, "left_semi")
-        .join(keys, key, "left_anti")
-        .unionByName(upserts)
+        base.join(broadcast_if_small(touched), same, "left_semi").join(keys, key, "left_anti").unionByName(upserts)
     )
     staged = cut_lineage(rewritten)
     overwrite_partitions(staged, path, [partition])
-    emptied = touched.join(staged.select(partition).distinct(), partition, "left_anti")
+    emptied = touched.join(staged.select(partition).distinct(), same, "left_anti")
     drop_partitions(spark, path, partition, emptied)
 
 
@@ -172,7 +201,7 @@ def drop_partitions(spark: SparkSession, path: str, partition: str, values: Data
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for (value,) in values.toLocalIterator():
         folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(
-            partition, str(value)
+            partition, None if value is None else str(value)
         )
         target = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
         target.getFileSystem(conf).delete(target, True)

@@ -7,22 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-CHECKED_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, materialized: bool = False
-) -> DataFrame:
-    """Hint a broadcast only where its size is known to be small.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only where the planner's size estimate, an upper bound here, is small.
 
-    A side that the planner estimates above ``CHECKED_BYTES`` is not even counted: it stays without
-    a hint, and the join is shuffled with skew splitting unless the run-time size allows better.
-    Below that its rows are counted. ``materialized`` sides are cheap to count, whatever the estimate.
+    Nothing is run to find out. Anything else stays without a hint, and the join is shuffled with skew
+    splitting unless the sizes that AQE sees at run time allow a broadcast.
     """
-    if df.isStreaming or not (materialized or _estimated_bytes(df) <= CHECKED_BYTES):
+    if df.isStreaming or _estimated_bytes(df) > max_bytes:
         return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df)
 
 
 def _estimated_bytes(df: DataFrame) -> int:
@@ -36,15 +32,12 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(row).select(*keys, *[F.col(f"__row.{c}") for c in rest])
 
 
-def broadcast_left(
-    fact: DataFrame, dim: DataFrame, on: list[str], order: list[str] | None = None
-) -> DataFrame:
+def broadcast_left(fact: DataFrame, dim: DataFrame, on: list[str], order: list[str]) -> DataFrame:
     """Map-side left join: every fact row once, null where the small side has no such key.
 
     ``order`` names the columns that decide which of several small-side rows is the last.
     """
-    small = last_per_key(dim, on, order) if order else dim.dropDuplicates(on)
-    return fact.join(broadcast_if_small(small), on, "left")
+    return fact.join(broadcast_if_small(last_per_key(dim, on, order)), on, "left")
 
 
 def inner_shuffled(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -68,7 +61,8 @@ def lookup(
     if order:
         side = last_per_key(side, on, order)
     side = side.select(*on, *[c for c in columns if c not in on])
-    return stream.join(broadcast_if_small(side), on, how)
+    # a hint in a stream would hold for its life, though the dimension may grow
+    return stream.join(side if stream.isStreaming else broadcast_if_small(side), on, how)
 
 
 def asof_join(

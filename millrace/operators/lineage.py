@@ -1,8 +1,10 @@
 """Table lineage over a table of SQL texts, by regular expressions in Spark columns.
 
-Statements are cut, comments and literals blanked, and table names taken after FROM, JOIN, INSERT
-and CREATE TABLE. Names of common table expressions are removed from the inputs. This covers the
-usual warehouse scripts, not every construct of a SQL dialect.
+Statements are cut, comments and literals blanked. Bracketed groups are folded from the innermost
+outwards: a group that is a query or a join gives its own sources, any other (a call, a column list)
+gives none. What is left at each level is flat, and table names are taken after FROM, JOIN, INSERT
+and CREATE TABLE. Names of common table expressions, in any case, are removed from the inputs. This
+covers the usual warehouse scripts, not every construct of a SQL dialect.
 """
 
 from __future__ import annotations
@@ -12,16 +14,17 @@ from pyspark.sql import functions as F
 
 from millrace.session import cut_lineage
 
-_NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:\.[A-Za-z_][A-Za-z0-9_]*)?"
+_NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:\.[A-Za-z_][A-Za-z0-9_]*)*"
 _NOISE = r"""(?s)--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
 _SOURCES = (
     rf"(?i)\b(?:from|join)\s+((?:{_NAME}(?:\s+(?:as\s+)?[A-Za-z_][A-Za-z0-9_]*)?\s*,\s*)*{_NAME})"
 )
 _TARGETS = (
     r"(?i)\b(?:insert\s+(?:overwrite|into)\s+(?:table\s+)?"
-    r"|create\s+(?:external\s+|temporary\s+)?table\s+(?:if\s+not\s+exists\s+)?)"
+    r"|create\s+(?:or\s+replace\s+)?(?:external\s+|temporary\s+)?table\s+(?:if\s+not\s+exists\s+)?)"
     rf"({_NAME})"
 )
+_FOLDED = "__folded__"
 _CTES = rf"(?i)(?:\bwith|,)\s*({_NAME})\s+as\s*\("
 
 
@@ -35,10 +38,32 @@ def statements(scripts: DataFrame) -> DataFrame:
     )
 
 
-def _sources(text: Column) -> Column:
+def _flat_sources(text: Column) -> Column:
     lists = F.regexp_extract_all(text, F.lit(_SOURCES), F.lit(1))
     items = F.flatten(F.transform(lists, lambda s: F.split(s, r"\s*,\s*")))
-    return F.array_distinct(F.transform(items, lambda s: F.element_at(F.split(s, r"\s"), 1)))
+    return F.transform(items, lambda s: F.element_at(F.split(s, r"\s"), 1))
+
+
+def _sources(text: Column) -> Column:
+    """Sources of every level; each round folds all innermost groups, until no bracket is left."""
+
+    def fold(state: Column, _: Column) -> Column:
+        groups = F.regexp_extract_all(state["text"], F.lit(r"\(([^()]*)\)"), F.lit(1))
+        queries = F.filter(groups, lambda g: g.rlike(r"(?i)\b(?:select|join)\b"))
+        own = F.flatten(
+            F.transform(queries, lambda g: _flat_sources(F.when(g.rlike(r"(?i)\bselect\b"), g).otherwise(F.concat(F.lit("from "), g))))
+        )
+        folded = F.struct(
+            F.regexp_replace(state["text"], r"\([^()]*\)", f" {_FOLDED} ").alias("text"),
+            F.concat(state["found"], own).alias("found"),
+        )
+        return F.when(state["text"].contains("("), folded).otherwise(state)
+
+    start = F.struct(text.alias("text"), F.array().cast("array<string>").alias("found"))
+    rounds = F.sequence(F.lit(0), F.length(text) - F.length(F.replace(text, F.lit("("), F.lit(""))))
+    state = F.aggregate(rounds, start, fold)
+    found = F.concat(state["found"], _flat_sources(state["text"]))
+    return F.array_distinct(F.filter(found, lambda n: n != _FOLDED))
 
 
 def table_names(scripts: DataFrame) -> DataFrame:
@@ -57,7 +82,9 @@ def table_names(scripts: DataFrame) -> DataFrame:
     return found.select(
         "script_id",
         "statement_no",
-        F.array_except("all_inputs", "ctes").alias("inputs"),
+        F.filter(
+            "all_inputs", lambda n: ~F.array_contains(F.transform("ctes", lambda c: F.lower(c)), F.lower(n))
+        ).alias("inputs"),
         "outputs",
         "ctes",
     )
@@ -72,11 +99,11 @@ def edges(scripts: DataFrame) -> DataFrame:
     return names.select("script_id", "statement_no", "input_table", "output_table")
 
 
-def downstream(edge_table: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFrame:
+def downstream(edge_table: DataFrame, roots: DataFrame) -> DataFrame:
     """(root, table_name, depth): tables fed by each root, with the least number of steps.
 
     Breadth first: only the frontier is joined in each round. Rounds are cut by written
-    tables, and names already reached are dropped, so cycles end.
+    tables, and names already reached are dropped, so cycles end and every chain is followed to its end.
     """
     steps = cut_lineage(
         edge_table.select(
@@ -87,7 +114,9 @@ def downstream(edge_table: DataFrame, roots: DataFrame, max_depth: int = 100) ->
         roots.select(F.col("table_name").alias("root"), "table_name").distinct()
     )
     seen = frontier.withColumn("depth", F.lit(0).cast("long"))
-    for depth in range(1, max_depth + 1):
+    depth = 0
+    while True:
+        depth += 1
         reached = (
             frontier.withColumnRenamed("table_name", "__from")
             .join(steps, "__from")
@@ -102,8 +131,8 @@ def downstream(edge_table: DataFrame, roots: DataFrame, max_depth: int = 100) ->
     return seen.where(F.col("depth") > 0)
 
 
-def upstream(edge_table: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFrame:
+def upstream(edge_table: DataFrame, roots: DataFrame) -> DataFrame:
     turned = edge_table.select(
         F.col("output_table").alias("input_table"), F.col("input_table").alias("output_table")
     )
-    return downstream(turned, roots, max_depth)
+    return downstream(turned, roots)

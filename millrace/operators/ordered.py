@@ -20,8 +20,9 @@ from millrace.operators.joins import broadcast_if_small
 from millrace.session import cut_lineage
 
 HOT_ROWS = 5_000_000
-SLICES_PER_HOT_ROWS = 16  # slices are this much finer than needed, so that bursts still fit
+SLICES_PER_HOT_ROWS = 4  # slices are this much finer than needed, as quantiles are approximate
 MIN_GLOBAL_SLICES = 64
+MOST_SLICES = 4096  # of one key; more rows make larger slices
 
 
 @dataclass(frozen=True)
@@ -52,26 +53,23 @@ def position(df: DataFrame, name: str) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """What the probe found: which keys to cut, and how wide their time slices are."""
+    """What the probe found: which keys to cut, and at which positions."""
 
     keys: tuple[str, ...]
     order: str
-    table: DataFrame | None  # hot keys with __lo and __width; None if the whole table is one key
-    lo: int | None = None
-    width: int | None = None
+    table: DataFrame | None  # hot keys with __cuts; None if the whole table is one key
+    cuts: tuple[int, ...] = ()
 
     def cut(self, df: DataFrame) -> DataFrame:
         """df with ``__slice`` (0 unless the key is hot) and ``__hot``."""
         where = position(df, self.order)
         if self.table is None:
-            cut = F.coalesce(F.floor((where - F.lit(self.lo)) / F.lit(self.width)), F.lit(-1))
-            return df.withColumns({"__slice": cut.cast("long"), "__hot": F.lit(True)})
+            cuts = F.array(*map(F.lit, self.cuts)).cast("array<bigint>")
+            return df.withColumns({"__slice": _slice_of(cuts, where), "__hot": F.lit(True)})
         joined = df.join(self._table(), self._same_key(), "left")
-        cut = F.coalesce(F.floor((where - F.col("__lo")) / F.col("__width")), F.lit(-1))
-        hot = F.col("__width").isNotNull()
-        return joined.withColumns(
-            {"__slice": F.when(hot, cut).otherwise(F.lit(0)).cast("long"), "__hot": hot}
-        ).drop("__lo", "__width", *[f"__hk_{k}" for k in self.keys])
+        hot = F.col("__cuts").isNotNull()
+        cut = F.when(hot, _slice_of(F.col("__cuts"), where)).otherwise(F.lit(0).cast("long"))
+        return joined.withColumns({"__slice": cut, "__hot": hot}).drop("__cuts", *[f"__hk_{k}" for k in self.keys])
 
     def only(self, df: DataFrame, hot: bool) -> DataFrame:
         """The rows of hot keys, or all others."""
@@ -79,7 +77,7 @@ class HotKeys:
         return df.join(self._table(), self._same_key(), how)
 
     def _table(self) -> DataFrame:
-        return broadcast_if_small(self.table, materialized=True)
+        return broadcast_if_small(self.table)
 
     def _same_key(self) -> Column:
         same = F.lit(True)
@@ -93,25 +91,46 @@ def probe_hot_keys(
 ) -> HotKeys | None:
     """Find keys with more than hot_rows rows: one map-side combined count per key."""
     where = position(df, order)
-    stats = [
-        F.count(F.lit(1)).alias("__n"),
-        F.min(where).alias("__lo"),
-        F.max(where).alias("__hi"),
-    ]
     if not keys:
-        n, lo, hi = df.agg(*stats).first()
-        slices = max(MIN_GLOBAL_SLICES, n * SLICES_PER_HOT_ROWS // hot_rows)
-        width = ((hi or 0) - (lo or 0)) // slices + 1
-        return HotKeys((), order, None, lo or 0, width)
+        slices = _slices(df.count(), hot_rows, MIN_GLOBAL_SLICES)
+        found = df.agg(_quantiles(where, slices).alias("cuts")).first()["cuts"] or []
+        return HotKeys((), order, None, tuple(sorted(set(found))))
 
     # at most (rows / hot_rows) keys can pass this filter
-    heavy = df.groupBy(*keys).agg(*stats).where(F.col("__n") > hot_rows)
-    slices = F.greatest(F.lit(1), F.floor(F.col("__n") * SLICES_PER_HOT_ROWS / hot_rows))
-    width = F.floor((F.col("__hi") - F.col("__lo")) / slices) + F.lit(1)
-    renamed = [F.col(k).alias(f"__hk_{k}") for k in keys]
-    table = heavy.select(*renamed, F.col("__lo"), width.cast("long").alias("__width"))
-    table = cut_lineage(table)
-    return None if table.isEmpty() else HotKeys(tuple(keys), order, table)
+    heavy = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows))
+    most = heavy.agg(F.max("__n")).first()[0]
+    if most is None:
+        return None
+    renamed = heavy.select(*[F.col(k).alias(f"__hk_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__hk_{k}"))
+    rows = df.select(*keys, where.alias("__at")).join(broadcast_if_small(renamed), same)
+    cuts = F.array_sort(F.array_distinct(_quantiles(F.col("__at"), _slices(most, hot_rows))))
+    table = rows.groupBy(*renamed.columns).agg(cuts.alias("__cuts"))
+    return HotKeys(tuple(keys), order, cut_lineage(table.where("__cuts is not null")))
+
+
+def _slices(rows: int, hot_rows: int, least: int = 2) -> int:
+    return min(MOST_SLICES, max(least, rows * SLICES_PER_HOT_ROWS // hot_rows))
+
+
+def _quantiles(where: Column, slices: int) -> Column:
+    """Positions that cut the rows into slices of about equal numbers of rows, however they bunch."""
+    shares = [i / slices for i in range(1, slices)]
+    return F.percentile_approx(where, shares, max(10_000, 20 * slices))
+
+
+def _slice_of(cuts: Column, where: Column) -> Column:
+    """How many cuts lie at or below the position, by binary search; -1 for a null position."""
+    steps = [1 << b for b in reversed(range(MOST_SLICES.bit_length()))]
+
+    def step(low: Column, by: Column) -> Column:
+        at = low + by
+        return F.when((at <= F.size(cuts)) & (F.get(cuts, at - 1) <= where), at).otherwise(low)
+
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+    return F.when(where.isNull(), -1).otherwise(found).cast("long")
 
 
 def running(

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 def compare(name: str, a: DataFrame, b: DataFrame, exclude: list[str] = ()) -> DataFrame:
     """One row: row counts, distinct rows of the union, and rows found on one side only.
 
-    The tables hold the same rows if n_a = n_b and only_a = only_b = 0. Columns are matched by
-    name without the excluded ones; equal rows meet in one map-side combined aggregate.
+    ``differing`` counts the rows, repeats included, that have no counterpart on the other side: the
+    tables hold the same rows if and only if it is 0. Columns are matched by name without the excluded
+    ones, and must be the same on both sides; equal rows meet in one map-side combined aggregate.
     """
     columns = [c for c in a.columns if c not in exclude]
+    if sorted(columns) != sorted(c for c in b.columns if c not in exclude):
+        raise ValueError(f"{name}: the tables have unlike columns")
     both = (
         a.select(*columns, F.lit(1).cast("long").alias("__a"), F.lit(0).cast("long").alias("__b"))
         .unionByName(
@@ -31,6 +34,7 @@ def compare(name: str, a: DataFrame, b: DataFrame, exclude: list[str] = ()) -> D
         F.count(F.lit(1)).alias("n_union_distinct"),
         F.count_if(F.col("__b") == 0).alias("only_a"),
         F.count_if(F.col("__a") == 0).alias("only_b"),
+        F.coalesce(F.sum(F.abs(F.col("__a") - F.col("__b"))), zero).alias("differing"),
     )
 
 

@@ -66,10 +66,16 @@ def source_filter(df: DataFrame, includes: list[str] = (), excludes: list[str] =
 
 
 def highlight(field: str, query: str, pre: str = "<em>", post: str = "</em>") -> Column:
-    """The field's text with each match of the term wrapped; the case of the text is kept."""
+    """The field's text with each match of the term wrapped; the case of the text is kept.
+
+    A term ends where a token ends: at a border of letters and digits, or at an ideograph.
+    """
+    ideograph = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]"
+    before = rf"(?:\b|(?<={ideograph})|(?={ideograph}))"
+    after = rf"(?:\b|(?={ideograph})|(?<={ideograph}))"
     safe = [part.replace("\\", "\\\\").replace("$", "\\$") for part in (pre, post)]
     return F.regexp_replace(
-        F.col(field), rf"(?i)\b({re.escape(query)})\b", f"{safe[0]}$1{safe[1]}"
+        F.col(field), rf"(?i){before}({re.escape(query)}){after}", f"{safe[0]}$1{safe[1]}"
     )
 
 

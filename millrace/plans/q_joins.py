@@ -25,7 +25,7 @@ ON n_nationkey = c_nationkey""",
 )
 def join_broadcast_left(spark, sf):
     customer = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    return joins.broadcast_left(customer, _outside_europe(spark, sf), ["c_nationkey"])
+    return joins.broadcast_left(customer, _outside_europe(spark, sf), ["c_nationkey"], ["c_nationkey"])
 
 
 @query(

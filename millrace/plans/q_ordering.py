@@ -83,10 +83,12 @@ WITH a AS (SELECT * EXCLUDE (o_custkey) FROM orders), b AS {_COPY}
 SELECT 'orders' AS table_name, (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b,
   (SELECT count(*) FROM (SELECT * FROM a UNION SELECT * FROM b)) AS n_union_distinct,
   (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS only_a,
-  (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS only_b
+  (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS only_b,
+  (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) +
+  (SELECT count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS differing
 UNION ALL
 SELECT 'customer', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer),
-  (SELECT count(*) FROM (SELECT DISTINCT * FROM customer)), 0, 0""",
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM customer)), 0, 0, 0""",
 )
 def reconcile_tables(spark, sf):
     """Orders against a copy with lost rows and changed prices; customers against themselves."""

@@ -108,6 +108,15 @@ def doc_match(spark, sf):
     return load(spark, sf, "part").where(search.match("p_name", "Blue gear")).select("p_partkey", "p_name")
 
 
+@query(
+    "doc_match_text",
+    f"""SELECT doc_id FROM documents WHERE list_has_any({_TOKENS.format(c='"text"')}, ['idiot', 'über', 'für'])""",
+)
+def doc_match_text(spark, sf):
+    """Any of three words in whole documents of four languages."""
+    return load(spark, sf, "documents").where(search.match("text", "Idiot ÜBER für")).select("doc_id")
+
+
 @query(
     "doc_bool",
     """

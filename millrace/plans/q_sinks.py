@@ -10,7 +10,7 @@ from millrace.operators.joins import last_per_key
 from millrace.plans import shared
 from millrace.plans.registry import query
 from millrace.session import scratch_path
-from millrace.sources import envelope
+from millrace.sources import envelope, files
 from millrace.sources.tables import load, stream_table
 from millrace.streaming import sinks
 from millrace.streaming.run import batch_folders, each_batch
@@ -204,7 +204,29 @@ def cdc_merge(spark, sf):
     cdc.overwrite_partitions(first, path, ["dt"])
     second = changes.where(F.col("dt") >= shared.SPLIT_DAY)
     sinks.cdc_sink(path, "user_id", ["event_id"], "dt")(second, 0)
-    return spark.read.parquet(path).withColumn("dt", F.col("dt").cast("string"))
+    return files.read_partitioned(spark, path, "dt")
+
+
+@query(
+    "cdc_merge_edge_partitions",
+    """
+SELECT user_id, event_id, event_type AS kind, CASE WHEN hour(ts) >= 6 THEN strftime(ts, '%H') END AS h FROM
+  (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type <> 'error'""",
+)
+def cdc_merge_edge_partitions(spark, sf):
+    """Zero-padded and null partition values; the first batch creates the table, the second merges."""
+    path = scratch_path(spark, "merged-edge")
+    op = F.when(F.col("event_type") == "error", "delete").otherwise("upsert")
+    hour = F.when(F.hour("ts") >= 6, F.date_format("ts", "HH"))
+    changes = load(spark, sf, "events").select(
+        "user_id", "event_id", F.col("event_type").alias("kind"), hour.alias("h"), op.alias("op"),
+        F.date_format("ts", "yyyy-MM-dd").alias("cdc_day"),
+    )
+    sink = sinks.cdc_sink(path, "user_id", ["event_id"], "h")
+    sink(changes.where(F.col("cdc_day") < shared.SPLIT_DAY), 0)
+    sink(changes.where(F.col("cdc_day") >= shared.SPLIT_DAY), 1)
+    return files.read_partitioned(spark, path, "h")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import cdc
 from millrace.session import scratch_path
+from millrace.sources import files
 
 
 def canal(kind, rows, es, seq, database="shop", table="t"):
@@ -72,6 +73,19 @@ def test_merge_moves_partitions_and_can_be_replayed(spark):
     assert {r[0] for r in after.where("part = 'p3'").select("_metadata.file_path").collect()} == untouched
 
 
+def test_merge_keeps_null_and_padded_partitions(spark):
+    kind = "op string, seq long, id long, name string, h string"
+    for keys_move in (True, False):
+        path = scratch_path(spark, "merge-edge")
+        first = [("upsert", 1, 1, "a", None), ("upsert", 1, 2, "b", None), ("upsert", 1, 3, "c", "01"), ("upsert", 1, 4, "d", "02"), ("upsert", 1, 5, "e", "2024/01/16"), ("upsert", 1, 6, "f", "")]
+        cdc.merge_into(spark, path, spark.createDataFrame(first, kind), "id", ["seq"], "h")  # creates the table
+        more = [("upsert", 2, 9, "n", None), ("upsert", 2, 3, "c2", "01"), ("delete", 2, 4, "d", "02"), ("upsert", 2, 5, "e2", "2024/01/16")]
+        for _ in range(2):
+            cdc.merge_into(spark, path, spark.createDataFrame(more, kind), "id", ["seq"], "h", keys_move=keys_move)
+        got = sorted((r.id, r.name, r.h) for r in files.read_partitioned(spark, path, "h").collect())
+        assert got == [(1, "a", None), (2, "b", None), (3, "c2", "01"), (5, "e2", "2024/01/16"), (6, "f", None), (9, "n", None)]
+
+
 def test_merge_does_not_depend_on_batch_boundaries(spark):
     rows = [("delete" if i % 5 == 4 else "upsert", i, i % 7, f"v{i}", f"p{i % 3}") for i in range(60)]
     changes = spark.createDataFrame(rows, "op string, seq long, id long, name string, part string")

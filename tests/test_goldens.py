@@ -50,10 +50,10 @@ def test_broadcast_left_keeps_misses_and_last_duplicate(spark):
     assert sorted((r.id, r.team or "") for r in out.collect()) == [("001", "new"), ("002", "two"), ("003", "")]
 
 
-def test_broadcast_only_below_the_row_limit(spark):
+def test_broadcast_only_below_the_byte_limit(spark):
     big = spark.range(101)
     assert joins.broadcast_if_small(big, 100) is big
-    assert joins.broadcast_if_small(big, 101) is not big
+    assert joins.broadcast_if_small(big, 101 * 8) is not big
 
 
 def test_count_window_avg(spark):

@@ -44,6 +44,17 @@ def test_hot_key_is_spread_over_slices(events):
     assert sizes[0] <= 20 and sizes[1] > 10
 
 
+def test_a_burst_is_cut_too(spark):
+    """19,000 of 20,000 rows fall into one second of a day."""
+    at = F.when(F.col("id") < 19_000, F.col("id") * 50).otherwise((F.col("id") - 19_000) * 86_000_000)
+    burst = spark.range(20_000).select("id", F.lit(1).alias("k"), F.timestamp_micros(at + 43_200_000_000).alias("ts"))
+    for keys in (["k"], []):
+        sizes = ordered.probe_hot_keys(burst, keys, "ts", 1000).cut(burst).groupBy("__slice").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 1000
+        cut = ordered.running(burst, keys, ["ts", "id"], {"n": Running("count")}, 1000)
+        assert sorted(r.n for r in cut.collect()) == list(range(1, 20_001))
+
+
 def test_all_kinds(events, rows_of):
     specs = {
         "n": Running("count"),
