@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.session import cut_lineage
+from millrace.functions.text import computed_once
+from millrace.session import cut_lineage, scratch_path
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:\.[A-Za-z_][A-Za-z0-9_]*)*"
 _NOISE = r"""(?s)--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
@@ -44,8 +46,11 @@ def _flat_sources(text: Column) -> Column:
     return F.transform(items, lambda s: F.element_at(F.split(s, r"\s"), 1))
 
 
-def _sources(text: Column) -> Column:
-    """Sources of every level; each round folds all innermost groups, until no bracket is left."""
+def _folded(text: Column) -> Column:
+    """(text, found): brackets folded, and the sources of what stood in them.
+
+    Each round folds all innermost groups, until no bracket is left.
+    """
 
     def fold(state: Column, _: Column) -> Column:
         groups = F.regexp_extract_all(state["text"], F.lit(r"\(([^()]*)\)"), F.lit(1))
@@ -60,10 +65,9 @@ def _sources(text: Column) -> Column:
         return F.when(state["text"].contains("("), folded).otherwise(state)
 
     start = F.struct(text.alias("text"), F.array().cast("array<string>").alias("found"))
-    rounds = F.sequence(F.lit(0), F.length(text) - F.length(F.replace(text, F.lit("("), F.lit(""))))
-    state = F.aggregate(rounds, start, fold)
-    found = F.concat(state["found"], _flat_sources(state["text"]))
-    return F.array_distinct(F.filter(found, lambda n: n != _FOLDED))
+    brackets = F.length(text) - F.length(F.replace(text, F.lit("("), F.lit("")))
+    rounds = F.slice(F.sequence(F.lit(0), brackets), F.lit(1), brackets)
+    return F.aggregate(rounds, start, fold)
 
 
 def table_names(scripts: DataFrame) -> DataFrame:
@@ -72,10 +76,14 @@ def table_names(scripts: DataFrame) -> DataFrame:
     ctes = F.when(
         text.rlike(r"(?i)\bwith\s"), F.array_distinct(F.regexp_extract_all(text, F.lit(_CTES), F.lit(1)))
     ).otherwise(F.array().cast("array<string>"))
-    found = statements(scripts).select(
+    folded = computed_once(statements(scripts), _folded(text), "__state")
+    state = F.col("__state")
+    sources = F.concat(state["found"], _flat_sources(state["text"]))
+    named = F.array_distinct(F.filter(sources, lambda n: n != _FOLDED))
+    found = computed_once(folded, named, "all_inputs").select(
         "script_id",
         "statement_no",
-        _sources(text).alias("all_inputs"),
+        "all_inputs",
         F.array_distinct(F.regexp_extract_all(text, F.lit(_TARGETS), F.lit(1))).alias("outputs"),
         ctes.alias("ctes"),
     )
@@ -110,25 +118,25 @@ def downstream(edge_table: DataFrame, roots: DataFrame) -> DataFrame:
             F.col("input_table").alias("__from"), F.col("output_table").alias("table_name")
         ).distinct()
     )
-    frontier = cut_lineage(
-        roots.select(F.col("table_name").alias("root"), "table_name").distinct()
-    )
-    seen = frontier.withColumn("depth", F.lit(0).cast("long"))
+    spark = edge_table.sparkSession
+    path = scratch_path(spark, "reach")
+    frontier = roots.select(F.col("table_name").alias("root"), "table_name").distinct()
+    kind = StructType(list(frontier.schema.fields))
     depth = 0
-    while True:
+    while True:  # one folder per depth; they are read together as one table
+        frontier.write.parquet(f"{path}/depth={depth}")
+        frontier = spark.read.schema(kind).parquet(f"{path}/depth={depth}")
+        seen = spark.read.schema(StructType([*kind.fields, StructField("depth", LongType())])).parquet(path)
+        if depth and frontier.isEmpty():
+            return seen.where(F.col("depth") > 0)
         depth += 1
-        reached = (
+        frontier = (
             frontier.withColumnRenamed("table_name", "__from")
             .join(steps, "__from")
             .select("root", "table_name")
             .distinct()
             .join(seen.select("root", "table_name"), ["root", "table_name"], "left_anti")
         )
-        frontier = cut_lineage(reached)
-        if frontier.isEmpty():
-            break
-        seen = seen.unionByName(frontier.withColumn("depth", F.lit(depth).cast("long")))
-    return seen.where(F.col("depth") > 0)
 
 
 def upstream(edge_table: DataFrame, roots: DataFrame) -> DataFrame:
