@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark import cloudpickle
@@ -22,11 +21,24 @@ _BLOCK = 1 << 20
 WHITE_SPACE = bytes([9, 10, 11, 12, 13, 32])
 
 
-@lru_cache(maxsize=4)
+class _Kept(dict):
+    """Arrays that a worker keeps between calls; they don't travel with a function."""
+
+    def __reduce__(self):
+        return (_Kept, ())
+
+
+_KEPT = _Kept()
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+    if (base, n) not in _KEPT:
+        if len(_KEPT) > 8:  # of a few very long texts
+            _KEPT.clear()
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        _KEPT[base, n] = np.cumprod(out)
+    return _KEPT[base, n]
 
 
 def _power_pair(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,9 +53,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _byte_values() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
 def _range_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
@@ -53,7 +63,6 @@ def _range_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mix((sums[ends] - sums[starts]) * back[starts])
 
 
-@lru_cache(maxsize=8)
 def byte_set(members: bytes, inverted: bool = False) -> np.ndarray:
     out = np.zeros(256, bool)
     out[list(members)] = True
@@ -88,7 +97,7 @@ def hashed_words(texts: list[bytes], kinds: np.ndarray = NOT_SPACE) -> tuple[np.
         block = view[low:high]
         starts, ends = spans(block, kinds)
         if len(starts):
-            hashes.append(_range_sums(_byte_values()[block], starts, ends, _BASE))
+            hashes.append(_range_sums(_BYTE_VALUES[block], starts, ends, _BASE))
             firsts.append(starts + low)
         low = high
     if not hashes:
