@@ -184,7 +184,8 @@ def test_latest_partition(spark):
 def test_follow_latest_partition_handles_each_once(spark):
     path, seen = scratch_path(spark, "t-follow"), []
     spark.createDataFrame([("a", 1)], "dt string, v int").write.partitionBy("dt").parquet(path)
-    writer = files.follow_latest_partition(spark, path, "dt", lambda df, v: seen.append((v, df.count())), "1 second")
+    ledger = scratch_path(spark, "t-follow-ledger")
+    writer = files.follow_latest_partition(spark, path, "dt", lambda df, v: seen.append((v, df.count())), ledger, "1 second")
     query = writer.option("checkpointLocation", scratch_path(spark, "t-follow-state")).start()
     try:
         query.processAllAvailable()
