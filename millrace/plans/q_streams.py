@@ -13,10 +13,14 @@ from millrace.session import scratch_path
 from millrace.sources.tables import load, stream_table, timestamp_to_ntz
 from millrace.streaming import keyed_state as state
 from millrace.streaming import sinks
-from millrace.streaming.run import drain, each_batch
+from millrace.streaming.run import drain, drain_until, each_batch
 
 ORDER = ["ts", "event_id"]
 
+#: How far apart in time the files of a table may be read: rows wait that long in state. It spans the
+#: tables, so that files may come in any order; a feed that arrives about in time order needs far less.
+DELAY = "31 days"
+
 
 @query(
     "stream_tumbling_append",
@@ -24,10 +28,14 @@ ORDER = ["ts", "event_id"]
 )
 def stream_tumbling_append(spark, sf):
     """Only windows the watermark has passed are emitted."""
-    stream = stream_table(spark, sf, "events").withWatermark("ts", "2 seconds")
-    row = aggs.first_min_row("value", ORDER, ["event_id", "value"]).alias("row")
-    out = aggs.tumbling(stream, "ts", "1 hour", ["user_id"], [row])
-    return timestamp_to_ntz(drain(out.select("window_start", "window_end", "user_id", "row.*"), "tumbling"))
+
+    def windows(rows):
+        row = aggs.first_min_row("value", ORDER, ["event_id", "value"]).alias("row")
+        out = aggs.tumbling(rows, "ts", "1 hour", ["user_id"], [row])
+        return out.select("window_start", "window_end", "user_id", "row.*")
+
+    until = _end(spark, sf) - F.expr("interval 2 seconds")
+    return timestamp_to_ntz(drain_until(stream_table(spark, sf, "events"), "ts", DELAY, until, windows, "tumbling"))
 
 
 @query(
@@ -205,60 +213,63 @@ def rate_blacklist(spark, sf):
     return hits.select("user_id", "event_id", F.col("local_day").cast("string").alias("local_day"), "n")
 
 
-def _readings(spark, sf, value="value"):
-    return stream_table(spark, sf, "events").select(
+def _end(spark, sf):
+    return _end_of_time(load(spark, sf, "events"))
+
+
+def _emitted(spark, sf, processor, label, value="value"):
+    """All that a processor emits for the readings of the events, the last of them included."""
+    rows = stream_table(spark, sf, "events").select(
         "user_id", F.col("event_id").alias("seq"), "ts", F.expr(value).cast("double").alias("value")
     )
+    until = _end(spark, sf) + F.expr("interval 2 milliseconds")  # timers stand at whole milliseconds
+    return _processed(rows, until, processor, label)
+
+
+def _processed(rows, until, processor, label):
+    emitted = drain_until(rows, "ts", DELAY, until, lambda r: state.apply_state(r, "user_id", processor), label)
+    return state.on_time(emitted)
 
 
 @query("stream_running_count", RUNNING_COUNT_SQL)
 def stream_running_count(spark, sf):
-    out = state.apply_state(_readings(spark, sf), "user_id", state.RunningCount())
-    return drain(out, "running").drop("ts").withColumnRenamed("seq", "event_id")
+    out = _emitted(spark, sf, state.RunningCount(), "running")
+    return out.drop("ts").withColumnRenamed("seq", "event_id")
 
 
 @query("stream_alert_jump", JUMP_SQL)
 def stream_alert_jump(spark, sf):
-    out = state.apply_state(_readings(spark, sf), "user_id", state.JumpAlert(20.0))
-    return drain(out, "jumps").withColumnRenamed("seq", "event_id")
+    return _emitted(spark, sf, state.JumpAlert(20.0), "jumps").withColumnRenamed("seq", "event_id")
 
 
 @query("stream_rate_blacklist", BLACKLIST_SQL)
 def stream_rate_blacklist(spark, sf):
-    out = state.apply_state(_readings(spark, sf), "user_id", state.RateBlacklist(5, 8))
-    hits = drain(out, "blacklist").withColumnRenamed("seq", "event_id")
+    hits = _emitted(spark, sf, state.RateBlacklist(5, 8), "blacklist").withColumnRenamed("seq", "event_id")
     return hits.withColumn("local_day", F.date_format("local_day", "yyyy-MM-dd"))
 
 
 @query("stream_last_n_list", _LAST3_SQL.format(k=shared.K_SQL))
 def stream_last_n_list(spark, sf):
-    """Each micro-batch emits the lists of its users; the last one of a user stands."""
-    rows = _readings(spark, sf, "cast(get_json_object(props, '$.k') as bigint)")
-    fired = drain(state.apply_state(rows, "user_id", state.LastN(3)), "last-n")
-    last = fired.groupBy("user_id").agg(F.max_by("last_values", "seq").alias("v"))
+    """The lists of a user come out as time goes on; the last one stands."""
+    fired = _emitted(spark, sf, state.LastN(3), "last-n", "cast(get_json_object(props, '$.k') as bigint)")
+    last = fired.groupBy("user_id").agg(F.max_by("last_values", F.struct("ts", "seq")).alias("v"))
     texts = F.transform("v", lambda v: v.cast("bigint").cast("string"))
     return last.select("user_id", F.array_join(texts, ",").alias("last_values"))
 
 
 @query("stream_count_window_avg", COUNT_WINDOW_SQL)
 def stream_count_window_avg(spark, sf):
-    rows = _readings(spark, sf, "cast(get_json_object(props, '$.k') as bigint)")
-    return drain(state.apply_state(rows, "user_id", state.CountWindowAvg(2)), "count-window")
+    return _emitted(spark, sf, state.CountWindowAvg(2), "count-window", "cast(get_json_object(props, '$.k') as bigint)")
 
 
 @query("stream_sustained_rise", SUSTAINED_SQL)
 def stream_sustained_rise(spark, sf):
-    rows = _readings(spark, sf).withWatermark("ts", "0 seconds")
-    processor = state.SustainedRise(4 * 3600)
-    out = state.apply_state(rows, "user_id", processor)
-    return timestamp_to_ntz(drain(out, "rise"))
+    return timestamp_to_ntz(_emitted(spark, sf, state.SustainedRise(4 * 3600), "rise"))
 
 
 @query("stream_inactivity", INACTIVITY_SQL)
 def stream_inactivity(spark, sf):
-    rows = _readings(spark, sf).withWatermark("ts", "0 seconds")
-    out = state.apply_state(rows, "user_id", state.Inactivity(24 * 3600))
-    return timestamp_to_ntz(drain(out, "inactivity"))
+    return timestamp_to_ntz(_emitted(spark, sf, state.Inactivity(24 * 3600), "inactivity"))
 
 
 @query(
@@ -278,9 +289,9 @@ def stream_asof_join(spark, sf):
         F.col("event_id").alias("seq"),
         "ts",
         "value",
-    ).withWatermark("ts", "0 seconds")
-    out = state.apply_state(sided, "user_id", state.AsOfJoin())
-    return timestamp_to_ntz(drain(out, "asof")).drop("ts").withColumnRenamed("seq", "event_id")
+    )
+    out = _processed(sided, _end(spark, sf), state.AsOfJoin(), "asof")
+    return timestamp_to_ntz(out).drop("ts").withColumnRenamed("seq", "event_id")
 
 
 @query(
@@ -294,9 +305,10 @@ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 2 HOUR AS session_e
 GROUP BY user_id, sid) WHERE session_end <= (SELECT max(ts) FROM events)""",
 )
 def stream_sessions(spark, sf):
-    stream = stream_table(spark, sf, "events").withWatermark("ts", "0 seconds")
-    out = stream.groupBy(F.session_window("ts", "2 hours").alias("w"), "user_id").agg(shared.n_rows())
-    named = out.select(
-        "user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n"
-    )
-    return timestamp_to_ntz(drain(named, "sessions"))
+
+    def grouped(rows):
+        out = rows.groupBy(F.session_window("ts", "2 hours").alias("w"), "user_id").agg(shared.n_rows())
+        return out.select("user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
+
+    rows = stream_table(spark, sf, "events")
+    return timestamp_to_ntz(drain_until(rows, "ts", DELAY, _end(spark, sf), grouped, "sessions"))

@@ -1,8 +1,13 @@
-"""Keyed state for streams: counters, lists, alerts and timers.
+"""Keyed state for streams: counters, lists, alerts and timers, in event-time order.
 
-State is read once per key and micro-batch, folded over that batch's rows in (ts, seq) order, and
-written back once. Each processor has a batch twin in `millrace.operators`, which also splits hot
-keys; here a key's rows of one micro-batch pass through one task, bounded by the trigger's limit.
+A key's rows wait in its state until the watermark has passed them, and are then folded in (ts, seq)
+order. So the answer depends on neither the order of arrival nor the size of micro-batches, as long as
+the watermark's delay covers the disorder. A row that comes after the watermark has passed it is not
+lost: it comes out as a late row (`late_seq`, `late_ts`; see `on_time` and `late`), as does a row without
+a time. Each processor has a batch twin in `millrace.operators`, which also splits hot keys; here the
+rows that one key has waiting pass through one task, bounded by the delay and the trigger's limit.
+
+Rows travel as rows and not as pandas frames, which cannot tell a null reading from NaN.
 """
 
 from __future__ import annotations
@@ -21,331 +26,317 @@ from millrace.session import use_rocksdb_state
 # processors travel to the executors by value, so the package need not be installed there
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_LATE = "late_seq bigint, late_ts_us bigint"
+
 
-def apply_state(df: DataFrame, key: str, processor: StatefulProcessor) -> DataFrame:
+def apply_state(df: DataFrame, key: str, processor: InOrder) -> DataFrame:
     """Rows (key, seq, ts, value) through one of the processors below; key keeps its name.
 
-    Inside a processor every instant is a number of microseconds, in rows and in state alike.
+    The stream must have a watermark. Inside a processor every instant is a number of microseconds, in
+    rows and in state alike; the watermarked column itself stays outside, as Spark would drop late rows.
     """
     use_rocksdb_state(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
-    rows = df.withColumn("at", F.unix_micros("ts"))
-    if processor.TIME == "None":
-        rows = rows.drop("ts")
+    columns = [key, *processor.INPUT]
+    rows = df.withColumn("at", F.unix_micros("ts")).select(*columns)
     out = rows.groupBy(key).transformWithState(
         statefulProcessor=processor,
-        outputStructType=f"key {kind}, {processor.OUTPUT}",
+        outputStructType=f"key {kind}, {processor.OUTPUT}, {_LATE}",
         outputMode="Append",
-        timeMode=processor.TIME,
+        timeMode="EventTime",
     )
     times = [c for c in out.columns if c.endswith("_us")]
     named = [
         F.timestamp_micros(c).alias(c[:-3]) if c in times else F.col(c) for c in out.columns if c != "key"
     ]
-    return out.select(F.col("key").alias(key), *named)
+    return out.select(F.col("key").alias(key), F.col("late_seq").isNotNull().alias("is_late"), *named)
 
 
-def _ordered(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (r["at"], r["seq"]))
+def on_time(emitted: DataFrame) -> DataFrame:
+    """What the processor made of the rows that came in time."""
+    return emitted.where("not is_late").drop("is_late", "late_seq", "late_ts")
 
 
-def _due(at: int) -> int:
-    """First millisecond at which a timer for this instant may fire."""
-    return -(-at // 1000)
+def late(emitted: DataFrame, key: str) -> DataFrame:
+    """The rows that came too late: key, seq, ts."""
+    return emitted.where("is_late").select(key, F.col("late_seq").alias("seq"), F.col("late_ts").alias("ts"))
 
 
-class RunningCount(StatefulProcessor):
-    """(key, seq, ts, running): how many rows of the key have come so far."""
+class InOrder(StatefulProcessor):
+    """Holds rows until the watermark has passed them, then hands them to `fold` in order.
 
-    OUTPUT = "seq bigint, ts_us bigint, running bigint"
-    TIME = "None"
+    A key has one timer, at the first instant at which there is something to do.
+    """
+
+    INPUT = ("seq", "at", "value")
+    WAITING = "at long, seq long, value double"
+    OUTPUT: str
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        """Declare further state."""
+
+    def fold(self, key, rows: list[tuple], passed: int) -> Iterator[Row]:
+        """Rows of `WAITING`, in order; `passed` is the watermark in microseconds."""
+        raise NotImplementedError
+
+    def due(self) -> int | None:
+        """When the processor wants to be called without any row."""
+        return None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.WAITING)
+        #: where the key's rows have been folded up to, its timer, and its oldest waiting row
+        self.clock = handle.getValueState("clock", "done long, timer long, oldest long")
+        self.names = ["key", *(c.split()[0] for c in f"{self.OUTPUT}, {_LATE}".split(", "))]
+        self.open(handle)
+
+    def row(self, key, **values) -> Row:
+        return Row(**{name: values.get(name) for name in self.names} | {"key": key})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        done, timer, oldest = self.clock.get() if self.clock.exists() else (None, None, None)
+        fresh = []
+        for r in rows:
+            if r["at"] is None or (done is not None and r["at"] < done):
+                yield self.row(key[0], late_seq=r["seq"], late_ts_us=r["at"])
+            else:
+                fresh.append(tuple(r[c] for c in ("at", "seq", *self.INPUT[2:])))
+        if fresh:
+            self.waiting.appendList(fresh)
+            first = min(r[0] for r in fresh)
+            self._wake(done, timer, first if oldest is None else min(oldest, first))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        _, _, oldest = self.clock.get()
+        ready, left = [], []
+        if oldest is not None and oldest < passed:
+            for r in self.waiting.get():
+                (ready if r[0] < passed else left).append(tuple(r))
+            if left:
+                self.waiting.put(left)
+            else:
+                self.waiting.clear()
+            oldest = min((r[0] for r in left), default=None)
+        yield from self.fold(key[0], sorted(ready, key=lambda r: r[:2]), passed)
+        self._wake(passed, None, oldest)  # a fired timer is gone
+
+    def _wake(self, done: int | None, timer: int | None, oldest: int | None) -> None:
+        wanted = [] if oldest is None else [oldest // 1000 + 1]
+        due = self.due()
+        if due is not None:
+            wanted.append(-(-due // 1000))
+        at = min(wanted, default=None)
+        if at != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if at is not None:
+                self.handle.registerTimer(at)
+        self.clock.update((done, at, oldest))
+
+    def close(self) -> None:
+        pass
+
+
+class RunningCount(InOrder):
+    """(key, seq, ts, running): how many rows of the key there are up to this one."""
+
+    OUTPUT = "seq bigint, ts_us bigint, running bigint"
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n long")
+
+    def fold(self, key, rows, passed) -> Iterator[Row]:
         n = self.count.get()[0] if self.count.exists() else 0
-        for r in _ordered(rows):
+        for at, seq, _ in rows:
             n += 1
-            yield Row(key=key[0], seq=r["seq"], ts_us=r["at"], running=n)
+            yield self.row(key, seq=seq, ts_us=at, running=n)
         self.count.update((n,))
 
-    def close(self) -> None:
-        pass
 
+class JumpAlert(InOrder):
+    """(key, seq, previous, current) when a value differs from the one before by more than a limit.
 
-class JumpAlert(StatefulProcessor):
-    """(key, seq, previous, current) when a value differs from the one before by more than a limit."""
+    Nothing is known to differ from a null reading, so none of its two sides alerts.
+    """
 
     OUTPUT = "seq bigint, previous double, current double"
-    TIME = "None"
 
     def __init__(self, threshold: float):
         self.threshold = threshold
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "v double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def fold(self, key, rows, passed) -> Iterator[Row]:
         previous = self.last.get()[0] if self.last.exists() else None
-        for r in _ordered(rows):
-            if previous is not None and abs(r["value"] - previous) > self.threshold:
-                yield Row(key=key[0], seq=r["seq"], previous=previous, current=r["value"])
-            previous = r["value"]
-        if previous is not None:
-            self.last.update((previous,))
-
-    def close(self) -> None:
-        pass
+        for _, seq, value in rows:
+            if previous is not None and value is not None and abs(value - previous) > self.threshold:
+                yield self.row(key, seq=seq, previous=previous, current=value)
+            previous = value
+        self.last.update((previous,))
 
 
-class RateBlacklist(StatefulProcessor):
+class RateBlacklist(InOrder):
     """(key, seq, day, n) for each event beyond the limit of a local day."""
 
     OUTPUT = "seq bigint, local_day_us bigint, n bigint"
-    TIME = "None"
 
     def __init__(self, limit: int, offset_hours: int):
         self.limit, self.offset = limit, offset_hours * 3_600_000_000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.days = handle.getMapState("days", "day long", "n long")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.today = handle.getValueState("today", "day long, n long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        counts: dict[int, int] = {}
-        for r in _ordered(rows):
-            day = (r["at"] + self.offset) // 86_400_000_000
-            if day not in counts:
-                counts[day] = self.days.getValue((day,))[0] if self.days.containsKey((day,)) else 0
-            counts[day] += 1
-            if counts[day] > self.limit:
-                yield Row(key=key[0], seq=r["seq"], local_day_us=day * 86_400_000_000, n=counts[day])
-        # older days can no longer change once a newer one has begun
-        newest = max(counts)
-        for (day,) in list(self.days.keys()):
-            if day < newest and day not in counts:
-                self.days.removeKey((day,))
-        for day, n in counts.items():
-            self.days.updateValue((day,), (n,))
-
-    def close(self) -> None:
-        pass
+    def fold(self, key, rows, passed) -> Iterator[Row]:
+        # rows come in order, so a day is over when the next one begins
+        today, n = self.today.get() if self.today.exists() else (None, 0)
+        for at, seq, _ in rows:
+            day = (at + self.offset) // 86_400_000_000
+            today, n = day, n + 1 if day == today else 1
+            if n > self.limit:
+                yield self.row(key, seq=seq, local_day_us=day * 86_400_000_000, n=n)
+        self.today.update((today, n))
 
 
-class LastN(StatefulProcessor):
-    """(key, seq, last_values) after each micro-batch: the newest n values, oldest first, as of seq."""
+class LastN(InOrder):
+    """(key, seq, last_values) whenever rows are folded: the newest n values, oldest first, as of seq."""
 
-    OUTPUT = "seq bigint, last_values array<double>"
-    TIME = "None"
+    OUTPUT = "seq bigint, ts_us bigint, last_values array<double>"
 
     def __init__(self, n: int):
         self.n = n
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.values = handle.getListState("values", "v double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = [v[0] for v in self.values.get()] if self.values.exists() else []
-        fresh = _ordered(rows)
-        held = (held + [r["value"] for r in fresh])[-self.n :]
-        self.values.put([(v,) for v in held])
-        yield Row(key=key[0], seq=fresh[-1]["seq"], last_values=held)
+    def fold(self, key, rows, passed) -> Iterator[Row]:
+        if rows:
+            held = [v[0] for v in self.values.get()] if self.values.exists() else []
+            held = (held + [value for _, _, value in rows])[-self.n :]
+            self.values.put([(v,) for v in held])
+            at, seq, _ = rows[-1]
+            yield self.row(key, seq=seq, ts_us=at, last_values=held)
 
-    def close(self) -> None:
-        pass
 
+class CountWindowAvg(InOrder):
+    """(key, window_no, avg_value) after every n rows of a key; an unfinished group stays in state.
 
-class CountWindowAvg(StatefulProcessor):
-    """(key, window_no, avg_value) after every n rows of a key; an unfinished group stays in state."""
+    Null values count as rows and add nothing; a group of nulls has a null average.
+    """
 
     OUTPUT = "window_no bigint, avg_value double"
-    TIME = "None"
 
     def __init__(self, n: int):
         self.n = n
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "window_no long, rows long, total long")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.group = handle.getValueState("group", "window_no long, rows long, total long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        window_no, held, total = self.open.get() if self.open.exists() else (0, 0, 0)
-        for r in _ordered(rows):
-            held, total = held + 1, total + int(r["value"])
+    def fold(self, key, rows, passed) -> Iterator[Row]:
+        window_no, held, total = self.group.get() if self.group.exists() else (0, 0, None)
+        for _, _, value in rows:
+            held += 1
+            if value is not None:
+                total = (total or 0) + int(value)
             if held == self.n:
-                quotient = abs(total) // self.n
-                yield Row(key=key[0], window_no=window_no, avg_value=float(quotient if total >= 0 else -quotient))
-                window_no, held, total = window_no + 1, 0, 0
-        self.open.update((window_no, held, total))
-
-    def close(self) -> None:
-        pass
+                average = None if total is None else float(abs(total) // self.n * (1 if total >= 0 else -1))
+                yield self.row(key, window_no=window_no, avg_value=average)
+                window_no, held, total = window_no + 1, 0, None
+        self.group.update((window_no, held, total))
 
 
-class SustainedRise(StatefulProcessor):
+class SustainedRise(InOrder):
     """(key, alert_at): a rise starts a timer, a fall cancels it, a fired timer alerts.
 
-    Timers run on event time; a due timer fires before the next reading is applied.
+    Timers run on event time; a due timer fires before the next reading is applied. A null reading
+    neither rises nor falls, and the reading after it counts as a first one.
     """
 
     OUTPUT = "alert_at_us bigint"
-    TIME = "EventTime"
 
     def __init__(self, seconds: int, first_reading_starts: bool = True):
         self.wait = seconds * 1_000_000
         self.first = first_reading_starts
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "v double")
-        self.timer = handle.getValueState("timer", "at long")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "v double, pending long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        previous = self.last.get()[0] if self.last.exists() else None
-        pending = self.timer.get()[0] if self.timer.exists() else None
-        registered = pending
-        for r in _ordered(rows):
-            if pending is not None and pending <= r["at"]:
-                yield Row(key=key[0], alert_at_us=pending)
-                pending = None
-            value = r["value"]
-            rises = value > previous if previous is not None else self.first and value > 0
-            if rises and pending is None:
-                pending = r["at"] + self.wait
-            elif previous is not None and value < previous:
+    def due(self) -> int | None:
+        return self.last.get()[1] if self.last.exists() else None
+
+    def fold(self, key, rows, passed) -> Iterator[Row]:
+        previous, pending = self.last.get() if self.last.exists() else (None, None)
+        for at, _, value in rows:
+            if pending is not None and pending <= at:
+                yield self.row(key, alert_at_us=pending)
                 pending = None
+            if value is not None:
+                rises = value > previous if previous is not None else self.first and value > 0
+                if rises and pending is None:
+                    pending = at + self.wait
+                elif previous is not None and value < previous:
+                    pending = None
             previous = value
-        self.last.update((previous,))
-        if registered is not None and registered != pending:
-            self.handle.deleteTimer(_due(registered))
-        if pending is None:
-            self.timer.clear()
-        else:
-            self.timer.update((pending,))
-            if pending != registered:
-                self.handle.registerTimer(_due(pending))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.timer.exists():
-            yield Row(key=key[0], alert_at_us=self.timer.get()[0])
-            self.timer.clear()
-
-    def close(self) -> None:
-        pass
+        if pending is not None and pending <= passed:
+            yield self.row(key, alert_at_us=pending)
+            pending = None
+        self.last.update((previous, pending))
 
 
-class Inactivity(StatefulProcessor):
+class Inactivity(InOrder):
     """(key, last_ts, alert_at) when a key is silent for longer than the wait."""
 
     OUTPUT = "last_ts_us bigint, alert_at_us bigint"
-    TIME = "EventTime"
 
     def __init__(self, seconds: int):
         self.wait = seconds * 1_000_000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "at long, alerted boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def due(self) -> int | None:
+        if not self.last.exists():
+            return None
+        at, alerted = self.last.get()
+        return None if at is None or alerted else at + self.wait
+
+    def fold(self, key, rows, passed) -> Iterator[Row]:
         last, alerted = self.last.get() if self.last.exists() else (None, False)
-        if last is not None and not alerted:
-            self.handle.deleteTimer(_due(last + self.wait))
-        for r in _ordered(rows):
-            if last is not None and not alerted and r["at"] - last > self.wait:
-                yield Row(key=key[0], last_ts_us=last, alert_at_us=last + self.wait)
-            if last is None or r["at"] >= last:
-                last, alerted = r["at"], False
+        for at, _, _ in rows:
+            if last is not None and not alerted and at - last > self.wait:
+                yield self.row(key, last_ts_us=last, alert_at_us=last + self.wait)
+            last, alerted = at, False
+        if last is not None and not alerted and last + self.wait <= passed:
+            alerted = True
+            yield self.row(key, last_ts_us=last, alert_at_us=last + self.wait)
         self.last.update((last, alerted))
-        if not alerted:
-            self.handle.registerTimer(_due(last + self.wait))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        last, alerted = self.last.get()
-        if not alerted:
-            self.last.update((last, True))
-            yield Row(key=key[0], last_ts_us=last, alert_at_us=last + self.wait)
 
-    def close(self) -> None:
-        pass
-
-
-class AsOfJoin(StatefulProcessor):
+class AsOfJoin(InOrder):
     """(key, seq, ts, version_ts, version_value) for left rows, once the watermark has passed them.
 
-    Input rows carry side 0 (version) or 1 (left), seq, ts and value. The key's one timer stands at
-    its oldest waiting left row. Of the versions older than the watermark only the newest is kept.
+    Input rows carry side 0 (version) or 1 (left) besides seq, ts and value. Rows of both sides are
+    folded as one sequence, so that of all passed versions only the newest is kept.
     """
 
+    INPUT = ("seq", "at", "value", "side")
+    WAITING = "at long, seq long, value double, side long"
     OUTPUT = "seq bigint, ts_us bigint, version_ts_us bigint, version_value double"
-    TIME = "EventTime"
 
     def __init__(self, keep_misses: bool = False):
         self.keep_misses = keep_misses
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.left = handle.getListState("left", "at long, seq long")
-        self.versions = handle.getListState("versions", "at long, seq long, value double")
-        self.timer = handle.getValueState("timer", "millis long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        left, versions = [], []
-        for r in rows:
-            if r["side"] == 1:
-                left.append((r["at"], r["seq"]))
-            else:
-                versions.append((r["at"], r["seq"], r["value"]))
-        if versions:
-            self.versions.appendList(versions)
-        if left:
-            self.left.appendList(left)
-            wanted = self._after(min(left)[0])
-            current = self.timer.get()[0] if self.timer.exists() else None
-            if current is None or wanted < current:
-                if current is not None:
-                    self.handle.deleteTimer(current)
-                self._wake(wanted)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        left = sorted(tuple(x) for x in self.left.get()) if self.left.exists() else []
-        versions = sorted(tuple(x) for x in self.versions.get()) if self.versions.exists() else []
-        waiting, i = [], 0
-        for at, seq in left:
-            if at >= passed:
-                waiting.append((at, seq))
-                continue
-            while i < len(versions) and versions[i][0] <= at:
-                i += 1
-            if i:
-                v_at, _, value = versions[i - 1]
-                yield Row(key=key[0], seq=seq, ts_us=at, version_ts_us=v_at, version_value=value)
-            elif self.keep_misses:
-                yield Row(key=key[0], seq=seq, ts_us=at, version_ts_us=None, version_value=None)
-        old = sum(v[0] < passed for v in versions)
-        self._replace(self.versions, versions[max(0, old - 1) :])
-        self._replace(self.left, waiting)
-        if waiting:
-            self._wake(self._after(waiting[0][0]))
-        else:
-            self.timer.clear()
-
-    @staticmethod
-    def _after(at: int) -> int:
-        """The millisecond at which the watermark is past this instant."""
-        return at // 1000 + 1
-
-    def _wake(self, millis: int) -> None:
-        self.handle.registerTimer(millis)
-        self.timer.update((millis,))
-
-    @staticmethod
-    def _replace(state, rows) -> None:
-        if rows:
-            state.put(rows)
-        else:
-            state.clear()
-
-    def close(self) -> None:
-        pass
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.version = handle.getValueState("version", "at long, value double")
+
+    def fold(self, key, rows, passed) -> Iterator[Row]:
+        since, held = self.version.get() if self.version.exists() else (None, None)
+        for at, seq, value, side in sorted(rows, key=lambda r: (r[0], r[3], r[1])):
+            if side == 0:
+                since, held = at, value
+            elif since is not None or self.keep_misses:
+                yield self.row(key, seq=seq, ts_us=at, version_ts_us=since, version_value=held)
+        if since is not None:
+            self.version.update((since, held))

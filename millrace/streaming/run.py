@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
 
@@ -26,6 +29,36 @@ def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     return read_batches(spark, out, schema)
 
 
+def drain_until(
+    stream: DataFrame, ts: str, delay: str, until: Column, build: Callable[[DataFrame], DataFrame], label: str
+) -> DataFrame:
+    """Run ``build(stream)`` over all available input, then move the watermark on to ``until``.
+
+    A stream that has come to its end never passes its last rows by itself: the watermark stays the delay
+    behind them. So the query is started twice from one checkpoint. The second time a closing mark comes
+    in beside the stream, ``delay`` after ``until``; it moves the watermark and goes no further.
+    """
+    spark = stream.sparkSession
+    out, checkpoint, marks = (scratch_path(spark, f"{label}-{p}") for p in ("out", "state", "marks"))
+    rows = stream.withColumn("__mark", F.lit(False))
+    spark.createDataFrame([], rows.schema).write.parquet(marks)
+    ends = spark.readStream.schema(rows.schema).parquet(marks)
+    # a condition on the time as well (never true of a mark) keeps the filter above the watermark
+    unmarked = ~F.col("__mark") | (F.col(ts) < F.lit("0001-01-01").cast("timestamp"))
+    built = build(rows.unionByName(ends).withWatermark(ts, delay).where(unmarked).drop("__mark"))
+
+    def go() -> None:
+        writer = built.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        writer.outputMode("append").format("parquet").start(out).awaitTermination()
+
+    go()
+    mark = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema if f.name != ts]
+    at = (until.cast("timestamp") + F.expr(f"interval {delay}")).alias(ts)
+    spark.range(1).select(*mark, at, F.lit(True).alias("__mark")).write.mode("append").parquet(marks)
+    go()
+    return spark.read.schema(built.schema).parquet(out)
+
+
 def batch_folders(path: str):
     """Sink that is idempotent per micro-batch: a replayed batch replaces its own folder."""
 

@@ -10,7 +10,7 @@ from millrace.sources import envelope, files
 from millrace.sources.tables import ntz_to_timestamp
 from millrace.streaming import keyed_state as state
 from millrace.streaming import sinks
-from millrace.streaming.run import batch_folders, drain, each_batch, read_batches
+from millrace.streaming.run import batch_folders, drain_until, each_batch, read_batches
 
 ORDER = ["ts", "event_id"]
 PIECES = 4
@@ -37,60 +37,87 @@ def stream_of(spark, path, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def readings(spark, path, schema, delay=None):
+def readings(spark, path, schema):
     df = stream_of(spark, path, schema)
-    if delay:
-        df = df.withWatermark("ts", delay)
     return df.select("user_id", F.col("event_id").alias("seq"), "ts", "value", "event_type")
 
 
-def test_running_count_over_batches(spark, events, in_order, rows_of):
-    out = drain(state.apply_state(readings(spark, in_order, events.schema), "user_id", state.RunningCount()), "t-count")
+def processed(rows, processor, until, delay="0 seconds"):
+    """Everything the processor emits until the end of its stream, late rows included."""
+    return drain_until(rows, "ts", delay, until, lambda r: state.apply_state(r, "user_id", processor), "t-state")
+
+
+@pytest.fixture(scope="module")
+def end(events):
+    return F.lit(events.agg(F.max("ts")).first()[0])
+
+
+@pytest.fixture(scope="module")
+def in_any_order(spark, events):
+    """The events dealt over files that each span the whole time."""
+    path = scratch_path(spark, "any-order")
+    for i in range(PIECES):
+        events.where(F.col("event_id") % PIECES == (i * 3) % PIECES).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@pytest.fixture(params=["in order", "in any order"])
+def run(request, spark, events, in_order, in_any_order, end):
+    path, delay = (in_order, "0 seconds") if request.param == "in order" else (in_any_order, "40 days")
+    past_end = end + F.expr("interval 2 milliseconds")
+
+    def go(processor, change=lambda rows: rows, until=past_end):
+        emitted = processed(change(readings(spark, path, events.schema)), processor, until, delay)
+        assert state.late(emitted, "user_id").isEmpty()
+        return state.on_time(emitted)
+
+    return go
+
+
+def test_running_count_over_batches(events, run, rows_of):
+    out = run(state.RunningCount())
     batch = row_numbers(events, ["user_id"], ORDER, "running")
     assert rows_of(out.select("user_id", "seq", "running")) == rows_of(batch.select("user_id", "event_id", "running"))
 
 
-def test_alerts_over_batches(spark, events, in_order, rows_of):
-    end = F.lit(events.agg(F.max("ts")).first()[0])
-    jumps = drain(state.apply_state(readings(spark, in_order, events.schema), "user_id", state.JumpAlert(20.0)), "t-jump")
+def test_alerts_over_batches(events, run, end, rows_of):
+    jumps = run(state.JumpAlert(20.0))
     twin = alerts.jump(events, ["user_id"], ORDER, "value", 20.0)
     assert rows_of(jumps) == rows_of(twin.select("user_id", "event_id", "previous", "value"))
 
-    rows = readings(spark, in_order, events.schema, "0 seconds")
-    rises = drain(state.apply_state(rows, "user_id", state.SustainedRise(4 * 3600)), "t-rise")
+    rises = run(state.SustainedRise(4 * 3600))
     twin = alerts.sustained_rise(events, "user_id", ORDER, "value", 4 * 3600, until=end)
     assert rows_of(rises) == rows_of(twin)
 
-    silent = drain(state.apply_state(rows, "user_id", state.Inactivity(24 * 3600)), "t-silent")
+    silent = run(state.Inactivity(24 * 3600))
     twin = alerts.inactivity(events, ["user_id"], ORDER, "24 hours", until=end)
     assert rows_of(silent) == rows_of(twin)
 
 
-def test_blacklist_and_count_windows_over_batches(spark, events, in_order, rows_of):
-    rows = readings(spark, in_order, events.schema)
-    hits = drain(state.apply_state(rows, "user_id", state.RateBlacklist(3, 8)), "t-rate")
+def test_blacklist_and_count_windows_over_batches(events, run, rows_of):
+    hits = run(state.RateBlacklist(3, 8))
     twin = alerts.rate_blacklist(events, "user_id", ORDER, 3)
     assert rows_of(hits.select("user_id", "seq", "n")) == rows_of(twin.select("user_id", "event_id", "n"))
 
-    whole = rows.withColumn("value", F.floor("value").cast("double"))
-    averages = drain(state.apply_state(whole, "user_id", state.CountWindowAvg(2)), "t-avg")
+    averages = run(state.CountWindowAvg(2), lambda rows: rows.withColumn("value", F.floor("value").cast("double")))
     floored = events.withColumn("v", F.floor("value").cast("long"))
     twin = aggs.count_window_avg(floored, ["user_id"], ORDER, "v", 2)
     assert rows_of(averages) == rows_of(twin.select("user_id", "window_no", "avg_value"))
 
 
-def test_last_n_over_batches(spark, events, in_order, rows_of):
-    fired = drain(state.apply_state(readings(spark, in_order, events.schema), "user_id", state.LastN(3)), "t-last")
-    last = fired.groupBy("user_id").agg(F.max_by("last_values", "seq"))
+def test_last_n_over_batches(events, run, rows_of):
+    last = run(state.LastN(3)).groupBy("user_id").agg(F.max_by("last_values", F.struct("ts", "seq")))
     assert rows_of(last) == rows_of(aggs.last_n_values(events, ["user_id"], ORDER, "value", 3))
 
 
-def test_asof_join_over_batches(spark, events, in_order, rows_of):
+def test_asof_join_over_batches(events, run, end, rows_of):
     from millrace.operators import joins
 
-    sided = readings(spark, in_order, events.schema, "0 seconds").where("event_type in ('purchase', 'signup')")
-    sided = sided.withColumn("side", F.when(F.col("event_type") == "purchase", 1).otherwise(0))
-    out = drain(state.apply_state(sided.drop("event_type"), "user_id", state.AsOfJoin()), "t-asof")
+    def sided(rows):
+        rows = rows.where("event_type in ('purchase', 'signup')")
+        return rows.withColumn("side", F.when(F.col("event_type") == "purchase", 1).otherwise(0)).drop("event_type")
+
+    out = run(state.AsOfJoin(), sided, end)
     # the last row of all waits for a later watermark
     passed = events.where(F.col("ts") < events.agg(F.max("ts")).first()[0])
     left, right = passed.where("event_type = 'purchase'"), events.where("event_type = 'signup'")
@@ -98,6 +125,36 @@ def test_asof_join_over_batches(spark, events, in_order, rows_of):
     assert rows_of(out.select("user_id", "seq", "version_value")) == rows_of(twin.select("user_id", "event_id", "v"))
 
 
+def test_sessions_in_any_order(spark, events, in_any_order, end, rows_of):
+    def grouped(rows):
+        out = rows.groupBy(F.session_window("ts", "2 hours").alias("w"), "user_id").agg(F.count("*").alias("n"))
+        return out.select("user_id", "w.start", "w.end", "n")
+
+    out = drain_until(stream_of(spark, in_any_order, events.schema), "ts", "40 days", end, grouped, "t-sessions")
+    twin = aggs.sessions(events, ["user_id"], ORDER, "2 hours", [F.count("*").alias("n")]).where(F.col("session_end") <= end)
+    assert out.count() > 0 and rows_of(out) == rows_of(twin.select("user_id", "session_start", "session_end", "n"))
+
+
+def test_late_rows_come_out_as_such(spark, events, in_any_order, end, rows_of):
+    emitted = processed(readings(spark, in_any_order, events.schema), state.RunningCount(), end + F.expr("interval 2 milliseconds")).cache()
+    late, counted = state.late(emitted, "user_id"), state.on_time(emitted)
+    assert late.count() > 0
+    both = late.select("user_id", "seq").union(counted.select("user_id", "seq"))
+    assert rows_of(both) == rows_of(events.select("user_id", "event_id"))
+
+
+def test_null_readings(spark, events, end, rows_of):
+    path = scratch_path(spark, "null-readings")
+    holed = events.withColumn("value", F.when(F.col("event_id") % 5 != 0, F.col("value")))
+    holed.repartition(3, "event_id").write.parquet(path)
+    rows, until = readings(spark, path, events.schema), end + F.expr("interval 2 milliseconds")
+    jumps = state.on_time(processed(rows, state.JumpAlert(20.0), until, "40 days"))
+    twin = alerts.jump(holed, ["user_id"], ORDER, "value", 20.0)
+    assert rows_of(jumps) == rows_of(twin.select("user_id", "event_id", "previous", "value"))
+    rises = state.on_time(processed(rows, state.SustainedRise(4 * 3600), until, "40 days"))
+    assert rows_of(rises) == rows_of(alerts.sustained_rise(holed, "user_id", ORDER, "value", 4 * 3600, until=end))
+
+
 def test_upsert_over_batches(spark, events, in_order, rows_of):
     path = scratch_path(spark, "t-upsert")
     rows = stream_of(spark, in_order, events.schema).select("user_id", "ts", "event_id", "value")
@@ -188,9 +245,11 @@ def test_follow_latest_partition_handles_each_once(spark):
     writer = files.follow_latest_partition(spark, path, "dt", lambda df, v: seen.append((v, df.count())), ledger, "1 second")
     query = writer.option("checkpointLocation", scratch_path(spark, "t-follow-state")).start()
     try:
-        query.processAllAvailable()
+        for _ in range(60):  # ticks never end, so all available input is never processed
+            if not seen:
+                query.awaitTermination(1)
         spark.createDataFrame([("b", 1), ("b", 2)], "dt string, v int").write.mode("append").partitionBy("dt").parquet(path)
-        for _ in range(20):
+        for _ in range(60):
             if len(seen) < 2:
                 query.awaitTermination(1)
     finally:
