@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 def string_hash(c: Column) -> Column:
     """31-polynomial hash over UTF-16 code units, modulo 2^32 as a non-negative bigint."""
-    units = F.transform(
-        F.sequence(F.lit(1), F.length(F.hex(F.encode(c, "UTF-16BE"))), F.lit(4)),
-        lambda i: F.conv(F.substring(F.hex(F.encode(c, "UTF-16BE")), i, F.lit(4)), 16, 10).cast("long"),
-    )
+    # the text is encoded once and bound to `h`; each place then reads its own four digits
+    def code_units(h: Column) -> Column:
+        places = F.sequence(F.lit(1), F.length(h), F.lit(4))
+        return F.transform(places, lambda i: F.conv(F.substring(h, i, F.lit(4)), 16, 10).cast("long"))
+
+    units = F.get(F.transform(F.array(F.hex(F.encode(c, "UTF-16BE"))), code_units), 0)
     folded = F.aggregate(
         units, F.lit(0).cast("long"), lambda acc, u: F.pmod(acc * 31 + u, F.lit(4294967296))
     )

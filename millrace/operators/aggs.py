@@ -146,11 +146,12 @@ def salted_agg(
 ) -> DataFrame:
     """Two-phase aggregate: per (key, salt), then per key.
 
-    The salt is a hash of the row (of ``salt_on``, if given), never random, so a lost task
-    recomputes to the same split. ``final`` refers to the columns named in ``partial``.
+    The salt is the number of the task that reads the row, or a hash of ``salt_on``, if given; it is
+    never random. By task, a key leaves each task as one row, however few columns tell its rows
+    apart, and no row is hashed for it. ``final`` refers to the columns named in ``partial``.
     """
-    spread = [F.col(c) for c in (salt_on or df.columns)]
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    spread = F.xxhash64(*[F.col(c) for c in salt_on]) if salt_on else F.spark_partition_id()
+    salted = df.withColumn("__salt", F.pmod(spread, F.lit(salts)))
     first = salted.groupBy(*keys, "__salt").agg(*[c.alias(n) for n, c in partial.items()])
     return first.groupBy(*keys).agg(*[c.alias(n) for n, c in final.items()])
 

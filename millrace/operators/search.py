@@ -79,8 +79,17 @@ def highlight(field: str, query: str, pre: str = "<em>", post: str = "</em>") ->
     )
 
 
+#: Rows that a page by offset may reach; they are gathered at the driver.
+DEEPEST = 10_000
+
+
 def page(df: DataFrame, order: list[Column], offset: int, size: int = 10) -> DataFrame:
-    """Rows offset .. offset + size - 1 of a total order (top-k, not a full sort)."""
+    """Rows offset .. offset + size - 1 of a total order (top-k, not a full sort).
+
+    Beyond `DEEPEST` rows it refuses; `page_after` goes on from a key at any depth.
+    """
+    if offset + size > DEEPEST:
+        raise ValueError(f"a page by offset reaches {DEEPEST} rows at most; use page_after")
     return df.orderBy(*order).offset(offset).limit(size)
 
 
@@ -110,9 +119,15 @@ def index_documents(base: DataFrame, writes: DataFrame, key: str, order: list[st
 
 
 def update_documents(base: DataFrame, patch: DataFrame, key: str) -> DataFrame:
-    """Partial update: the patch's non-null fields replace the stored ones; one patch per id."""
+    """Partial update: the patch's non-null fields replace the stored ones.
+
+    Two patches of one id are an error, as nothing tells which of them is the last.
+    """
     fields = [c for c in patch.columns if c != key]
-    renamed = patch.select(F.col(key), *[F.col(c).alias(f"__p_{c}") for c in fields])
+    clash = F.raise_error(F.concat(F.lit("several patches of id "), F.col(key).cast("string")))
+    once = patch.where(F.col(key).isNotNull()).groupBy(key).agg((F.count("*") > 1).alias("__many"), *[F.first(c).alias(c) for c in fields])
+    checked = F.when(F.col("__many"), clash.cast(patch.schema[key].dataType)).otherwise(F.col(key)).alias(key)
+    renamed = once.select(checked, *[F.col(c).alias(f"__p_{c}") for c in fields])
     out = base.join(broadcast_if_small(renamed), key, "left")
     return out.withColumns({c: F.coalesce(F.col(f"__p_{c}"), F.col(c)) for c in fields}).drop(
         *[f"__p_{c}" for c in fields]

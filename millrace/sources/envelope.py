@@ -44,9 +44,20 @@ def read_kafka(spark: SparkSession, streaming: bool = True, **kwargs) -> DataFra
     return decode(reader.options(**kafka_options(**kwargs)).load())
 
 
+def topic_rows(df: DataFrame) -> DataFrame:
+    """What a topic takes: the value, and the key where there is one; rows of a key keep their order."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in ("key", "value") if c in df.columns])
+
+
+def write_kafka(df: DataFrame, servers: str, topic: str) -> None:
+    """One batch of rows to a topic."""
+    writer = topic_rows(df).write.format("kafka")
+    writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
 def write_kafka_stream(df: DataFrame, servers: str, topic: str, checkpoint: str):
     return (
-        df.select(F.col("value"))
+        topic_rows(df)
         .writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)

@@ -181,3 +181,35 @@ def test_packing_restores_the_settings(spark):
     assert packed.count() > 1 and len(packed.inputFiles()) == 1
     assert sorted(int(r.value) for r in files.unpack_lines(packed).collect()) == list(range(40))
     assert [spark.conf.get(n) for n in names] == before
+
+
+def test_two_patches_of_one_id_are_an_error(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    patch = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (None, "w")], "id int, name string")
+    with pytest.raises(Exception, match="several patches of id 1"):
+        search.update_documents(base, patch, "id").collect()
+    kept = search.update_documents(base, patch.where("name <> 'y'"), "id").collect()
+    assert sorted(tuple(r) for r in kept) == [(1, "x"), (2, "b")]
+
+
+def test_pages_by_offset_end_at_a_stated_depth(spark):
+    rows = spark.range(20)
+    with pytest.raises(ValueError, match="page_after"):
+        search.page(rows, [F.asc("id")], search.DEEPEST, 1)
+    assert [r.id for r in search.page_after(rows, "id", 16, 10).collect()] == [17, 18, 19]
+
+
+def test_topic_rows_carry_their_key(spark):
+    from millrace.sources.envelope import topic_rows
+
+    rows = spark.createDataFrame([(7, "a", 1)], "key int, value string, extra int")
+    assert [tuple(r) for r in topic_rows(rows).collect()] == [("7", "a")]
+    assert topic_rows(rows.drop("key")).columns == ["value"]
+
+
+def test_default_salt_on_one_column(spark):
+    from millrace.operators import aggs
+
+    words = spark.range(1000, numPartitions=4).select(F.lit("x").alias("word"))
+    out = aggs.salted_agg(words, ["word"], {"n": F.count("*")}, {"n": F.sum("n")}, 4)
+    assert [tuple(r) for r in out.collect()] == [("x", 1000)]
