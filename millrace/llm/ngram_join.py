@@ -19,7 +19,7 @@ short inverted lists only, and probes the long ones for the candidates found the
    task ever holds a whole hot list. No link between different components is lost.
 
 Null, empty and blank texts have no shingles and link with nothing. Rows without id are left out of
-the join and come back as their own class. Rows that share an id are joined as one document each and
+the join and of its result, as a component is named by an id. Rows that share an id are joined as one document each and
 told apart by nothing but their text; a component holds the ids.
 """
 
