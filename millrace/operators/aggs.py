@@ -68,7 +68,7 @@ def sessions(
     Start flags and their running sum are hot-key safe, and the aggregate combines map-side.
     """
     ts = order[0]
-    hot = probe_hot_keys(df, keys, ts, hot_rows)
+    hot = probe_hot_keys(df, keys, ts, hot_rows, order[1] if len(order) > 1 else None)
     flagged = with_previous(df, keys, order, {"__prev_ts": ts}, hot=hot)
     breaks = F.col("__prev_ts").isNull() | (
         F.col(ts) - F.col("__prev_ts") > F.expr(f"interval {gap}")

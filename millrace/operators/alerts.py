@@ -74,7 +74,7 @@ def sustained_rise(
     """
     ts, wait = order[0], F.expr(f"interval {seconds} seconds")
     rows = df.select(*dict.fromkeys([key, *order, value]))
-    hot = probe_hot_keys(rows, [key], ts, hot_rows)
+    hot = probe_hot_keys(rows, [key], ts, hot_rows, order[1] if len(order) > 1 else None)
     rows = with_previous(rows, [key], order, {"__pv": value}, hot=hot)
     starts = F.col("__pv").isNull() & F.lit(first_reading_starts) & (F.col(value) > 0)
     rise = F.coalesce(F.col(value) > F.col("__pv"), starts)

@@ -11,6 +11,7 @@ With no keys at all the whole table is one hot key, which gives global running v
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +25,10 @@ SLICES_PER_HOT_ROWS = 4  # slices are this much finer than needed, as quantiles
 MIN_GLOBAL_SLICES = 64
 MOST_SLICES = 4096  # of one key; more rows make larger slices
 
+_LEAST = -(1 << 63)
+_CUTS = "array<struct<at: bigint, tie: bigint>>"
+_TIE_TYPES = ("byte", "short", "integer", "long", "date", "timestamp", "timestamp_ntz")
+
 
 @dataclass(frozen=True)
 class Running:
@@ -58,13 +63,15 @@ class HotKeys:
     keys: tuple[str, ...]
     order: str
     table: DataFrame | None  # hot keys with __cuts; None if the whole table is one key
-    cuts: tuple[int, ...] = ()
+    cuts: tuple[tuple[int, int], ...] = ()  # (position, tie) pairs
+    tie: str | None = None
 
     def cut(self, df: DataFrame) -> DataFrame:
         """df with ``__slice`` (0 unless the key is hot) and ``__hot``."""
-        where = position(df, self.order)
+        where = _place(df, self.order, self.tie)
         if self.table is None:
-            cuts = F.array(*map(F.lit, self.cuts)).cast("array<bigint>")
+            at, ties = (F.lit(list(c)) if c else F.array() for c in (zip(*self.cuts) if self.cuts else ((), ())))
+            cuts = F.arrays_zip(at.cast("array<bigint>"), ties.cast("array<bigint>")).cast(_CUTS)
             return df.withColumns({"__slice": _slice_of(cuts, where), "__hot": F.lit(True)})
         joined = df.join(self._table(), self._same_key(), "left")
         hot = F.col("__cuts").isNotNull()
@@ -87,14 +94,26 @@ class HotKeys:
 
 
 def probe_hot_keys(
-    df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS, tie: str | None = None
 ) -> HotKeys | None:
-    """Find keys with more than hot_rows rows: one map-side combined count per key."""
+    """Find keys with more than hot_rows rows: one map-side combined count per key.
+
+    Where a key has many rows of the same position, those are cut along ``tie``, the next column of
+    the order, if it is a whole number, a date or a timestamp.
+    """
     where = position(df, order)
+    tie = tie if tie is not None and df.schema[tie].dataType.typeName() in _TIE_TYPES else None
     if not keys:
         slices = _slices(df.count(), hot_rows, MIN_GLOBAL_SLICES)
         found = df.agg(_quantiles(where, slices).alias("cuts")).first()["cuts"] or []
-        return HotKeys((), order, None, tuple(sorted(set(found))))
+        crowds = [(at, n) for at, n in Counter(found).items() if n > 1]
+        pairs = {(at, _LEAST) for at in found}
+        if crowds and tie is not None:
+            rows = df.select(where.alias("__at"), position(df, tie).alias("__tie"))
+            crowds = df.sparkSession.createDataFrame(crowds, "__crowd bigint, __m bigint")
+            more = _cuts_of_crowds(rows, crowds, [], slices).collect()  # fewer than twice the slices
+            pairs.update((r["__at"], r["__tie"]) for r in more)
+        return HotKeys((), order, None, tuple(sorted(pairs)), tie)
 
     # at most (rows / hot_rows) keys can pass this filter
     heavy = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows))
@@ -105,10 +124,38 @@ def probe_hot_keys(
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__hk_{k}"))
-    rows = df.select(*keys, where.alias("__at")).join(broadcast_if_small(renamed), same)
-    cuts = F.array_sort(F.array_distinct(_quantiles(F.col("__at"), _slices(most, hot_rows))))
-    table = rows.groupBy(*renamed.columns).agg(cuts.alias("__cuts"))
-    return HotKeys(tuple(keys), order, cut_lineage(table.where("__cuts is not null")))
+    ties = F.lit(None).cast("long") if tie is None else position(df, tie)
+    rows = df.select(*keys, where.alias("__at"), ties.alias("__tie")).join(broadcast_if_small(renamed), same)
+    hot, slices = renamed.columns, _slices(most, hot_rows)
+    found = rows.groupBy(*hot).agg(_quantiles(F.col("__at"), slices).alias("__found"))
+    found = cut_lineage(found.where("__found is not null"))
+    cuts = found.select(*hot, F.explode(F.array_distinct("__found")).alias("__at"), F.lit(_LEAST).alias("__tie"))
+    if tie is not None:
+        crowds = found.select(*hot, F.explode("__found").alias("__at")).groupBy(*hot, "__at").agg(F.count("*").alias("__m"))
+        crowds = crowds.where("__m > 1").toDF(*[f"__c{i}" for i in range(len(hot))], "__crowd", "__m")
+        cuts = cuts.unionByName(_cuts_of_crowds(rows, crowds, hot, slices))
+    # at most 2 * MOST_SLICES cuts of a key
+    pairs = F.array_sort(F.collect_set(F.struct("__at", "__tie"))).cast(_CUTS)
+    return HotKeys(tuple(keys), order, cut_lineage(cuts.groupBy(*hot).agg(pairs.alias("__cuts"))), tie=tie)
+
+
+def _place(df: DataFrame, order: str, tie: str | None) -> Column:
+    """Where a row stands, as a pair that compares like the first columns of the order; null ties first."""
+    at = position(df, order)
+    next_ = F.lit(_LEAST) if tie is None else F.coalesce(position(df, tie), F.lit(_LEAST))
+    return F.when(at.isNotNull(), F.struct(at.alias("at"), next_.cast("long").alias("tie")))
+
+
+def _cuts_of_crowds(rows: DataFrame, crowds: DataFrame, hot: list[str], slices: int) -> DataFrame:
+    """Cuts along the tie where a position is several (``__m``) quantiles of its key: about as many."""
+    same = F.col("__at") == F.col("__crowd")
+    for i, k in enumerate(hot):
+        same = same & F.col(k).eqNullSafe(F.col(f"__c{i}"))
+    inside = rows.join(broadcast_if_small(crowds), same).groupBy(*hot, "__at", "__m")
+    ties = inside.agg(_quantiles(F.col("__tie"), slices).alias("__ties"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(slices) / (F.col("__m") + 1)).cast("int"))
+    thinned = F.filter("__ties", lambda _, i: (i + 1) % step == 0)
+    return ties.select(*hot, "__at", F.explode(thinned).alias("__tie"))
 
 
 def _slices(rows: int, hot_rows: int, least: int = 2) -> int:
@@ -122,8 +169,8 @@ def _quantiles(where: Column, slices: int) -> Column:
 
 
 def _slice_of(cuts: Column, where: Column) -> Column:
-    """How many cuts lie at or below the position, by binary search; -1 for a null position."""
-    steps = [1 << b for b in reversed(range(MOST_SLICES.bit_length()))]
+    """How many cuts lie at or below the place, by binary search; -1 for a null place."""
+    steps = [1 << b for b in reversed(range((4 * MOST_SLICES).bit_length()))]
 
     def step(low: Column, by: Column) -> Column:
         at = low + by
@@ -144,7 +191,8 @@ def running(
     """Add one column per spec: its aggregate over the rows of the key up to this row.
 
     ``order`` must be a total order within a key for reproducible results; its first column (time
-    or number, not null) is the one that hot keys are cut along. ``hot`` takes the result of an
+    or number, not null) is the one that hot keys are cut along, and the second where many rows share
+    the first. ``hot`` takes the result of an
     earlier probe of the same keys.
     """
     values = {
@@ -154,7 +202,7 @@ def running(
     rows = df.withColumns(values)
     part, sort = list(keys), [F.col(c) for c in order]
     if hot == "probe":
-        hot = probe_hot_keys(df, keys, order[0], hot_rows)
+        hot = probe_hot_keys(df, keys, order[0], hot_rows, order[1] if len(order) > 1 else None)
     if hot is not None:
         part, sort = [*keys, "__slice"], [F.col("__first"), *sort]
         sliced = hot.cut(rows)

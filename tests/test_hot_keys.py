@@ -55,6 +55,20 @@ def test_a_burst_is_cut_too(spark):
         assert sorted(r.n for r in cut.collect()) == list(range(1, 20_001))
 
 
+def test_rows_of_one_instant_are_cut_too(spark):
+    """19,000 of 20,000 rows have the very same time; some of them have no tie value."""
+    at = F.when(F.col("id") < 19_000, F.lit(500_000)).otherwise((F.col("id") - 18_999) * 1_000_000)
+    seq = F.when(F.col("id") > 5, F.col("id") * 3)
+    crowd = spark.range(20_000).select("id", F.lit(1).alias("k"), F.timestamp_micros(at).alias("ts"), seq.alias("seq"))
+    for keys in (["k"], []):
+        sizes = ordered.probe_hot_keys(crowd, keys, "ts", 1000, "seq").cut(crowd).groupBy("__slice").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 1000
+        order = ["ts", "seq", "id"]
+        cut = ordered.running(crowd, keys, order, {"n": Running("count"), "last": Running("last", F.col("id"), False)}, 1000)
+        got = [(r.id, r.n, r.last) for r in cut.collect()]
+        assert sorted(got) == [(i, i + 1, i - 1 if i else None) for i in range(20_000)]
+
+
 def test_all_kinds(events, rows_of):
     specs = {
         "n": Running("count"),
