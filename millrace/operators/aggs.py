@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,19 +112,27 @@ def count_window_sliding(
     slide: int,
     aggs: list[Column],
     hot_rows: int = HOT_ROWS,
+    partial: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Fires at every ``slide``-th row of a key over the last ``size`` rows (fewer at the start).
 
-    Each row is sent to the windows it belongs to, so windows of a hot key spread over tasks.
+    Each row is sent to the windows it belongs to, so windows of a hot key spread over tasks. With
+    ``partial``, rows are summed up in panes first, as long as windows share their ends, and panes are
+    sent instead; ``aggs`` then refer to the columns that ``partial`` names.
     """
-    numbered = row_numbers(df, keys, order, "__rn", hot_rows)
+    numbered = row_numbers(df, keys, order, "__rn", hot_rows).withColumn("__end", F.col("__rn"))
+    if partial is not None:
+        pane = math.gcd(size, slide)
+        first_row = (F.floor((F.col("__rn") - 1) / pane) * pane + 1).alias("__rn")
+        kept = [c.alias(n) for n, c in partial.items()]
+        numbered = numbered.groupBy(*keys, first_row).agg(F.max("__end").alias("__end"), *kept)
     first = F.ceil(F.col("__rn") / slide) * slide
     last = F.floor((F.col("__rn") + size - 1) / slide) * slide
     ends = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long")))
     spread = numbered.withColumn("window_end_row", F.explode(ends))
     return (
         spread.groupBy(*keys, "window_end_row")
-        .agg(F.max("__rn").alias("__last"), *aggs)
+        .agg(F.max("__end").alias("__last"), *aggs)
         .where(F.col("__last") == F.col("window_end_row"))
         .drop("__last")
     )

@@ -138,8 +138,9 @@ SELECT user_id, rn AS window_end_row, total, n FROM (
 )
 def count_window_sliding(spark, sf):
     rows = shared.events_k(spark, sf).select("user_id", "ts", "event_id", "k")
-    totals = [F.sum("k").alias("total"), shared.n_rows()]
-    return aggs.count_window_sliding(rows, ["user_id"], ["ts", "event_id"], 10, 2, totals)
+    panes = {"total": F.sum("k"), "n": F.count(F.lit(1))}
+    totals = [F.sum("total").alias("total"), F.sum("n").alias("n")]
+    return aggs.count_window_sliding(rows, ["user_id"], ["ts", "event_id"], 10, 2, totals, partial=panes)
 
 
 _WORDS_SQL = """SELECT word, count(*) AS n FROM (

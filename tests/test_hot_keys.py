@@ -130,6 +130,15 @@ def test_count_windows(events, rows_of):
     )
 
 
+@pytest.mark.parametrize(("size", "slide"), [(10, 2), (10, 4), (9, 6), (3, 7), (5, 5)])
+def test_panes_give_the_same_count_windows(events, rows_of, size, slide):
+    plain = aggs.count_window_sliding(events, ["user_id"], ORDER, size, slide, [F.sum("k").alias("s"), F.min("k").alias("low")])
+    partial = {"s": F.sum("k"), "low": F.min("k")}
+    final = [F.sum("s").alias("s"), F.min("low").alias("low")]
+    panes = aggs.count_window_sliding(events, ["user_id"], ORDER, size, slide, final, 20, partial)
+    assert rows_of(panes.fillna(-1)) == rows_of(plain.fillna(-1))
+
+
 def test_alerts(events, rows_of):
     both(rows_of, lambda hot: alerts.jump(events, ["user_id"], ORDER, "value", 10.0, hot).select("event_id", "previous"))
     both(rows_of, lambda hot: alerts.rate_blacklist(events, "user_id", ORDER, 5, 8, hot).select("event_id", "n"))
