@@ -1,7 +1,7 @@
 """Main text of web pages, with a style tree for every site.
 
 The pages of one host are merged into a tree of element paths. Spark counts, for every path of a host,
-in how many pages each presentation (sequence of child tags) and each content (text of a block)
+in how many distinct pages each presentation (sequence of child tags) and each content (text of a block)
 occurs. A path's presentation importance is the entropy of its presentations, its content importance one
 less the mean entropy of its contents over the pages; both are in [0, 1], and a branch's importance weighs
 them as (1 - G**l) * presentation + G**l * content for l presentations. Branches below `LEAST` are noise
@@ -14,11 +14,13 @@ something else (navigation, forms, scripts and so on, by tag, role, or a word of
 On a page without such an element all that is left of the body is main text. A page whose content would
 be cut as a whole keeps all of it.
 
-A text that a site repeats in the very path of its paragraphs is not told
+Pages of a host with the same texts are one distinct page: copies are no repetition. Two distinct pages
+show what a site repeats, by the same rule as any greater number; a single one shows nothing and is cut
+only where it declares noise. A text that a site repeats in the very path of its paragraphs is not told
 from them.
 
 A null or empty page has no text. A page whose url has no host forms a site with the others of that
-kind. Repeated pages count as pages of their own. Unclosed and stray tags are tolerated. Blocks keep their order and are never shortened.
+kind. Unclosed and stray tags are tolerated. Blocks keep their order and are never shortened.
 """
 
 from __future__ import annotations
@@ -41,8 +43,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEAST = 0.2
 #: Share of LEAST that holds inside an article or main element.
 DECLARED = 0.25
-#: Sites with fewer pages show no repetition that could be trusted.
-LEAST_PAGES = 4
 G = 0.9
 SALTS = 16
 
@@ -192,7 +192,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of every element path of every site."""
     sites = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
     whole = F.struct("paths", "found")
-    distinct = sites.mapInArrow(_features, _FEATURES).select("host", whole.alias("one"))
+    distinct = sites.mapInArrow(_features, _FEATURES).groupBy("host", "page").agg(F.min(whole).alias("one"))
     rows = distinct.select("host", "one.paths", F.explode("one.found").alias("f"))
     rows = rows.select("host", F.expr("paths[f.at]").alias("path"), "f.style", "f.feature")
     counts = rows.groupBy("host", "path", "style", "feature").agg(F.count("*").alias("n"))
@@ -223,7 +223,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
 
 def noisy_branches(pages: DataFrame) -> DataFrame:
     """(host, cut, cut_declared): the branches with contents whose importance is low, per site."""
-    low = style_trees(pages).where((F.col("importance") < LEAST) & (F.col("pages") >= LEAST_PAGES))
+    low = style_trees(pages).where((F.col("importance") < LEAST) & (F.col("pages") > 1))
     low = low.where("path not in ('>html', '>html>body', '>body')")
     declared = F.when(F.col("importance") < DECLARED * LEAST, F.col("path"))
     return low.groupBy("host").agg(F.collect_list("path").alias("cut"), F.collect_list(declared).alias("cut_declared"))
