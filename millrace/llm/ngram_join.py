@@ -7,7 +7,8 @@ short inverted lists only, and probes the long ones for the candidates found the
 1. Spark counts in how many documents each shingle occurs (packed hashes, by bucket) and gives each
    document those shingles that others have too, in the order of their list lengths. A shingle of
    one document is a list without partner.
-2. Equal sets are one class, known by a digest and stood for by its smallest document.
+2. Equal sets are one class, known by a key of 64 digest bits wherever its copies lie, and named by its
+   smallest document. Among n sets two keys are expected to meet n * n / 2**65 times.
 3. With T(n) the least overlap that any partner of a document may have, its n - T(n) + 1 shortest
    lists must contain every partner at least once; the T(n) - 1 longest are put aside. The short
    lists are merged: within a list, records are heap-merged in the order of their sizes, and pairs
@@ -19,8 +20,9 @@ short inverted lists only, and probes the long ones for the candidates found the
    task ever holds a whole hot list. No link between different components is lost.
 
 Null, empty and blank texts have no shingles and link with nothing. Rows without id are left out of
-the join and of its result, as a component is named by an id. Rows that share an id are joined as one document each and
-told apart by nothing but their text; a component holds the ids.
+the join and of its result, as a component is named by an id. Every row is judged by its own text: rows
+that share an id belong to the class of their text each, and a component is named by its smallest id.
+`without_near_duplicates` takes rows without id along, after all ids.
 """
 
 from __future__ import annotations
@@ -52,9 +54,14 @@ NEAR = (2, 8)
 #: Bits of the parity sketch that a record takes along.
 SKETCH = 512
 
-_SENT = "bucket int, doc_id bigint, steps binary, runs binary, hashes binary, lengths binary"
+#: Stands for a missing id, in the order of ids.
+NO_ID = (1 << 63) - 1
+
+_SENT = "bucket int, doc_id bigint, steps binary, runs binary, hashes binary"
 _KNOWN = "doc_id bigint, hashes binary, lengths binary"
+_RECORD = "doc_id bigint, n bigint, short int, hashes binary, class_id bigint"
 _POSTING = "shingle bigint, n bigint, doc_id bigint, after bigint, shared bigint, sketch binary"
+_VERIFIED = "a bigint, b bigint, id_a bigint, id_b bigint"
 _KINDS = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
@@ -99,52 +106,60 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes
     return words.in_chunks(rows, 1)
 
 
-def _digest(own: np.ndarray) -> bytes:
-    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+def _key(own: np.ndarray) -> int | None:
+    """The key of a set's class; an empty set has none."""
+    return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True) if len(own) else None
 
 
 def _digests(size: int):
-    schema = _schema("doc_id bigint, n bigint, digest binary")
+    schema = _schema("doc_id bigint, n bigint, key bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _folded(batches):
             sets = _sets([t for _, t in chunk], size)
-            yield _batch([(doc, len(own), _digest(own)) for (doc, _), own in zip(chunk, sets, strict=True)], schema)
+            yield _batch([(doc, len(own), _key(own)) for (doc, _), own in zip(chunk, sets, strict=True)], schema)
+
+    return run
+
+
+def _keyed(size: int, text_at: int):
+    """Add the class key of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ((t.lower(),) for t in words.utf8(batch.column(text_at)))
+            keys = [_key(own) for chunk in words.in_chunks(texts, 0) for own in _sets([t for (t,) in chunk], size)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*batch.schema.names, "_key"])
 
     return run
 
 
 def _emit(size: int, bits: int):
+    """Shingles of the chunk's classes; from here on, doc_id is the key of a class."""
     schema = _schema(_SENT)
 
     def chunk_rows(chunk: list[tuple]) -> Iterator[tuple]:
-        chunk = sorted(chunk, key=lambda r: r[0])
-        ids, sets, seen = [], [], set()
-        for (doc, _), own in zip(chunk, _sets([r[1] for r in chunk], size), strict=True):
-            digest = _digest(own)
-            if len(own) and digest not in seen:  # of equal sets the chunk's first speaks for all
-                seen.add(digest)
-                ids.append(doc)
-                sets.append(packed.cut(own, bits))
+        sets: dict[int, np.ndarray] = {}
+        for own in _sets([r[1] for r in chunk], size):
+            if len(own) and (key := _key(own)) not in sets:
+                sets[key] = packed.cut(own, bits)
         if not sets:
             return
-        hashes, docs = np.concatenate(sets), np.repeat(np.array(ids, np.int64), [len(s) for s in sets])
+        ids = sorted(sets)
+        hashes, docs = np.concatenate([sets[i] for i in ids]), np.repeat(np.array(ids, np.int64), [len(sets[i]) for i in ids])
         order = np.argsort(hashes, kind="stable")
         firsts = packed.runs_of(hashes[order])
         lengths = np.diff(np.append(firsts, len(order)))
         place = np.arange(len(order)) - np.repeat(firsts, lengths)
-        # a list of full length within the chunk is known to be long; nobody has to be told
-        full = np.zeros(len(order), bool)
-        full[order] = np.repeat(lengths >= LENGTH_CAP, lengths)
+        # of a list of full length within the chunk, the rest goes by document
         send = np.ones(len(order), bool)
         send[order] = place < LENGTH_CAP
         for bucket, steps, runs, digests in packed.by_bucket(docs[send], hashes[send], bits):
-            yield bucket, None, steps, runs, digests, None
-        docs, hashes = docs[full & ~send], hashes[full & ~send]
+            yield bucket, None, steps, runs, digests
+        docs, hashes = docs[~send], hashes[~send]
         for doc, at in packed.per_document(docs):
             for bucket, _, _, digests in packed.by_bucket(docs[at], hashes[at], bits):
-                known = bytes([LENGTH_CAP]) * (len(digests) // packed.DIGEST_BYTES)
-                yield bucket, doc, None, None, digests, known
+                yield bucket, doc, None, None, digests
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _folded(batches):
@@ -158,16 +173,21 @@ def _list_lengths(bits: int):
 
     def count(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        rows, open_ = [], []
-        columns = [table[c].to_pylist() for c in ("doc_id", "steps", "runs", "hashes", "lengths")]
-        for doc, steps, runs, hashes, lengths in zip(*columns, strict=True):
+        rows, open_, docs, hashes = [], [], [], []
+        for doc, steps, runs, own in zip(*(table[c].to_pylist() for c in ("doc_id", "steps", "runs", "hashes")), strict=True):
             if doc is None:
-                open_.append((steps, runs, hashes))
+                open_.append((steps, runs, own))
             else:
-                rows.append((doc, packed.unpack(hashes, bucket, bits).tobytes(), lengths))
-        docs, hashes = packed.from_bucket(open_, bucket, bits)
-        order = np.argsort(hashes)
+                hashes.append(packed.unpack(own, bucket, bits))
+                docs.append(np.full(len(hashes[-1]), doc, np.int64))
+        more_docs, more_hashes = packed.from_bucket(open_, bucket, bits)
+        docs, hashes = np.concatenate([*docs, more_docs]), np.concatenate([*hashes, more_hashes])
+        order = np.lexsort((docs, hashes))
         docs, hashes = docs[order], hashes[order]
+        # every chunk that holds a copy has sent the class
+        once = np.ones(len(docs), bool)
+        once[1:] = (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])
+        docs, hashes = docs[once], hashes[once]
         firsts = packed.runs_of(hashes)
         lengths = np.diff(np.append(firsts, len(hashes)))
         lengths = np.repeat(np.minimum(lengths, LENGTH_CAP), lengths).astype(np.uint8)
@@ -182,19 +202,19 @@ def _list_lengths(bits: int):
 
 def _records(percent: int):
     """Per class: its shared shingles by rising list length, and how many of them are short lists."""
-    schema = _schema("doc_id bigint, n bigint, short int, hashes binary")
+    schema = _schema(_RECORD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, n, parts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, n, parts, class_id in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 hashes = np.frombuffer(b"".join(p["hashes"] for p in parts), np.uint64)
                 lengths = np.frombuffer(b"".join(p["lengths"] for p in parts), np.uint8)
                 alone = n - len(hashes)  # these come first and have no partner
                 short = n - _least_any(n, percent) + 1 - alone
                 if short > 0:
                     order = np.lexsort((hashes, lengths))
-                    out.append((doc, n, short, hashes[order].tobytes()))
+                    out.append((doc, n, short, hashes[order].tobytes(), class_id))
             yield _batch(out, schema)
 
     return run
@@ -274,7 +294,7 @@ def _merge(percent: int, near: int):
 
 
 def _verify(percent: int):
-    schema = _schema("a bigint, b bigint")
+    schema = _schema(_VERIFIED)
 
     def probe(short: np.ndarray, long: np.ndarray) -> int:
         """How many of the fewer shingles stand in the longer list, by binary search."""
@@ -285,10 +305,10 @@ def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for a, b, n, m, x, y in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for a, b, n, m, x, y, *ids in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
                 x, y = np.sort(np.frombuffer(x, np.uint64)), np.sort(np.frombuffer(y, np.uint64))
                 if probe(*((x, y) if len(x) < len(y) else (y, x))) >= least_overlap(n, m, percent):
-                    out.append((a, b))
+                    out.append((a, b, *ids))
             yield _batch(out, schema)
 
     return run
@@ -334,46 +354,67 @@ def _candidates(lists: DataFrame, percent: int, near: int) -> DataFrame:
     return ordered.mapInArrow(_merge(percent, near), "a bigint, b bigint").distinct()
 
 
-def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, all_pairs: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(documents, links).
+def _linked(texts: DataFrame, size: int, percent: int, all_pairs: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, classes, links) of rows (doc_id, text).
 
-    documents: doc_id, n_shingles, class_id (smallest document of the same set; null for none), one
-    row per row with an id. links: pairs (a, b) of classes, verified; enough of them to connect all
-    that is connected, or with `all_pairs` every similar pair of classes.
+    members: doc_id, n, key (of the row's class, null without shingles). classes: key, class_id, n. links:
+    pairs (a, b) of vertices (class_id, key), whose order is that of the smallest documents.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     bits = packed.bucket_bits(texts)
-    members = cut_lineage(texts.mapInArrow(_digests(size), "doc_id bigint, n bigint, digest binary"))
-    classes = members.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("class_id"))
-    documents = members.join(classes.select("digest", "class_id"), "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), "class_id")
+    members = cut_lineage(texts.mapInArrow(_digests(size), "doc_id bigint, n bigint, key bigint"))
+    least = F.min(F.coalesce("doc_id", F.lit(NO_ID)))
+    classes = members.where("n > 0").groupBy("key").agg(least.alias("class_id"), F.max("n").alias("n"))
 
     known = texts.mapInArrow(_emit(size, bits), _SENT).groupBy("bucket").applyInArrow(_list_lengths(bits), _KNOWN)
     shared = known.groupBy("doc_id").agg(F.collect_list(F.struct("hashes", "lengths")).alias("parts"))
-    records = shared.join(classes.select(F.col("class_id").alias("doc_id"), "n"), "doc_id").select("doc_id", "n", "parts")
-    records = cut_lineage(records.mapInArrow(_records(percent), "doc_id bigint, n bigint, short int, hashes binary"))
-    lists = records.mapInArrow(_postings, _POSTING)
+    records = shared.join(classes.withColumnRenamed("key", "doc_id"), "doc_id").select("doc_id", "n", "parts", "class_id")
+    records = cut_lineage(records.mapInArrow(_records(percent), _RECORD))
+    lists = records.drop("class_id").mapInArrow(_postings, _POSTING)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        sets = records.select("doc_id", "n", "hashes")
-        left = pairs.join(sets.toDF("a", "n", "x"), "a")
-        whole = left.join(sets.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
-        return whole.mapInArrow(_verify(percent), "a bigint, b bigint")
+        sets = records.select("doc_id", "n", "hashes", "class_id")
+        left = pairs.join(sets.toDF("a", "n", "x", "id_a"), "a")
+        whole = left.join(sets.toDF("b", "m", "y", "id_b"), "b").select("a", "b", "n", "m", "x", "y", "id_a", "id_b")
+        vertex = lambda c: F.struct(F.col(f"id_{c}").alias("class_id"), F.col(c).alias("key")).alias(c)
+        return whole.mapInArrow(_verify(percent), _VERIFIED).select(vertex("a"), vertex("b"))
 
     alone = lists.withColumn("component", F.col("doc_id"))
     if all_pairs:
-        return documents, cut_lineage(verified(_candidates(alone, percent, 0)))
+        return members, classes, cut_lineage(verified(_candidates(alone, percent, 0)))
     links, grouped = None, alone
     for near in (*NEAR, 0):
         more = verified(_candidates(grouped, percent, near))
         links = cut_lineage(more if links is None else links.union(more))
         if near:
-            grouped = lists.join(components(links), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    return documents, links
+            found = components(links).select(F.col("doc_id.key").alias("doc_id"), F.col("component.key").alias("component"))
+            grouped = lists.join(found, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return members, classes, links
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, all_pairs: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(documents, links).
+
+    documents: doc_id, n_shingles, class_id (smallest document of the same set; null for none), one
+    row per row with an id. links: pairs (a, b) of classes, verified; enough of them to connect all
+    that is connected, or with `all_pairs` every similar pair of classes.
+    """
+    members, classes, links = _linked(_texts(docs).where("doc_id is not null"), size, percent, all_pairs)
+    documents = members.join(classes.select("key", "class_id"), "key", "left").select("doc_id", F.col("n").alias("n_shingles"), "class_id")
+    return documents, links.select(F.least("a", "b")["class_id"].alias("a"), F.greatest("a", "b")["class_id"].alias("b"))
+
+
+def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, component): the smallest vertex that each class reaches, itself included."""
+    groups = components(links).select(F.col("doc_id.key").alias("key"), "component")
+    return classes.join(groups, "key", "left").select("key", F.coalesce("component", F.struct("class_id", "key")).alias("component"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest document reachable by links, itself included."""
-    documents, links = similar(docs, size, percent)
-    groups = components(links).select(F.col("doc_id").alias("class_id"), F.col("component").alias("of_class"))
-    joined = documents.join(groups, "class_id", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("of_class", "class_id", "doc_id").alias("component_id"))
+    members, classes, links = _linked(_texts(docs).where("doc_id is not null"), size, percent)
+    joined = members.join(_grouped(classes, links), "key", "left")
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.class_id", "doc_id").alias("component_id"))

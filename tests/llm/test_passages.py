@@ -145,6 +145,20 @@ def test_rows_that_share_an_id_or_have_none(odd):
     assert all(r[0] is not None for r in got)
 
 
+def test_repeated_rows_in_several_partitions(spark):
+    base = prose(100, 1).split()
+    first, second, third = base, base[:60] + prose(40, 50).split(), prose(50, 77).split()
+    docs = [(1, " ".join(first)), (2, " ".join(second)), (3, " ".join(third)), (3, " ".join(first[:50]))]
+    both = len(shingles(docs[0][1]) & shingles(docs[1][1])) / len(shingles(docs[0][1]) | shingles(docs[1][1]))
+    assert 0.35 < both < 0.45
+    # id 5 has a copy of the third text and one of its own, and is linked by each row for itself
+    docs += [(5, docs[2][1] + " more"), (5, prose(60, 31))]
+    frame = spark.createDataFrame(docs * 4, "doc_id bigint, text string").repartition(8)
+    got = rows(ngram_join.near_duplicates(frame), "doc_id", "n_shingles", "component_id")
+    components = [1, 2, 3, 3, 3, 5]
+    assert got == sorted(((i, len(shingles(t)), c) for (i, t), c in zip(docs, components, strict=True) for _ in range(4)), key=repr)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([((i * 7919) % 1009, ((i + 1) * 7919) % 1009) for i in range(1008)], "a bigint, b bigint")
     assert {r["component"] for r in ngram_join.components(links).collect()} == {0}
