@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 again as the next stage's documents. The first four return the columns they were given.
 
 1. quality: documents that importance resampling does not draw are dropped.
-2. near duplicates: of each component of similar documents the smallest id stays; rows that repeat that
-   id all stay if their texts are equal to each other, and rows without id always stay.
+2. near duplicates: of each component of similar rows one stays, the least by id, text and the other
+   columns; rows without id come after all others. Rows without words all stay.
 3. decontamination: documents that hold a window of a benchmark item are dropped.
 4. secrets: every secret gives way to its kind in brackets, and `n_chars` is counted again.
 5. encoding: token ids of every text.
@@ -31,9 +31,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.near_duplicates(docs)
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    return ngram_join.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm import packed, words
 from millrace.session import cut_lineage
@@ -418,3 +419,29 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     members, classes, links = _linked(_texts(docs).where("doc_id is not null"), size, percent)
     joined = members.join(_grouped(classes, links), "key", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.class_id", "doc_id").alias("component_id"))
+
+
+def without_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, all columns, with one row of each component: the least by id (none is last), text and the rest.
+
+    Rows without shingles are components of their own.
+    """
+    members, classes, links = _linked(_texts(docs), size, percent)
+    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+    counted = members.where("n > 0").groupBy("key", order.alias("id")).agg(F.count("*").alias("rows"))
+    placed = cut_lineage(counted.join(_grouped(classes, links), "key").select(F.col("key").alias("_key"), F.col("id").alias("_id"), "rows", F.col("component").alias("_component")))
+    least = placed.where("_id = _component.class_id")
+    several = least.groupBy("_component").agg(F.sum("rows").alias("rows")).where("rows > 1").select("_component")
+    tied = cut_lineage(least.join(several, "_component").select("_key", "_id", "_component"))
+    gone = placed.where("_id <> _component.class_id").select("_key", "_id").union(tied.select("_key", "_id"))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_key", T.LongType())])
+    keyed = docs.mapInArrow(_keyed(size, docs.columns.index("text")), schema).withColumn("_id", order)
+    kept = keyed.join(gone, ["_key", "_id"], "left_anti").select(*docs.columns)
+    if not tied.limit(1).count():
+        return kept
+    # several rows have the least id of their component
+    rest = F.to_json(F.struct(*docs.columns))
+    one = F.min_by(F.struct(*docs.columns), F.struct(F.col("doc_id").isNull(), F.col("text"), rest))
+    firsts = keyed.join(tied, ["_key", "_id"]).groupBy("_component").agg(one.alias("row")).select("row.*")
+    return kept.union(firsts)

@@ -6,6 +6,7 @@ import corpus_pipeline
 from millrace.llm import bpe, secrets
 from millrace.sources.tables import load
 
+from .conftest import prose
 from .test_passages import brute_components, fold
 
 
@@ -56,3 +57,15 @@ def test_stages_on_odd_and_empty_rows(spark, sf, odd, none):
                 assert out.dtypes == docs.dtypes
                 docs = out
         assert out.count() == docs.count()
+
+
+def test_one_row_of_each_component_stays(spark, sf):
+    a, b, alone = prose(80), prose(70, 9), prose(60, 31)
+    rows = [(1, a, "s")] * 5 + [(1, a.upper(), "s"), (2, a + " more", "s"), (None, a, "s")]  # repeats, near copy, no id
+    rows += [(3, b + " end", "s"), (7, b, "s"), (7, alone, "s")]  # of id 7, one row is a copy
+    rows += [(None, prose(50, 77), "t"), (None, prose(50, 77), "s"), (4, None, "s"), (4, None, "s"), (5, "", "s"), (None, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(6)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, sf)
+    kept = [(1, a.upper(), "s"), (3, b + " end", "s"), (7, alone, "s"), (None, prose(50, 77), "s"), *rows[-4:]]
+    assert got.dtypes == docs.dtypes
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(kept, key=repr)
