@@ -33,7 +33,8 @@ _ROUNDS = 4
 def _sample(records: DataFrame, step: int, seed: int) -> DataFrame:
     """About one record per `step` bytes, each standing for so many bytes, or for its own if larger."""
     chance = F.pmod(F.xxhash64("hash", "key", F.lit(seed)), F.lit(1 << 40))
-    drawn = records.where(chance * step < F.col("size") * (1 << 40))
+    # as doubles: whole numbers would overflow on records of 8 MB or samples of few records
+    drawn = records.where(chance / float(1 << 40) < F.col("size") / float(step))
     return drawn.select("range", "hash", "key", F.greatest("size", F.lit(step)).alias("weight"))
 
 

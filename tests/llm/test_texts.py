@@ -40,6 +40,14 @@ def test_shards_are_even_and_gapless(spark, odd, hot):
     assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
 
 
+def test_shards_of_very_long_texts(spark):
+    docs = spark.createDataFrame([(i, "x" * (1000 if i % 20 else 9 << 20)) for i in range(40)], "doc_id bigint, text string")
+    got = shards.assign(docs, 4, 8).collect()
+    assert Counter(r["size"] for r in got) == {(9 << 20) + 1: 2, 1001: 38}
+    records = spark.createDataFrame([(0, i, i, 1 << 24) for i in range(50)], "range int, hash bigint, key bigint, size bigint")
+    assert shards._sample(records, 1 << 24, 0).count() == 50
+
+
 def test_empty_inputs(spark, none):
     assert shards.assign(none).count() == 0
     assert token_counts.recount(token_counts.build_trees(none)).count() == 0
