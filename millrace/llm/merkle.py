@@ -47,11 +47,11 @@ def _leaves(print_: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal roots, else the share of leaves that the two have in common."""
+    """1 for equal roots, else the share of leaves that the two have in common; 0 if neither has leaves."""
     x, y = _leaves(a), _leaves(b)
     common = F.size(F.array_intersect(x, y)).cast("double")
     equal = F.substring_index(a, "|", 1) == F.substring_index(b, "|", 1)
-    return F.when(equal, 1.0).otherwise(2 * common / (F.size(x) + F.size(y)))
+    return F.when(equal, 1.0).otherwise(2 * common / F.greatest(F.size(x) + F.size(y), F.lit(1)))
 
 
 def edited_paragraphs(old: Column, new: Column) -> Column:

@@ -254,6 +254,13 @@ def test_fingerprints_of_odd_rows(odd, odd_rows):
     assert next(r for r in got if r["doc_id"] == 8)["near_edited"] > 0.6
 
 
+def test_neighbours_without_leaves(spark):
+    rows = [(9, "\n"), (8, ""), (7, "\n\n"), (6, "\n"), (5, None), (4, "\n"), (3, "a")]
+    got = by_id(merkle.compare_edits(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert {i: r["near_next"] for i, r in got.items()} == dict.fromkeys((9, 8, 7, 6, 5, 4, 3), 0.0)
+    assert all(r["near_edited"] == 1 for i, r in got.items() if i != 7)
+
+
 def test_differing_branches_locate_an_edit(spark):
     from pyspark.sql import functions as F
 
