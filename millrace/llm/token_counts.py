@@ -110,7 +110,7 @@ def edit(tree: Tree, text: str, start: int, length: int, replacement: str, count
     end = min(start + max(length, 0), len(text))
     new = text[:start] + replacement + text[end:]
     shift = len(new) - len(text)
-    leaf, first = tree.find(max(0, start - 1)) if text else (0, 0)
+    leaf, first = tree.find(max(0, start - 2)) if text else (0, 0)  # a contraction may begin two characters before
     while first > 0 and text[first - 1].isspace():  # a run of spaces looks ahead; start before it
         leaf -= 1
         first -= int(tree.sums[tree.leaves + leaf, 0])

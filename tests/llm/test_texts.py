@@ -85,6 +85,17 @@ def test_small_edits_of_long_texts_encode_little(spark):
     assert token_counts.recount(trees).first()["encoded_chars"] < 3000
 
 
+def test_contractions_across_leaves(spark):
+    words = "w" + " w" * (token_counts.LEAF - 2)
+    cases = [(words + "'" + a + " x" * 300, len(words) + 2, b) for a, b in ("re", "ve", "ll")]
+    kind = "doc_id bigint, text string, edits array<struct<start:int,length:int,replacement:string>>"
+    frame = spark.createDataFrame([(i, t, [(at, 0, new)]) for i, (t, at, new) in enumerate(cases)], kind)
+    whole = spark.createDataFrame([(i, t[:at] + new + t[at:], None) for i, (t, at, new) in enumerate(cases)], kind)
+    edited = by_id(token_counts.recount(token_counts.build_trees(frame)))
+    expected = by_id(token_counts.recount(token_counts.build_trees(whole)))
+    assert all(r["edited_text"] == expected[i]["edited_text"] and r["edited_tokens"] == expected[i]["n_tokens"] for i, r in edited.items())
+
+
 def test_quality_keeps_good_and_drops_bad(spark):
     docs = load(spark, "/root/testdata/sf0.01", "documents")
     labels = load(spark, "/root/testdata/sf0.01", "labels")
