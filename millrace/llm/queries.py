@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontam, html_main, merkle, ngram_join, quality, secrets, shards, substrings, token_counts
+from millrace.llm import bpe, decontam, hard_negatives, html_main, merkle, ngram_join, quality, secrets, shards, substrings, token_counts
 from millrace.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,33 @@ SELECT doc_id, length(e.text) AS n_chars, sha256(edited) AS edited_sha256, a.fp
   CASE WHEN a.fp = c.fp THEN 1.0::DOUBLE
     ELSE 2.0::DOUBLE * len(list_intersect(a.leaves, c.leaves)) / (len(a.leaves) + len(c.leaves)) END AS near_next
 FROM e JOIN prints a ON a.t = e.text JOIN prints b ON b.t = e.edited JOIN prints c ON c.t = e.next_text"""
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label")
+    vectors = load(spark, sf, "embeddings").select("vec_id", "embedding", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q,
+    CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3"""
