@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontam, hard_negatives, html_main, merkle, ngram_join, quality, secrets, shards, substrings, token_counts
+from millrace.llm import bpe, decontam, hard_negatives, html_main, merkle, ngram_join, periodic, quality, secrets, shards, substrings, token_counts
 from millrace.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,19 @@ n AS (
   WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
 FROM n WHERE rank <= 3"""
+
+
+@query
+def op13_periodic_runs(spark, sf):
+    """Every tenth text, by a hash of its id, is first made periodic from a word on that the hash names."""
+    text, ident = F.coalesce("text", F.lit("")), F.col("doc_id").cast("string")
+    w, h = F.col("w"), F.crc32(ident)
+    n, g = F.size("w"), F.floor(h / 10)
+    begin = F.pmod(g, n)
+    period = 1 + F.floor((n - begin) / (3 + F.pmod(g, F.lit(8))))
+    source = lambda i: F.when(i < begin, i).otherwise(begin + F.pmod(i - begin, period)).cast("int")
+    changed = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, source(i))), " ")
+    docs = load(spark, sf, "documents").select("doc_id", text.alias("text"), (F.pmod(h, F.lit(10)) == 0).alias("chosen"))
+    cut = F.when(F.col("chosen"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    docs = docs.withColumn("w", cut).select("doc_id", F.when(F.col("chosen") & (n > 0), changed).otherwise(F.col("text")).alias("text"))
+    return periodic.report(periodic.find_runs(docs, with_text=False))
