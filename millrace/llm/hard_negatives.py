@@ -45,7 +45,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SAMPLE = 20_000
 FANOUT = 8
 #: A leaf is split while it is expected to hold more rows than this.
-LEAF_ROWS = 4096
+LEAF_ROWS = 16_384
 #: Rows of the sample that a node needs at least for being split.
 LEAST_SPLIT = 24
 BLOCK = 32_768
