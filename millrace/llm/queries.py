@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontam, hard_negatives, html_main, merkle, ngram_join, periodic, quality, secrets, shards, substrings, token_counts
+from millrace.llm import bpe, decontam, hard_negatives, html_main, merkle, ngram_join, periodic, quality, secrets, shards, substrings, suffixes, token_counts
 from millrace.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,8 @@ def op13_periodic_runs(spark, sf):
     cut = F.when(F.col("chosen"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
     docs = docs.withColumn("w", cut).select("doc_id", F.when(F.col("chosen") & (n > 0), changed).otherwise(F.col("text")).alias("text"))
     return periodic.report(periodic.find_runs(docs, with_text=False))
+
+
+@query
+def op12_suffix_dedup(spark, sf):
+    return suffixes.remove_repeats(load(spark, sf, "documents")).drop("spans")
