@@ -221,3 +221,24 @@ def op13_periodic_runs(spark, sf):
 @query
 def op12_suffix_dedup(spark, sf):
     return suffixes.remove_repeats(load(spark, sf, "documents")).drop("spans")
+
+
+ORACLES["op12_suffix_dedup"] = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, p, hash(b[p:p + 399]) AS h FROM d, unnest(range(1, octet_length(b) - 398)) AS t(p)),
+again AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+s AS (
+  SELECT doc_id, p, sum(apart) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, CAST(coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400, true) AS INTEGER) AS apart
+    FROM w SEMI JOIN again USING (h))),
+spans AS (SELECT doc_id, min(p) AS low, max(p) + 399 AS high FROM s GROUP BY doc_id, run),
+ends AS (
+  SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) + 1 AS a, low - 1 AS z FROM spans
+  UNION ALL SELECT doc_id, max(high) + 1, NULL FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, unhex(string_agg(hex(b[a:coalesce(z, octet_length(b))]), '' ORDER BY a)) AS k
+  FROM ends JOIN d USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(coalesce(k, b)) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
