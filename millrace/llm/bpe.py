@@ -22,6 +22,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -31,7 +32,7 @@ from millrace.llm import words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+VOCABULARY = str(public_tokenizers.path("word_bpe_49k.json"))
 SHORT = 48
 #: Pieces that a task keeps; beyond, it begins anew. This changes no result.
 KEPT = 1 << 18

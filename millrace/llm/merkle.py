@@ -1,11 +1,11 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and their pieces.
 
 Sections end at blank lines, paragraphs at line ends, and a paragraph is cut into pieces of `PIECE`
-code points, the leaves. A leaf is the first eight hex digits of its MD5; a paragraph is the MD5 of
-its leaves, a section that of its paragraphs, and the root is the SHA-256 of the sections. The
-fingerprint is written `root|sections|leaves`; leaves are separated by `,` in a paragraph, `/` between
-paragraphs, `;` between sections. Equal texts have equal roots; where roots differ, differing sections
-and paragraphs locate the edit.
+code points, the leaves. Every node is a SHA-256: of the piece, of the digests of a paragraph's leaves, of
+those of a section's paragraphs, and the root of those of all sections. So roots are equal for equal texts
+only. The fingerprint is written `root|sections|leaves` and names sections by the first 16 and leaves by
+the first 12 hex digits; leaves are separated by `,` in a paragraph, `/` between paragraphs, `;` between
+sections. Where roots differ, differing sections and paragraphs locate the edit.
 
 Everything is built-in column functions. Null is the empty text. The document after a given one
 is the next smaller id (rows without id come last, equal ids by their text); after the last comes
@@ -20,26 +20,36 @@ from pyspark.sql import functions as F
 from millrace.llm.ranges import range_of
 
 PIECE = 32
+#: Hex digits of a leaf's and of a section's name.
+LEAF, SECTION = 12, 16
 BUCKET_BYTES = 16 << 20
-MOST_BUCKETS = 1024
+#: Beyond a terabyte, buckets grow: 1.6 GB at 100 TB.
+MOST_BUCKETS = 1 << 16
 _LEAST_KEY = -(1 << 63)
 
 
 def fingerprint(text: Column, piece: int = PIECE) -> Column:
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    joined = lambda digests: sha(F.array_join(digests, ","))
+
     def leaves(paragraph: Column) -> Column:
-        pieces = F.regexp_extract_all(paragraph, F.lit(f"(?s).{{1,{piece}}}"), F.lit(0))
-        return F.array_join(F.transform(pieces, lambda p: F.substring(F.md5(p.cast("binary")), 1, 8)), ",")
+        return F.transform(F.regexp_extract_all(paragraph, F.lit(f"(?s).{{1,{piece}}}"), F.lit(0)), sha)
 
-    sections = F.transform(
+    tree = F.transform(
         F.split(F.coalesce(text, F.lit("")), "\n\n", -1),
         lambda section: F.transform(F.split(section, "\n", -1), leaves),
     )
-    nodes = lambda found: F.array_join(
-        F.transform(found, lambda s: F.substring(F.md5(F.array_join(F.transform(s, lambda p: F.md5(p.cast("binary"))), ",").cast("binary")), 1, 16)), ","
-    )
-    written = lambda found: F.array_join(F.transform(found, lambda s: F.array_join(s, "/")), ";")
-    whole = F.transform(F.array(sections), lambda s: F.concat(nodes(s), F.lit("|"), written(s)))[0]
-    return F.transform(F.array(whole), lambda w: F.concat(F.sha2(w, 256), F.lit("|"), w))[0]
+    names = lambda paragraph: F.array_join(F.transform(paragraph, lambda d: F.substring(d, 1, LEAF)), ",")
+
+    def written(found: Column, sections: Column) -> Column:
+        own = F.array_join(F.transform(sections, lambda d: F.substring(d, 1, SECTION)), ",")
+        lines = F.array_join(F.transform(found, lambda s: F.array_join(F.transform(s, names), "/")), ";")
+        return F.concat(joined(sections), F.lit("|"), own, F.lit("|"), lines)
+
+    # each step stands behind a one-element array, so that it is computed once
+    nodes = lambda found: F.transform(found, lambda s: joined(F.transform(s, joined)))
+    both = F.transform(F.array(tree), lambda found: F.struct(found.alias("tree"), nodes(found).alias("sections")))
+    return F.transform(both, lambda b: written(b["tree"], b["sections"]))[0]
 
 
 def _leaves(print_: Column) -> Column:
@@ -77,7 +87,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     n_bytes = base.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = int(min(MOST_BUCKETS, max(32, n_bytes // BUCKET_BYTES)))
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = base.select(F.percentile_approx("key", shares, 10000).alias("cuts")).first()["cuts"] or []
+    cuts = base.select(F.percentile_approx("key", shares, max(10_000, 10 * buckets)).alias("cuts")).first()["cuts"] or []
     placed = base.withColumn("bucket", range_of([(c,) for c in sorted(set(cuts))], "key"))
 
     tops = placed.groupBy("bucket").agg(F.max("key").alias("key"))  # one row per bucket

@@ -19,10 +19,11 @@ short inverted lists only, and probes the long ones for the candidates found the
    components meet in full. Lists beyond `BLOCK` records are dealt as pairs of blocks, so that no
    task ever holds a whole hot list. No link between different components is lost.
 
-Null, empty and blank texts have no shingles and link with nothing. Rows without id are left out of
-the join and of its result, as a component is named by an id. Every row is judged by its own text: rows
+Null, empty and blank texts have no shingles and link with nothing. Every row is judged by its own text: rows
 that share an id belong to the class of their text each, and a component is named by its smallest id.
-`without_near_duplicates` takes rows without id along, after all ids.
+Rows without id come after all ids: they belong to the component of their text, which has no name (null) if
+no row with an id is in it. `similar` leaves them out, as its links are pairs of ids. Columns other than
+the id and the text play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -123,14 +124,14 @@ def _digests(size: int):
     return run
 
 
-def _keyed(size: int, text_at: int):
-    """Add the class key of every row."""
+def _keyed(size: int):
+    """Rows (row, id, text) with the class key in place of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ((t.lower(),) for t in words.utf8(batch.column(text_at)))
+            texts = ((t.lower(),) for t in words.utf8(batch.column(2)))
             keys = [_key(own) for chunk in words.in_chunks(texts, 0) for own in _sets([t for (t,) in chunk], size)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*batch.schema.names, "_key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.int64())], names=["row", "id", "key"])
 
     return run
 
@@ -416,9 +417,10 @@ def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest document reachable by links, itself included."""
-    members, classes, links = _linked(_texts(docs).where("doc_id is not null"), size, percent)
+    members, classes, links = _linked(_texts(docs), size, percent)
     joined = members.join(_grouped(classes, links), "key", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.class_id", "doc_id").alias("component_id"))
+    component = F.nullif(F.coalesce("component.class_id", "doc_id"), F.lit(NO_ID))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def without_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -427,21 +429,22 @@ def without_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int =
     Rows without shingles are components of their own.
     """
     members, classes, links = _linked(_texts(docs), size, percent)
-    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
-    counted = members.where("n > 0").groupBy("key", order.alias("id")).agg(F.count("*").alias("rows"))
-    placed = cut_lineage(counted.join(_grouped(classes, links), "key").select(F.col("key").alias("_key"), F.col("id").alias("_id"), "rows", F.col("component").alias("_component")))
-    least = placed.where("_id = _component.class_id")
-    several = least.groupBy("_component").agg(F.sum("rows").alias("rows")).where("rows > 1").select("_component")
-    tied = cut_lineage(least.join(several, "_component").select("_key", "_id", "_component"))
-    gone = placed.where("_id <> _component.class_id").select("_key", "_id").union(tied.select("_key", "_id"))
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("_key", T.LongType())])
-    keyed = docs.mapInArrow(_keyed(size, docs.columns.index("text")), schema).withColumn("_id", order)
-    kept = keyed.join(gone, ["_key", "_id"], "left_anti").select(*docs.columns)
+    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
+    counted = members.where("n > 0").groupBy("key", order).agg(F.count("*").alias("rows"))
+    placed = cut_lineage(counted.join(_grouped(classes, links), "key").select("key", "id", "rows", "component"))
+    least = placed.where("id = component.class_id")
+    several = least.groupBy("component").agg(F.sum("rows").alias("rows")).where("rows > 1").select("component")
+    tied = cut_lineage(least.join(several, "component").select("key", "id", "component"))
+    gone = placed.where("id <> component.class_id").select("key", "id").union(tied.select("key", "id"))
+
+    # the caller's columns travel as one, so that their names can be any
+    rows = docs.select(F.struct("*").alias("row"), order, F.col("text").cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("id", T.LongType()), T.StructField("key", T.LongType())])
+    keyed = rows.mapInArrow(_keyed(size), schema)
+    kept = keyed.join(gone, ["key", "id"], "left_anti").select("row.*")
     if not tied.limit(1).count():
         return kept
     # several rows have the least id of their component
-    rest = F.to_json(F.struct(*docs.columns))
-    one = F.min_by(F.struct(*docs.columns), F.struct(F.col("doc_id").isNull(), F.col("text"), rest))
-    firsts = keyed.join(tied, ["_key", "_id"]).groupBy("_component").agg(one.alias("row")).select("row.*")
+    first = F.struct(F.col("row.doc_id").isNull(), F.col("row.text"), F.to_json("row"))
+    firsts = keyed.join(tied, ["key", "id"]).groupBy("component").agg(F.min_by("row", first).alias("row")).select("row.*")
     return kept.union(firsts)

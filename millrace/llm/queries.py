@@ -153,16 +153,19 @@ e AS (SELECT *, substr(text, 1, length(text) - k) || substr(next_text, 1, k) AS
 texts AS (SELECT DISTINCT t FROM (SELECT text AS t FROM e UNION ALL SELECT edited FROM e)),
 trees AS (
   SELECT t, list_transform(string_split(t, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
-    lambda p: array_to_string(list_transform(regexp_extract_all(p, '(?s).{1,32}'), lambda x: md5(x)[1:8]), ','))) AS tree
+    lambda p: list_transform(regexp_extract_all(p, '(?s).{1,32}'), lambda x: sha256(x)))) AS tree
   FROM texts),
-written AS (
-  SELECT t, array_to_string(list_transform(tree, lambda s:
-      md5(array_to_string(list_transform(s, lambda p: md5(p)), ','))[1:16]), ',') || '|' ||
-    array_to_string(list_transform(tree, lambda s: array_to_string(s, '/')), ';') AS w,
-    list_distinct(list_filter(string_split_regex(array_to_string(list_transform(tree,
-      lambda s: array_to_string(s, '/')), ';'), '[,/;]'), lambda x: x <> '')) AS leaves
+nodes AS (
+  SELECT t, list_transform(tree, lambda s: sha256(array_to_string(list_transform(s,
+      lambda p: sha256(array_to_string(p, ','))), ','))) AS sections,
+    list_transform(tree, lambda s: array_to_string(list_transform(s,
+      lambda p: array_to_string(list_transform(p, lambda d: d[1:12]), ',')), '/')) AS lines
   FROM trees),
-prints AS (SELECT t, sha256(w) || '|' || w AS fp, leaves FROM written)
+prints AS (
+  SELECT t, sha256(array_to_string(sections, ',')) || '|' ||
+      array_to_string(list_transform(sections, lambda d: d[1:16]), ',') || '|' || array_to_string(lines, ';') AS fp,
+    list_distinct(list_filter(string_split_regex(array_to_string(lines, ';'), '[,/;]'), lambda x: x <> '')) AS leaves
+  FROM nodes)
 SELECT doc_id, length(e.text) AS n_chars, sha256(edited) AS edited_sha256, a.fp AS fingerprint,
   b.fp AS edited_fingerprint,
   CASE WHEN a.fp = b.fp THEN 1.0::DOUBLE

@@ -48,7 +48,7 @@ BASE = (
 MORE = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("host_token", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
 )
 RULES = BASE + MORE
 

@@ -187,16 +187,17 @@ def _send(size: int, k: int):
             settled = asked.values.field("settled").to_pylist()
             out, held = [], 0
             for i, (owner, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                known = []
                 for j in range(edges[i], edges[i + 1]):
                     if settled[j]:
-                        out.append((i, None, None, owner, marks[j][2], marks[j][3]))
+                        known.append(marks[j][2:4])
                     if marks[j][0] is None:
                         continue
                     for spread, content, column, start, stop in pieces(text, marks[j]):
                         name = content if column < 0 else hashlib.blake2b(content, digest_size=16).digest()
                         waiting = alone.get(name)
                         if waiting is not None and not settled[j]:
-                            out.append((i, None, None, owner, start, stop))
+                            known.append((start, stop))
                         if waiting is None:
                             alone[name] = not settled[j]
                             out.append((spread, content, column, None if settled[j] else owner, start, stop))
@@ -204,6 +205,8 @@ def _send(size: int, k: int):
                             alone[name] = False
                             out.append((spread, content, column, None, start, stop))
                         held += len(content)
+                spread = int.from_bytes(owner[:8], "little", signed=True)
+                out += [(spread, None, None, owner, start, stop) for start, stop in _merged(known)]
                 if len(alone) > REMEMBERED:
                     alone.clear()
                 if held > 4 << 20:
@@ -214,6 +217,17 @@ def _send(size: int, k: int):
     return run
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Spans that overlap or touch, as one."""
+    out: list[list[int]] = []
+    for start, stop in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], stop)
+        else:
+            out.append([start, stop])
+    return out
+
+
 class RangeMinima:
     """Minima of ranges, from those of all ranges whose lengths are powers of two."""
 
@@ -281,9 +295,12 @@ def _construct(size: int, k: int):
         times: dict[bytes, int] = {}
         for content, *_ in rows:
             times[content] = times.get(content, 0) + 1
+        found: dict[bytes, list[tuple[int, int]]] = {}
         for content, _, owner, start, stop in rows:
             if owner is not None and times[content] > 1:
-                yield owner, start, stop
+                found.setdefault(owner, []).append((start, stop))
+        for owner, spans in found.items():
+            yield from ((owner, start, stop) for start, stop in _merged(spans))
 
     def settle(rows: list[tuple]) -> list[tuple]:
         long = [r for r in rows if r[1] >= 0]
@@ -317,12 +334,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            merged: list[list[int]] = []
-            for start, stop in sorted((s["start"], s["stop"]) for s in spans):
-                if merged and start <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], stop)
-                else:
-                    merged.append([start, stop])
+            merged = _merged([(s["start"], s["stop"]) for s in spans])
             edges = [0, *(e for span in merged for e in span), len(text)]
             digest = hashlib.sha256(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))).hexdigest()
             out.append((sum(b - a for a, b in merged), [{"start": a, "stop": b} for a, b in merged], digest))

@@ -2,10 +2,13 @@
 
 A text is handled as UTF-8 bytes. A hash of a byte range is polynomial: with S the running sum of
 value[byte] * base**position, the range (a, b) hashes to (S[b] - S[a]) * base**-a, mixed afterwards.
+Modulo 2**64 such sums lose bits over long, regular ranges (Thue-Morse words of 2,048 letters are all alike),
+so words of more than `LONG` bytes are hashed by BLAKE2 instead, and windows are of few words.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -17,6 +20,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
 _BLOCK = 1 << 20
+#: Bytes of the longest word that is hashed by its sum.
+LONG = 24
 
 WHITE_SPACE = bytes([9, 10, 11, 12, 13, 32])
 
@@ -97,7 +102,11 @@ def hashed_words(texts: list[bytes], kinds: np.ndarray = NOT_SPACE) -> tuple[np.
         block = view[low:high]
         starts, ends = spans(block, kinds)
         if len(starts):
-            hashes.append(_range_sums(_BYTE_VALUES[block], starts, ends, _BASE))
+            own = _range_sums(_BYTE_VALUES[block], starts, ends, _BASE)
+            for i in np.flatnonzero(ends - starts > LONG):
+                word = data[low + starts[i] : low + ends[i]]
+                own[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+            hashes.append(own)
             firsts.append(starts + low)
         low = high
     if not hashes:

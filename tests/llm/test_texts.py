@@ -2,11 +2,14 @@
 
 import hashlib
 import html
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from millrace.llm import bpe, html_main, merkle, quality, secrets, shards, token_counts
@@ -120,6 +123,56 @@ def test_quality_held_out(spark):
     assert sum(right) >= 0.95 * len(right)
 
 
+def drawn(frame, model, **how):
+    return sorted(r["doc_id"] for r in quality.resample(frame, model, **how).select("doc_id").collect())
+
+
+def test_quality_draws_as_brute_force(spark):
+    docs = load(spark, "/root/testdata/sf0.01", "documents")
+    model = quality.fit(docs, load(spark, "/root/testdata/sf0.01", "labels"))
+    soft = quality.Model(model.ratios, 2.0, 0.0)  # importances that leave much to the noise
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+    grams = [g for _, t in rows for g in quality._grams([t.encode()])]
+    weight = {i: 2.0 * float(model.ratios[g].mean()) for (i, _), g in zip(rows, grams, strict=True) if len(g)}
+    plain = sorted(weight, key=lambda i: -weight[i])
+    for seed in (0, 7):
+        noise = dict(zip(weight, quality.gumbel(np.array(list(weight), np.uint64), seed), strict=True))
+        by_key = sorted(weight, key=lambda i: -weight[i] - noise[i])
+        free = [i for i, _ in rows if i not in weight]
+        assert drawn(docs, soft, k=100, seed=seed) == sorted(by_key[:100] + free)
+        expected = round(sum(1 / (1 + math.exp(-w)) for w in weight.values()))
+        assert drawn(docs, soft, seed=seed) == sorted(by_key[:expected] + free)
+        assert set(by_key[:100]) != set(plain[:100])
+    assert drawn(docs, soft, seed=0) != drawn(docs, soft, seed=7)
+    assert drawn(docs, soft, k=10**6) == sorted(i for i, _ in rows)
+
+
+def test_draws_follow_importances():
+    weights = np.log([1.0, 2.0, 4.0, 8.0])
+    first = np.zeros(4)
+    for seed in range(20_000):
+        first[np.argmax(weights + quality.gumbel(np.arange(4, dtype=np.uint64), seed))] += 1
+    assert np.abs(first / first.sum() - np.array([1, 2, 4, 8]) / 15).max() < 0.015
+
+
+def test_odds_of_parted_labels():
+    slope, offset = quality._odds_line(np.array([0.1, 0.2, 0.3, -0.4, -0.5]), np.array([True, True, True, False, False]))
+    assert 0 < slope < 1000 and slope * 0.1 + offset > 0 > slope * -0.4 + offset
+
+
+def test_quality_of_repeated_ids_and_any_names(spark):
+    good, bad = prose(80), "$$$ %%% &&& ### " * 30
+    data = [(i, prose(80, i) if i <= 150 else bad, 1, "good" if i <= 150 else "bad", 2) for i in range(1, 301)]
+    data += [(None, good, 1, "good", 4), (None, bad, 1, "bad", 4)]
+    docs = spark.createDataFrame(data * 3, "doc_id bigint, text string, weight int, __key string, row int")
+    labels = spark.createDataFrame([(i, int(i <= 150)) for i in range(1, 301)] * 2, "doc_id bigint, quality int")
+    kept = quality.resample(docs, quality.fit(docs, labels))
+    assert kept.columns == [*docs.columns, "n_grams", "gumbel"]
+    found = Counter((r["__key"], r["doc_id"]) for r in kept.collect())
+    assert found[("good", None)] == 3 and sum(n for (k, _), n in found.items() if k == "good") == 453
+    assert sum(n for (k, _), n in found.items() if k == "bad") <= 15
+
+
 def test_quality_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (6, 0, 0), (6, 0, 0), (None, 1, 0), (11, None, 0)], "doc_id bigint, quality int, toxic int")
     kept = quality.resample(odd, quality.fit(odd, labels))
@@ -272,6 +325,20 @@ def test_neighbours_without_leaves(spark):
     assert all(r["near_edited"] == 1 for i, r in got.items() if i != 7)
 
 
+def test_roots_tell_texts_apart(spark):
+    # the pieces' MD5 sums begin with the same 32 bits
+    rows = [(2, "doc 103869"), (1, "doc 144755")]
+    got = by_id(merkle.compare_edits(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert got[1]["fingerprint"] != got[2]["fingerprint"] and got[2]["near_next"] == 0.0
+
+
+def test_long_runs_of_token_heads(spark):
+    text = "eyJ" * 350_000 + " " + "eyJ" * 5 + ".eyJ" + "x" * 30 + ".yy eyJa.eyJ"
+    start = time.monotonic()
+    found = secrets.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()["spans"]
+    assert time.monotonic() - start < 60 and found == f"web_token:1050001:{1050001 + 15 + 4 + 30 + 3}"
+
+
 def test_differing_branches_locate_an_edit(spark):
     from pyspark.sql import functions as F
 
