@@ -12,8 +12,10 @@ With no keys at all the whole table is one hot key, which gives global running v
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from millrace.session import cut_lineage
 HOT_ROWS = 5_000_000
 SLICES_PER_HOT_ROWS = 4  # slices are this much finer than needed, as quantiles are approximate
 MIN_GLOBAL_SLICES = 64
+PROBED_SLICES = 1024  # of a whole table, found in the pass that counts it; larger tables take another pass
 MOST_SLICES = 4096  # of one key; more rows make larger slices
 
 _LEAST = -(1 << 63)
@@ -68,15 +71,15 @@ class HotKeys:
 
     def cut(self, df: DataFrame) -> DataFrame:
         """df with ``__slice`` (0 unless the key is hot) and ``__hot``."""
-        where = _place(df, self.order, self.tie)
+        places = df.withColumns(_place(df, self.order, self.tie))
         if self.table is None:
-            at, ties = (F.lit(list(c)) if c else F.array() for c in (zip(*self.cuts) if self.cuts else ((), ())))
-            cuts = F.arrays_zip(at.cast("array<bigint>"), ties.cast("array<bigint>")).cast(_CUTS)
-            return df.withColumns({"__slice": _slice_of(cuts, where), "__hot": F.lit(True)})
-        joined = df.join(self._table(), self._same_key(), "left")
-        hot = F.col("__cuts").isNotNull()
-        cut = F.when(hot, _slice_of(F.col("__cuts"), where)).otherwise(F.lit(0).cast("long"))
-        return joined.withColumns({"__slice": cut, "__hot": hot}).drop("__cuts", *[f"__hk_{k}" for k in self.keys])
+            at, ties = (F.lit(np.array([c[i] for c in self.cuts], np.int64)) for i in (0, 1))
+            cuts = (lambda i: F.get(at, i), lambda i: F.get(ties, i))
+            return _with_slice(places, len(self.cuts), F.lit(len(self.cuts)), cuts).withColumn("__hot", F.lit(True))
+        joined = places.join(self._table(), self._same_key(), "left").withColumn("__hot", F.col("__cuts").isNotNull())
+        cuts = (lambda i: F.get("__cuts", i)["at"], lambda i: F.get("__cuts", i)["tie"])
+        sliced = _with_slice(joined, 2 * MOST_SLICES, F.coalesce(F.size("__cuts"), F.lit(0)), cuts)
+        return sliced.drop("__cuts", *[f"__hk_{k}" for k in self.keys])
 
     def only(self, df: DataFrame, hot: bool) -> DataFrame:
         """The rows of hot keys, or all others."""
@@ -104,8 +107,11 @@ def probe_hot_keys(
     where = position(df, order)
     tie = tie if tie is not None and df.schema[tie].dataType.typeName() in _TIE_TYPES else None
     if not keys:
-        slices = _slices(df.count(), hot_rows, MIN_GLOBAL_SLICES)
-        found = df.agg(_quantiles(where, slices).alias("cuts")).first()["cuts"] or []
+        probe = df.agg(F.count(F.lit(1)).alias("n"), _quantiles(where, PROBED_SLICES).alias("cuts")).first()
+        slices = _slices(probe["n"], hot_rows, MIN_GLOBAL_SLICES)
+        if slices > PROBED_SLICES:
+            probe = df.agg(_quantiles(where, slices).alias("cuts")).first()
+        found = _thinned(probe["cuts"] or [], slices)
         crowds = [(at, n) for at, n in Counter(found).items() if n > 1]
         pairs = {(at, _LEAST) for at in found}
         if crowds and tie is not None:
@@ -139,11 +145,10 @@ def probe_hot_keys(
     return HotKeys(tuple(keys), order, cut_lineage(cuts.groupBy(*hot).agg(pairs.alias("__cuts"))), tie=tie)
 
 
-def _place(df: DataFrame, order: str, tie: str | None) -> Column:
-    """Where a row stands, as a pair that compares like the first columns of the order; null ties first."""
-    at = position(df, order)
+def _place(df: DataFrame, order: str, tie: str | None) -> dict[str, Column]:
+    """Where a row stands, as two columns that compare like the first ones of the order; null ties first."""
     next_ = F.lit(_LEAST) if tie is None else F.coalesce(position(df, tie), F.lit(_LEAST))
-    return F.when(at.isNotNull(), F.struct(at.alias("at"), next_.cast("long").alias("tie")))
+    return {"__at": position(df, order), "__tie": next_.cast("long")}
 
 
 def _cuts_of_crowds(rows: DataFrame, crowds: DataFrame, hot: list[str], slices: int) -> DataFrame:
@@ -162,22 +167,32 @@ def _slices(rows: int, hot_rows: int, least: int = 2) -> int:
     return min(MOST_SLICES, max(least, rows * SLICES_PER_HOT_ROWS // hot_rows))
 
 
+def _thinned(cuts: list[int], slices: int) -> list[int]:
+    """So many of the cuts, evenly, that they make about as many slices."""
+    step = max(1, (len(cuts) + 1) // slices)
+    return cuts[step - 1 :: step]
+
+
 def _quantiles(where: Column, slices: int) -> Column:
     """Positions that cut the rows into slices of about equal numbers of rows, however they bunch."""
     shares = [i / slices for i in range(1, slices)]
     return F.percentile_approx(where, shares, max(10_000, 20 * slices))
 
 
-def _slice_of(cuts: Column, where: Column) -> Column:
-    """How many cuts lie at or below the place, by binary search; -1 for a null place."""
-    steps = [1 << b for b in reversed(range((4 * MOST_SLICES).bit_length()))]
+def _with_slice(places: DataFrame, most: int, size: Column, cuts: tuple[Callable, Callable]) -> DataFrame:
+    """``__slice``: how many of `size` <= `most` cuts lie at or below the place; -1 for a row without one.
 
-    def step(low: Column, by: Column) -> Column:
-        at = low + by
-        return F.when((at <= F.size(cuts)) & (F.get(cuts, at - 1) <= where), at).otherwise(low)
-
-    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
-    return F.when(where.isNull(), -1).otherwise(found).cast("long")
+    A binary search, one projection per step: a step uses what it finds twice, so Spark leaves them apart
+    and compiles all of them into one loop. Inside a higher-order function they would be interpreted.
+    """
+    found = places.withColumn("__slice", F.lit(0))
+    for bit in reversed(range(most.bit_length())):
+        i = F.col("__slice") + ((1 << bit) - 1)
+        at, tie = (cut(i) for cut in cuts)
+        reached = (i < size) & ((at < F.col("__at")) | ((at == F.col("__at")) & (tie <= F.col("__tie"))))
+        found = found.withColumn("__slice", F.col("__slice") + F.when(reached, 1 << bit).otherwise(0))
+    by_place = F.when(F.col("__at").isNull(), -1).otherwise(F.col("__slice")).cast("long")
+    return found.withColumn("__slice", by_place).drop("__at", "__tie")
 
 
 def running(
