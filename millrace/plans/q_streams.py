@@ -20,6 +20,8 @@ ORDER = ["ts", "event_id"]
 #: How far apart in time the files of a table may be read: rows wait that long in state. It spans the
 #: tables, so that files may come in any order; a feed that arrives about in time order needs far less.
 DELAY = "31 days"
+#: Waiting rows are read and rewritten by buckets of this size, a part of the delay.
+BUCKET_SECONDS = 4 * 86_400
 
 
 @query(
@@ -227,7 +229,7 @@ def _emitted(spark, sf, processor, label, value="value"):
 
 
 def _processed(rows, until, processor, label):
-    emitted = drain_until(rows, "ts", DELAY, until, lambda r: state.apply_state(r, "user_id", processor), label)
+    emitted = drain_until(rows, "ts", DELAY, until, lambda r: state.apply_state(r, "user_id", processor, BUCKET_SECONDS), label)
     return state.on_time(emitted)
 
 
@@ -257,6 +259,14 @@ def stream_last_n_list(spark, sf):
     return last.select("user_id", F.array_join(texts, ",").alias("last_values"))
 
 
+@query("stream_map_counts", "SELECT user_id, event_type AS kind, count(*) AS n FROM events GROUP BY ALL")
+def stream_map_counts(spark, sf):
+    """A map of counts per user; counts come out as time goes on, and the last ones stand."""
+    rows = stream_table(spark, sf, "events").select("user_id", F.col("event_id").alias("seq"), "ts", F.col("event_type").alias("kind"))
+    fired = _processed(rows, _end(spark, sf) + F.expr("interval 2 milliseconds"), state.MapCounts(), "map-counts")
+    return fired.groupBy("user_id", "kind").agg(F.max("n").alias("n"))
+
+
 @query("stream_count_window_avg", COUNT_WINDOW_SQL)
 def stream_count_window_avg(spark, sf):
     return _emitted(spark, sf, state.CountWindowAvg(2), "count-window", "cast(get_json_object(props, '$.k') as bigint)")

@@ -29,13 +29,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LATE = "late_seq bigint, late_ts_us bigint"
 
 
-def apply_state(df: DataFrame, key: str, processor: InOrder) -> DataFrame:
+#: How much time the waiting rows of one state entry span.
+BUCKET_SECONDS = 6 * 3600
+
+
+def apply_state(df: DataFrame, key: str, processor: InOrder, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Rows (key, seq, ts, value) through one of the processors below; key keeps its name.
 
     The stream must have a watermark. Inside a processor every instant is a number of microseconds, in
     rows and in state alike; the watermarked column itself stays outside, as Spark would drop late rows.
+    A timer reads and rewrites the rows of one bucket of time, so buckets should be a small part of the
+    watermark's delay.
     """
     use_rocksdb_state(df.sparkSession)
+    processor.width = bucket_seconds * 1_000_000
     kind = df.schema[key].dataType.simpleString()
     columns = [key, *processor.INPUT]
     rows = df.withColumn("at", F.unix_micros("ts")).select(*columns)
@@ -65,18 +72,20 @@ def late(emitted: DataFrame, key: str) -> DataFrame:
 class InOrder(StatefulProcessor):
     """Holds rows until the watermark has passed them, then hands them to `fold` in order.
 
-    A key has one timer, at the first instant at which there is something to do.
+    Waiting rows stand in a map by bucket of time. Each bucket has a timer at its first row, and the
+    processor may have one more, so a firing timer touches the rows of its own bucket and no others.
     """
 
     INPUT = ("seq", "at", "value")
     WAITING = "at long, seq long, value double"
     OUTPUT: str
+    width = BUCKET_SECONDS * 1_000_000
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         """Declare further state."""
 
     def fold(self, key, rows: list[tuple], passed: int) -> Iterator[Row]:
-        """Rows of `WAITING`, in order; `passed` is the watermark in microseconds."""
+        """Rows of `WAITING`, in order; no row before `passed` (microseconds) is to come after them."""
         raise NotImplementedError
 
     def due(self) -> int | None:
@@ -85,60 +94,97 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.WAITING)
-        #: where the key's rows have been folded up to, its timer, and its oldest waiting row
-        self.clock = handle.getValueState("clock", "done long, timer long, oldest long")
+        fields = ", ".join(f"{f.split()[0]}: {f.split()[1]}" for f in self.WAITING.split(", "))
+        self.waiting = handle.getMapState("waiting", "bucket long", f"rows array<struct<{fields}>>")
+        #: how far the key has been folded; the processor's own timer; for each bucket with rows, its timer
+        self.clock = handle.getValueState("clock", "done long, due long, buckets array<long>, timers array<long>")
         self.names = ["key", *(c.split()[0] for c in f"{self.OUTPUT}, {_LATE}".split(", "))]
         self.open(handle)
 
     def row(self, key, **values) -> Row:
         return Row(**{name: values.get(name) for name in self.names} | {"key": key})
 
+    def _load(self) -> tuple[int | None, int | None, dict[int, int]]:
+        done, due, buckets, timers = self.clock.get() if self.clock.exists() else (None, None, [], [])
+        return done, due, dict(zip(buckets, timers, strict=True))
+
+    def _rows(self, bucket: int) -> list[tuple]:
+        return [tuple(r) for r in self.waiting.getValue((bucket,))[0]]
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        done, timer, oldest = self.clock.get() if self.clock.exists() else (None, None, None)
-        fresh = []
+        done, due, heads = self._load()
+        fresh: dict[int, list[tuple]] = {}
         for r in rows:
             if r["at"] is None or (done is not None and r["at"] < done):
                 yield self.row(key[0], late_seq=r["seq"], late_ts_us=r["at"])
             else:
-                fresh.append(tuple(r[c] for c in ("at", "seq", *self.INPUT[2:])))
+                fresh.setdefault(r["at"] // self.width, []).append(tuple(r[c] for c in ("at", "seq", *self.INPUT[2:])))
         if fresh:
-            self.waiting.appendList(fresh)
-            first = min(r[0] for r in fresh)
-            self._wake(done, timer, first if oldest is None else min(oldest, first))
+            before = self._timers(due, heads)
+            for bucket, own in fresh.items():
+                held = self._rows(bucket) if bucket in heads else []
+                self.waiting.updateValue((bucket,), (held + own,))
+                first = min(r[0] for r in own) // 1000 + 1
+                heads[bucket] = min(first, heads.get(bucket, first))
+            self._save(done, due, heads, before)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        _, _, oldest = self.clock.get()
-        ready, left = [], []
-        if oldest is not None and oldest < passed:
-            for r in self.waiting.get():
-                (ready if r[0] < passed else left).append(tuple(r))
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        _, due, heads = self._load()
+        before = self._timers(due, heads) - {fired}  # a fired timer is gone
+        ready: list[tuple] = []
+        for bucket in sorted(b for b, timer in heads.items() if timer <= fired):
+            rows = self._rows(bucket)
+            ready += [r for r in rows if r[0] < passed]
+            left = [r for r in rows if r[0] >= passed]
+            del heads[bucket]
             if left:
-                self.waiting.put(left)
+                self.waiting.updateValue((bucket,), (left,))
+                heads[bucket] = min(r[0] for r in left) // 1000 + 1
             else:
-                self.waiting.clear()
-            oldest = min((r[0] for r in left), default=None)
-        yield from self.fold(key[0], sorted(ready, key=lambda r: r[:2]), passed)
-        self._wake(passed, None, oldest)  # a fired timer is gone
-
-    def _wake(self, done: int | None, timer: int | None, oldest: int | None) -> None:
-        wanted = [] if oldest is None else [oldest // 1000 + 1]
-        due = self.due()
-        if due is not None:
-            wanted.append(-(-due // 1000))
-        at = min(wanted, default=None)
-        if at != timer:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            if at is not None:
-                self.handle.registerTimer(at)
-        self.clock.update((done, at, oldest))
+                self.waiting.removeKey((bucket,))
+        # buckets whose own timers are still to fire hold the next rows
+        until = min([passed, *((timer - 1) * 1000 for timer in heads.values())])
+        yield from self.fold(key[0], sorted(ready, key=lambda r: r[:2]), until)
+        self._save(passed, self.due(), heads, before)
+
+    def _timers(self, due: int | None, heads: dict[int, int]) -> set[int]:
+        return {*heads.values(), *([] if due is None else [-(-due // 1000)])}
+
+    def _save(self, done: int | None, due: int | None, heads: dict[int, int], before: set[int]) -> None:
+        after = self._timers(due, heads)
+        for timer in before - after:
+            self.handle.deleteTimer(timer)
+        for timer in after - before:
+            self.handle.registerTimer(timer)
+        self.clock.update((done, due, list(heads), list(heads.values())))
 
     def close(self) -> None:
         pass
 
 
+class MapCounts(InOrder):
+    """(key, kind, n, seq, ts): how often the key has had this kind by now, for each kind just folded."""
+
+    INPUT = ("seq", "at", "kind")
+    WAITING = "at long, seq long, kind string"
+    OUTPUT = "kind string, n bigint, seq bigint, ts_us bigint"
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "kind string", "n long")
+
+    def fold(self, key, rows, passed) -> Iterator[Row]:
+        fresh: dict[str, list[tuple]] = {}
+        for r in rows:
+            fresh.setdefault(r[2], []).append(r)
+        for kind, own in fresh.items():
+            held = self.counts.getValue((kind,)) if self.counts.containsKey((kind,)) else None
+            n = len(own) + (held[0] if held else 0)
+            self.counts.updateValue((kind,), (n,))
+            yield self.row(key, kind=kind, n=n, seq=own[-1][1], ts_us=own[-1][0])
+
+
 class RunningCount(InOrder):
     """(key, seq, ts, running): how many rows of the key there are up to this one."""
 
