@@ -124,14 +124,14 @@ def _digests(size: int):
     return run
 
 
-def _keyed(size: int):
-    """Rows (row, id, text) with the class key in place of the text."""
+def _keyed(size: int, text_at: int):
+    """Rows (row, id) with the class key of the row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ((t.lower(),) for t in words.utf8(batch.column(2)))
+            texts = ((t.lower(),) for t in words.utf8(batch.column(0).field(text_at)))
             keys = [_key(own) for chunk in words.in_chunks(texts, 0) for own in _sets([t for (t,) in chunk], size)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.int64())], names=["row", "id", "key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["row", "id", "key"])
 
     return run
 
@@ -438,9 +438,9 @@ def without_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int =
     gone = placed.where("id <> component.class_id").select("key", "id").union(tied.select("key", "id"))
 
     # the caller's columns travel as one, so that their names can be any
-    rows = docs.select(F.struct("*").alias("row"), order, F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"), order)
     schema = T.StructType([rows.schema["row"], T.StructField("id", T.LongType()), T.StructField("key", T.LongType())])
-    keyed = rows.mapInArrow(_keyed(size), schema)
+    keyed = rows.mapInArrow(_keyed(size, docs.columns.index("text")), schema)
     kept = keyed.join(gone, ["key", "id"], "left_anti").select("row.*")
     if not tied.limit(1).count():
         return kept

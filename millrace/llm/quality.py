@@ -163,12 +163,12 @@ def gumbel(names: np.ndarray, seed: int) -> np.ndarray:
     return -np.log(-np.log(even))
 
 
-def _scored(ratios, slope: float, offset: float, seed: int):
-    """Rows (row, doc_id, text): the row with its log importance, number of n-grams and noise."""
+def _scored(ratios, slope: float, offset: float, seed: int, text_at: int):
+    """Rows (row, doc_id): the row with its log importance, number of n-grams and noise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = words.utf8(batch.column(2))
+            texts = words.utf8(batch.column(0).field(text_at))
             weights, sizes = [], []
             for chunk in words.in_chunks(((t,) for t in texts), 0):
                 for grams in _grams([t for (t,) in chunk]):
@@ -218,10 +218,10 @@ def resample(docs: DataFrame, model: Model | None, k: int | None = None, seed: i
     Columns of docs that have one of these names stay as they are.
     """
     ratios, line = (model.ratios, (model.slope, model.offset)) if model else (np.zeros(BUCKETS), (0.0, 0.0))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
     kinds = (T.DoubleType(), T.LongType(), T.DoubleType())
     schema = T.StructType([rows.schema["row"], *(T.StructField(n, t) for n, t in zip(_EXTRA, kinds, strict=True))])
-    scored = rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(ratios), *line, seed), schema)
+    scored = rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(ratios), *line, seed, docs.columns.index("text")), schema)
     if model is not None:
         scored = scored.withColumn("key", _sortable(F.col("weight") + F.col("gumbel")))
         share = F.round(1e6 / (1 + F.exp(-F.col("weight")))).cast("bigint")  # whole numbers add up alike in any order
