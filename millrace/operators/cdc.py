@@ -27,11 +27,15 @@ def operation(kind: Column) -> Column:
     return out
 
 
-def parse_canal(df: DataFrame, value: str = "value") -> DataFrame:
-    """Messages to (database, table, op, cdc_es, cdc_id, data); other kinds and broken JSON are dropped."""
+def parse_canal(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Messages to (database, table, op, cdc_es, cdc_id, data); other kinds and broken JSON are dropped.
+
+    Columns to `keep`, such as the time of a stream, come along.
+    """
     message = F.from_json(F.col(value), CANAL_SCHEMA)
-    parsed = computed_once(df.select(value), message, "m")
+    parsed = computed_once(df.select(*keep, value), message, "m")
     return parsed.select(
+        *keep,
         F.col("m.database").alias("database"),
         F.col("m.table").alias("table"),
         operation(F.col("m.type")).alias("op"),

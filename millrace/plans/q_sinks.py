@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import date_partition
-from millrace.operators import cdc, cells, search
+from millrace.operators import committed, cdc, cells, search
 from millrace.operators.joins import last_per_key
 from millrace.plans import shared
 from millrace.plans.registry import query
@@ -229,6 +229,48 @@ def cdc_merge_edge_partitions(spark, sf):
     return files.read_partitioned(spark, path, "h")
 
 
+_HALVES = "user_id bigint, event_id bigint, kind string, dt string"
+
+
+@query(
+    "cdc_merge_indexed",
+    """
+SELECT user_id, event_id, event_type AS kind, strftime(ts, '%Y-%m-%d') AS dt FROM
+  (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type <> 'error'""",
+)
+def cdc_merge_indexed(spark, sf):
+    """Two micro-batches merged into a table that knows which files may hold a key; the second comes twice."""
+    op = F.when(F.col("event_type") == "error", "delete").otherwise("upsert")
+    changes = load(spark, sf, "events").select(
+        "user_id", "event_id", F.col("event_type").alias("kind"), F.date_format("ts", "yyyy-MM-dd").alias("dt"), op.alias("op")
+    )
+    users = changes.agg(F.approx_count_distinct("user_id")).first()[0]
+    table = committed.Table(spark, scratch_path(spark, "indexed"), "user_id", "dt", _HALVES, committed.slots_for(users))
+    sink = committed.merge_sink(table, ["event_id"])
+    halves = [changes.where(F.col("dt") < shared.SPLIT_DAY), changes.where(F.col("dt") >= shared.SPLIT_DAY)]
+    for batch_id in (0, 1, 1):
+        sink(halves[batch_id], batch_id)
+    return table.read()
+
+
+@query("two_phase_sink", "SELECT event_id, user_id, value FROM events")
+def two_phase_sink(spark, sf):
+    """Micro-batches as transactions; each is cut off before its commit, recovered, and delivered again."""
+    kind = "event_id bigint, user_id bigint, value double, part int"
+    table = committed.Table(spark, scratch_path(spark, "two-phase"), "event_id", "part", kind)
+
+    def cut_off(df, batch_id):
+        txn = f"batch-{batch_id}"
+        table.pre_commit(txn, table.stage(df, txn))
+        table.recover()
+        committed.two_phase_sink(table)(df, batch_id)
+
+    rows = stream_table(spark, sf, "events").select("event_id", "user_id", "value", F.pmod("user_id", F.lit(4)).cast("int").alias("part"))
+    each_batch(rows, "two-phase", cut_off)
+    return table.read().drop("part")
+
+
 @query(
     "partition_date_derive",
     """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import aggs, alerts, routing
+from millrace.operators import aggs, alerts, cdc, routing
 from millrace.operators.ordered import row_numbers
 from millrace.plans import shared
 from millrace.plans.q_aggregates import COUNT_WINDOW_SQL, WIN_MIN_BY_SQL
@@ -239,6 +239,53 @@ def stream_running_count(spark, sf):
     return out.drop("ts").withColumnRenamed("seq", "event_id")
 
 
+@query(
+    "stream_global_count",
+    f"""SELECT event_id, row_number() OVER (
+  ORDER BY ts >= TIMESTAMP '{shared.SPLIT_DAY} 00:00:00', CAST(user_id % 4 AS VARCHAR), ts, event_id) AS running FROM events""",
+)
+def stream_global_count(spark, sf):
+    """Numbers over two micro-batches of four partitions each; every batch is delivered twice."""
+    source, out, ledger, state_dir = (scratch_path(spark, p) for p in ("parts", "numbered", "numbers", "numbers-state"))
+    rows = load(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.pmod("user_id", F.lit(4)).alias("part"))
+    sink = sinks.numbering_sink(out, ledger, "part", ORDER, "running")
+
+    def twice(df, batch_id):
+        sink(df, batch_id)
+        sink(df, batch_id)
+
+    for half in (F.col("ts") < shared.SPLIT_DAY, F.col("ts") >= shared.SPLIT_DAY):
+        rows.where(half).write.mode("append").parquet(source)
+        each_batch(spark.readStream.schema(rows.schema).parquet(source), "numbers", twice, state_dir)
+    return spark.read.parquet(out).select("event_id", "running")
+
+
+@query(
+    "stream_retract_counts",
+    """
+SELECT event_type AS kind, count(*) AS counts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts) DESC, event_id DESC) AS rn FROM events WHERE event_type <> 'view')
+WHERE rn = 1 AND event_type <> 'error' GROUP BY event_type""",
+)
+def stream_retract_counts(spark, sf):
+    """Change messages to signed rows in a stream, and the counts that these add up to."""
+    until = _end(spark, sf) + F.expr("interval 2 milliseconds")
+
+    def signed(messages):
+        parsed = cdc.parse_canal(messages, keep=("ts",))
+        row = F.col("data")[0]
+        changes = parsed.select(
+            F.try_element_at(row, F.lit("USER_ID")).cast("bigint").alias("user_id"), F.col("cdc_id").alias("seq"), "ts",
+            F.when(F.col("op") != "delete", F.try_element_at(row, F.lit("Kind"))).alias("kind"),
+        )
+        return state.apply_state(changes, "user_id", state.Retract(), BUCKET_SECONDS)
+
+    stream = stream_table(spark, sf, "events")
+    messages = shared.canal_messages_of(stream).select("value", F.timestamp_millis(F.get_json_object("value", "$.es").cast("bigint")).alias("ts"))
+    log = state.on_time(drain_until(messages, "ts", DELAY, until, signed, "retract"))
+    return cdc.group_counts_from_log(log, "kind")
+
+
 @query("stream_alert_jump", JUMP_SQL)
 def stream_alert_jump(spark, sf):
     return _emitted(spark, sf, state.JumpAlert(20.0), "jumps").withColumnRenamed("seq", "event_id")

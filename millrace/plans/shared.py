@@ -47,7 +47,10 @@ FROM events"""
 
 def canal_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Events as change messages of two tables; views are messages that change no row."""
-    events = load(spark, sf, "events")
+    return canal_messages_of(load(spark, sf, "events"))
+
+
+def canal_messages_of(events: DataFrame) -> DataFrame:
     kind = (
         F.when(F.col("event_type") == "signup", "INSERT")
         .when(F.col("event_type") == "error", "DELETE")

@@ -266,6 +266,32 @@ class LastN(InOrder):
             yield self.row(key, seq=seq, ts_us=at, last_values=held)
 
 
+class Retract(InOrder):
+    """(key, flag, kind, seq, ts): for each change of a key's row, - for what stood there and + for what stands now.
+
+    Input rows carry the row's kind, or null where the row is deleted. A change that changes nothing gives nothing.
+    """
+
+    INPUT = ("seq", "at", "kind")
+    WAITING = "at long, seq long, kind string"
+    OUTPUT = "flag string, kind string, seq bigint, ts_us bigint"
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.shown = handle.getValueState("shown", "kind string")
+
+    def fold(self, key, rows, passed) -> Iterator[Row]:
+        before = shown = self.shown.get()[0] if self.shown.exists() else None
+        for at, seq, kind in rows:
+            for flag, value in (("-", shown), ("+", kind)):
+                if shown != kind and value is not None:
+                    yield self.row(key, flag=flag, kind=value, seq=seq, ts_us=at)
+            shown = kind
+        if shown is None:
+            self.shown.clear()
+        elif shown != before:
+            self.shown.update((shown,))
+
+
 class CountWindowAvg(InOrder):
     """(key, window_no, avg_value) after every n rows of a key; an unfinished group stays in state.
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from millrace.operators import cdc
 from millrace.operators.joins import last_per_key
+from millrace.operators.ordered import row_numbers
 from millrace.operators.routing import quarantine
 from millrace.sources import jdbc
 from millrace.sources.envelope import next_offsets
@@ -146,3 +147,45 @@ def late_router(
         note(df.agg(F.max(ts).alias("max_ts")), batch_id)
 
     return persisted(write)
+
+
+_NUMBERED = "part string, n long, seen long, first long, total long, batch_id long"
+
+
+def numbering_sink(path: str, ledger_path: str, part: str, order: list[str], name: str = "number") -> Handler:
+    """Give every row a number that no other row of the stream has: 1, 2, 3, ... without gaps.
+
+    Batches follow each other, and within a batch the source's partitions, each in its order. What each
+    partition had before is kept in a ledger by batch id: `n` rows in the batch, `seen` in all, `first` the numbers given
+    away before its own, `total` those after the whole batch. So a replayed batch gives the same numbers,
+    and a batch reads the last ledger entries only, one for each partition.
+    """
+    note, write_rows = batch_folders(ledger_path), batch_folders(path)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        before, total = None, 0
+        if has_files(spark, ledger_path):
+            earlier = spark.read.schema(_NUMBERED).parquet(ledger_path).where(F.col("batch_id") < batch_id)
+            before = earlier.groupBy("part").agg(F.max("seen").alias("before"))
+            total = earlier.agg(F.max("total")).first()[0] or 0
+        counts = df.groupBy(F.col(part).cast("string").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.join(before, "part", "left") if before is not None else counts.withColumn("before", F.lit(None).cast("long"))
+        # one row per partition of the source
+        until = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0))
+        whole = F.sum("n").over(Window.partitionBy(F.lit(0)))
+        placed = counts.select(
+            "part", "n", (F.coalesce("before", F.lit(0)) + F.col("n")).alias("seen"), (until - F.col("n") + total).alias("first"), (whole + total).alias("total")
+        )
+        note(placed, batch_id)
+        own = spark.read.schema(_NUMBERED).parquet(f"{ledger_path}/batch_id={batch_id}").select(F.col("part").alias("__part"), "first")
+        ranked = row_numbers(df, [part], order, "__rank")
+        numbered = ranked.join(F.broadcast(own), F.col(part).cast("string").eqNullSafe(F.col("__part")))
+        write_rows(numbered.withColumn(name, F.col("first") + F.col("__rank")).drop("__rank", "__part", "first"), batch_id)
+
+    return persisted(write)
+
+
+def read_partition_counts(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """How many rows each partition of the source has had."""
+    return spark.read.schema(_NUMBERED).parquet(ledger_path).groupBy("part").agg(F.max("seen").alias("seen"))

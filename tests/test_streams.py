@@ -255,3 +255,35 @@ def test_follow_latest_partition_handles_each_once(spark):
     finally:
         query.stop()
     assert seen == [("a", 1), ("b", 2)]
+
+
+def test_numbers_have_no_gaps_and_survive_replays(spark, rows_of):
+    out, ledger = scratch_path(spark, "t-numbers"), scratch_path(spark, "t-numbers-ledger")
+    sink = sinks.numbering_sink(out, ledger, "part", ["ts", "id"])
+    kind = "id bigint, ts bigint, part string"
+    batches = [
+        spark.createDataFrame([(i, 100 - i, "ab"[i % 2]) for i in range(10)], kind),
+        spark.createDataFrame([(20 + i, i, None if i == 3 else "bc"[i % 2]) for i in range(6)], kind),
+        spark.createDataFrame([], kind),
+        spark.createDataFrame([(40, 1, "a")], kind),
+    ]
+    for batch_id, df in enumerate(batches):
+        sink(df, batch_id)
+    first = rows_of(spark.read.parquet(out))
+    for batch_id in (1, 3, 0):  # replays, in any order
+        sink(batches[batch_id], batch_id)
+    assert rows_of(spark.read.parquet(out)) == first
+    numbers = {r["id"]: r["number"] for r in spark.read.parquet(out).collect()}
+    order = [8, 6, 4, 2, 0, 9, 7, 5, 3, 1, 23, 20, 22, 24, 21, 25, 40]
+    assert [numbers[i] for i in order] == list(range(1, 18))
+    counts = {r["part"]: r["seen"] for r in sinks.read_partition_counts(spark, ledger).collect()}
+    assert counts == {"a": 6, "b": 8, "c": 2, None: 1}
+
+
+def test_retractions_over_batches(spark, events, run):
+    change = lambda rows: rows.withColumn("kind", F.when(F.col("event_type") != "error", F.col("event_type"))).drop("event_type", "value")
+    log = run(state.Retract(), change)
+    last = events.groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("kind")).where("kind <> 'error'")
+    expected = {r["kind"]: r["count"] for r in last.groupBy("kind").count().collect()}
+    signed = log.groupBy("kind").agg(F.sum(F.when(F.col("flag") == "+", 1).otherwise(-1)).alias("n"))
+    assert {r["kind"]: r["n"] for r in signed.collect() if r["n"]} == expected
