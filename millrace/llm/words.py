@@ -138,7 +138,7 @@ def utf8(column) -> list[bytes]:
     return [v or b"" for v in column.cast(kind).to_pylist()]
 
 
-def in_chunks(rows: Iterator[tuple], text_at: int, limit: int = 4 << 20) -> Iterator[list[tuple]]:
+def in_chunks(rows: Iterator[tuple], text_at: int, limit: int = 2 << 20) -> Iterator[list[tuple]]:
     """Groups of rows whose texts have `limit` bytes together; a longer text comes alone."""
     chunk, held = [], 0
     for row in rows:
