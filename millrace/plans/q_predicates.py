@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.text import csv_fields, words
-from millrace.operators import cells, recon, routing, search
+from millrace.operators import inverted, cells, recon, routing, search
 from millrace.plans import shared
 from millrace.plans.registry import query
+from millrace.session import scratch_path
 from millrace.sources.tables import load
 
 
@@ -149,6 +150,36 @@ def doc_fuzzy(spark, sf):
     return load(spark, sf, "part").where(search.fuzzy("p_name", "bear", 2)).select("p_partkey", "p_name")
 
 
+@query(
+    "doc_match_scored",
+    f"""
+WITH t AS (SELECT doc_id, unnest({_TOKENS.format(c='"text"')}) AS token FROM documents),
+lengths AS (SELECT doc_id, count(*) AS length FROM t GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(length) / count(*) AS average FROM lengths),
+postings AS (SELECT token, doc_id, count(*) AS freq FROM t WHERE token IN ('idiot', 'über', 'für', 'and') GROUP BY ALL),
+df AS (SELECT token, count(*) AS n FROM postings GROUP BY token)
+SELECT doc_id, round(sum(ln(1 + (docs - n + 0.5) / (n + 0.5)) * freq / (freq + 1.2 * (1 - 0.75 + 0.75 * length / average))), 6) AS score
+FROM postings JOIN df USING (token) JOIN lengths USING (doc_id), totals GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 20""",
+)
+def doc_match_scored(spark, sf):
+    """The best twenty documents for four words, from an index of all documents."""
+    index = inverted.Index(spark, scratch_path(spark, "inverted"), "doc_id").build(load(spark, sf, "documents"), "text")
+    return index.search("Idiot ÜBER für and", 20)
+
+
+@query(
+    "doc_fuzzy_transposed",
+    f"""
+SELECT p_partkey, p_name FROM part
+WHERE len(list_filter({_TOKENS.format(c="p_name")}, lambda t: damerau_levenshtein(t, 'rnig') <= 1)) > 0""",
+)
+def doc_fuzzy_transposed(spark, sf):
+    """Names with a word one edit away; a swap of neighbours is one."""
+    part = load(spark, sf, "part").select("p_partkey", "p_name")
+    index = inverted.Index(spark, scratch_path(spark, "inverted"), "p_partkey").build(part, "p_name", fuzzy=True)
+    return part.join(index.documents_like("rnig", 1), "p_partkey", "left_semi")
+
+
 @query("doc_source_filter", "SELECT p_partkey, p_brand FROM part")
 def doc_source_filter(spark, sf):
     return search.source_filter(load(spark, sf, "part"), ["p_partkey", "p_name", "p_brand"], ["p_name"])
