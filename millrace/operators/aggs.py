@@ -57,6 +57,28 @@ def window_bitmap_distinct(df: DataFrame, ts: str, size: str, ident: str) -> Dat
     return _window_columns(parts.groupBy("__w").agg(F.sum("__c").alias("n_distinct")))
 
 
+#: A sketch of 2**12 registers; its estimates have a standard error of about 1.04 / 2**6.
+SKETCH_BITS = 12
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    return 1.04 / 2 ** (bits / 2)
+
+
+def sliding_sketch_distinct(
+    df: DataFrame, ts: str, size: str, slide: str, keys: list[str], value: str, bits: int = SKETCH_BITS
+) -> DataFrame:
+    """About how many distinct values each sliding window has, of any type.
+
+    A row enters one sketch only, that of its pane of ``slide``; the panes' sketches, a few kilobytes each, are
+    merged into the windows. ``size`` must be a multiple of ``slide``.
+    """
+    panes = df.where(F.col(value).isNotNull()).groupBy(F.window(ts, slide).alias("__p"), *keys).agg(F.hll_sketch_agg(value, bits).alias("__s"))
+    panes = panes.withColumn("__at", F.col("__p.start"))
+    windows = panes.groupBy(F.window("__at", size, slide).alias("__w"), *keys)
+    return _window_columns(windows.agg(F.hll_sketch_estimate(F.hll_union_agg("__s")).alias("n_about")))
+
+
 def sessions(
     df: DataFrame,
     keys: list[str],

@@ -48,6 +48,27 @@ def win_bitmap_distinct(spark, sf):
     return aggs.window_bitmap_distinct(load(spark, sf, "events"), "ts", "1 day", "user_id")
 
 
+_VISITOR = "concat('visitor-', cast((event_id * 7919) % 3000 as string))"
+
+
+@query(
+    "win_sketch_distinct",
+    """
+SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, count(DISTINCT visitor) AS n_distinct, true AS is_close FROM (
+  SELECT (event_id * 7919) % 3000 AS visitor, unnest([time_bucket(INTERVAL '1 day', ts) - to_days(i) FOR i IN [0, 1, 2, 3, 4, 5, 6]]) AS window_start
+  FROM events) GROUP BY ALL""",
+)
+def win_sketch_distinct(spark, sf):
+    """Sketches of daily panes merged into weeks, held against exact counts: within three standard errors."""
+    rows = load(spark, sf, "events").select("ts", F.expr(_VISITOR).alias("visitor"))
+    about = aggs.sliding_sketch_distinct(rows, "ts", "7 days", "1 day", [], "visitor")
+    exact = aggs.sliding(rows, "ts", "7 days", "1 day", [], [F.count_distinct("visitor").alias("n_distinct")])
+    off = F.abs(F.col("n_about") - F.col("n_distinct"))
+    return about.join(exact, ["window_start", "window_end"]).select(
+        "window_start", "window_end", "n_distinct", (off <= 3 * aggs.sketch_error() * F.col("n_distinct")).alias("is_close")
+    )
+
+
 @query("reduce_min_latest_ts", "SELECT user_id, min(value) AS min_value, max(ts) AS latest_ts FROM events GROUP BY 1")
 def reduce_min_latest_ts(spark, sf):
     return load(spark, sf, "events").groupBy("user_id").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.text import csv_fields
-from millrace.operators import cdc, cells, search
+from millrace.operators import cdc, cells, search, regions
 from millrace.operators.ordered import with_previous
 from millrace.plans import shared
 from millrace.plans.registry import query
@@ -235,6 +235,20 @@ def cell_range_scan(spark, sf):
     return cells.range_scan(shared.cells(spark, sf), "0000000010", "0000000100", "ord")
 
 
+@query(
+    "region_range_scan",
+    f"""
+WITH {shared.CELLS_CTE}
+SELECT row_key, string_agg(value, ',' ORDER BY qualifier) AS vals FROM latest
+WHERE family = 'ord' AND row_key >= '0000000010' AND row_key < '0000000100' GROUP BY row_key""",
+)
+def region_range_scan(spark, sf):
+    """The same scan over a table of sixteen regions; only those that overlap the range are opened."""
+    table = regions.Regions(spark, scratch_path(spark, "regions"), "row_key").write(shared.cells(spark, sf))
+    start, stop = "0000000010", "0000000100"
+    return cells.range_scan(table.scan(start, stop), start, stop, "ord")
+
+
 @query(
     "cell_full_scan",
     f"WITH {shared.CELLS_CTE} SELECT row_key, family, qualifier, value FROM latest",
