@@ -20,7 +20,9 @@ only where it declares noise. A text that a site repeats in the very path of its
 from them.
 
 A null or empty page has no text. A page whose url has no host forms a site with the others of that
-kind. Unclosed and stray tags are tolerated. Blocks keep their order and are never shortened.
+kind. Unclosed and stray tags are tolerated. Blocks keep their order and are never shortened. A path is made
+of tags and classes, without ids and digits, which number pages rather than parts of a site. Elements nested more
+than `DEEPEST` deep have the path of the last one that is not, so that a page of nothing but open tags costs no more than others.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import hashlib
 import html
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,6 +48,7 @@ LEAST = 0.2
 DECLARED = 0.25
 G = 0.9
 SALTS = 16
+DEEPEST = 256
 
 # Element names and words that name the parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -74,6 +78,7 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_DIGITS = re.compile(r"[\d>]+")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -94,6 +99,7 @@ class Page:
         self.nodes: list[Node] = []
         self.blocks: list[tuple[Node, str]] = []
         self._stack = [self.root]
+        self._tags: Counter[str] = Counter()  # of the elements on the stack
         self._open: list[str] = []
         for m in _TOKEN.finditer(source):
             if m["text"] is not None:
@@ -110,7 +116,8 @@ class Page:
             self._open = []
 
     def _end(self, depth: int) -> None:
-        del self._stack[depth:]
+        while len(self._stack) > depth:
+            self._tags[self._stack.pop().tag] -= 1
 
     def _element(self, tag: str, closes: bool, attrs: str) -> None:
         if tag == "br":
@@ -121,6 +128,8 @@ class Page:
             return  # inline markup
         self._flush()
         if closes:
+            if not self._tags[tag]:
+                return
             for depth in range(len(self._stack) - 1, 0, -1):
                 if self._stack[depth].tag == tag:
                     self._end(depth)
@@ -144,12 +153,14 @@ class Page:
             or "hidden" in found
             or "display:none" in found.get("style", "").replace(" ", "").lower()
         )
-        path = f"{top.path}>{tag}" + (f".{'.'.join(sorted(named.split()))}" if named else "")
+        classes = sorted(filter(None, {_DIGITS.sub("", c) for c in found.get("class", "").split()})) if found else ()
+        path = top.path if len(self._stack) > DEEPEST else ".".join([f"{top.path}>{tag}", *classes])
         node = Node(tag, path, noise, top.root or len(path) * main)
         top.children.append(tag)
         self.nodes.append(node)
         if tag not in VOID:
             self._stack.append(node)
+            self._tags[tag] += 1
 
     def content(self) -> list[tuple[Node, str]]:
         """The blocks that declare no noise; of a page that declares its main text, those in there."""
