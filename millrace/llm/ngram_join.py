@@ -50,6 +50,8 @@ PERCENT = 80
 LENGTH_CAP = 255
 #: Records of one list that one task takes together.
 BLOCK = 512
+#: Groups that share the records of one bucket's very long lists.
+PARTS = 16
 #: So many next records of its block does a record meet, round by round, before it meets them all.
 NEAR = (2, 8)
 
@@ -153,7 +155,7 @@ def _emit(size: int, bits: int):
         firsts = packed.runs_of(hashes[order])
         lengths = np.diff(np.append(firsts, len(order)))
         place = np.arange(len(order)) - np.repeat(firsts, lengths)
-        # of a list of full length within the chunk, the rest goes by document
+        # of a list of full length within the chunk the rest goes by document, past the bucket: its length is known
         send = np.ones(len(order), bool)
         send[order] = place < LENGTH_CAP
         for bucket, steps, runs, digests in packed.by_bucket(docs[send], hashes[send], bits):
@@ -175,15 +177,14 @@ def _list_lengths(bits: int):
 
     def count(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        rows, open_, docs, hashes = [], [], [], []
+        rows, open_ = [], []
         for doc, steps, runs, own in zip(*(table[c].to_pylist() for c in ("doc_id", "steps", "runs", "hashes")), strict=True):
             if doc is None:
                 open_.append((steps, runs, own))
             else:
-                hashes.append(packed.unpack(own, bucket, bits))
-                docs.append(np.full(len(hashes[-1]), doc, np.int64))
-        more_docs, more_hashes = packed.from_bucket(open_, bucket, bits)
-        docs, hashes = np.concatenate([*docs, more_docs]), np.concatenate([*hashes, more_hashes])
+                own = packed.unpack(own, bucket, bits)
+                rows.append((doc, own.tobytes(), np.full(len(own), LENGTH_CAP, np.uint8).tobytes()))
+        docs, hashes = packed.from_bucket(open_, bucket, bits)
         order = np.lexsort((docs, hashes))
         docs, hashes = docs[order], hashes[order]
         # every chunk that holds a copy has sent the class
@@ -212,6 +213,8 @@ def _records(percent: int):
             for doc, n, parts, class_id in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 hashes = np.frombuffer(b"".join(p["hashes"] for p in parts), np.uint64)
                 lengths = np.frombuffer(b"".join(p["lengths"] for p in parts), np.uint8)
+                hashes, once = np.unique(hashes, return_index=True)  # every chunk that holds a copy may have sent it
+                lengths = lengths[once]
                 alone = n - len(hashes)  # these come first and have no partner
                 short = n - _least_any(n, percent) + 1 - alone
                 if short > 0:
@@ -367,7 +370,9 @@ def _linked(texts: DataFrame, size: int, percent: int, all_pairs: bool = False)
     least = F.min(F.coalesce("doc_id", F.lit(NO_ID)))
     classes = members.where("n > 0").groupBy("key").agg(least.alias("class_id"), F.max("n").alias("n"))
 
-    known = texts.mapInArrow(_emit(size, bits), _SENT).groupBy("bucket").applyInArrow(_list_lengths(bits), _KNOWN)
+    part = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + F.pmod("doc_id", F.lit(PARTS)))
+    sent = texts.mapInArrow(_emit(size, bits), _SENT).withColumn("part", part)
+    known = sent.groupBy("bucket", "part").applyInArrow(_list_lengths(bits), _KNOWN)
     shared = known.groupBy("doc_id").agg(F.collect_list(F.struct("hashes", "lengths")).alias("parts"))
     records = shared.join(classes.withColumnRenamed("key", "doc_id"), "doc_id").select("doc_id", "n", "parts", "class_id")
     records = cut_lineage(records.mapInArrow(_records(percent), _RECORD))

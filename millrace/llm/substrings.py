@@ -6,7 +6,8 @@ documents get the hash back, hash their windows again, and merge the windows fou
 intervals, which are taken out.
 
 * A chunk of documents sends each hash with its smallest document of the chunk only; the others of
-  the chunk know at once that a smaller one exists. A hot passage costs one entry per chunk.
+  the chunk know at once that a smaller one exists. What they know goes by document, in groups of its own
+  (`PARTS` for each bucket), so of a hot passage its bucket gets one entry per chunk.
 * A null text has no words. A document without id removes nothing and keeps all its words. Rows
   that share an id count as one document and don't remove each other's words. Columns other than
   the id and the text play no part. An empty table gives an empty result.
@@ -29,6 +30,8 @@ from millrace.llm import packed, words
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 50
+#: Groups that share what is known of one bucket's hashes already.
+PARTS = 16
 
 _ROWS = "bucket int, doc_id bigint, steps binary, runs binary, hashes binary"
 
@@ -109,7 +112,8 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, bits: int | None = Non
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
     bits = packed.bucket_bits(texts) if bits is None else bits
     sent = texts.where("text is not null").mapInArrow(_emit(size, bits), _ROWS)
-    return sent.groupBy("bucket").applyInArrow(_settle(bits), "doc_id bigint, bucket int, hashes binary")
+    part = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + F.pmod("doc_id", F.lit(PARTS)))
+    return sent.withColumn("part", part).groupBy("bucket", "part").applyInArrow(_settle(bits), "doc_id bigint, bucket int, hashes binary")
 
 
 def _remove(size: int, bits: int):

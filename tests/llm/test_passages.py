@@ -4,6 +4,8 @@ import hashlib
 import itertools
 import re
 
+import pytest
+
 from millrace.llm import decontam, ngram_join, substrings
 
 from .conftest import SCHEMA, prose
@@ -123,8 +125,10 @@ def edited(n, i, places):
     return " ".join(own)
 
 
-def test_similar_documents_equal_brute_force(spark, odd_rows, monkeypatch):
+@pytest.mark.parametrize("cap", [255, 3])
+def test_similar_documents_equal_brute_force(spark, odd_rows, monkeypatch, cap):
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "LENGTH_CAP", cap)
     docs = [(100 + i, edited(150 + i % 7, i, i % 6)) for i in range(90)]
     docs += [(300 + i, prose(40, i % 5) + f" tail{i % 9}") for i in range(40)]
     docs += [(i, t) for i, t, *_ in odd_rows if i not in (None, 2, 8)]
