@@ -25,7 +25,8 @@ from millrace.session import cut_lineage
 HOT_ROWS = 5_000_000
 SLICES_PER_HOT_ROWS = 4  # slices are this much finer than needed, as quantiles are approximate
 MIN_GLOBAL_SLICES = 64
-PROBED_SLICES = 1024  # of a whole table, found in the pass that counts it; larger tables take another pass
+PROBED_SLICES = MIN_GLOBAL_SLICES  # found in the pass that counts a table; larger tables take another pass
+FEW_CUTS = 128  # looked up by nested conditions; more of them by a binary search
 MOST_SLICES = 4096  # of one key; more rows make larger slices
 
 _LEAST = -(1 << 63)
@@ -72,6 +73,9 @@ class HotKeys:
     def cut(self, df: DataFrame) -> DataFrame:
         """df with ``__slice`` (0 unless the key is hot) and ``__hot``."""
         places = df.withColumns(_place(df, self.order, self.tie))
+        if self.table is None and len(self.cuts) <= FEW_CUTS:
+            found = F.expr(f"case when __at is null then -1L else {_case_tree(self.cuts, 0, len(self.cuts))} end")
+            return places.withColumns({"__slice": found, "__hot": F.lit(True)}).drop("__at", "__tie")
         if self.table is None:
             at, ties = (F.lit(np.array([c[i] for c in self.cuts], np.int64)) for i in (0, 1))
             cuts = (lambda i: F.get(at, i), lambda i: F.get(ties, i))
@@ -179,6 +183,16 @@ def _quantiles(where: Column, slices: int) -> Column:
     return F.percentile_approx(where, shares, max(10_000, 20 * slices))
 
 
+def _case_tree(cuts: tuple[tuple[int, int], ...], low: int, high: int) -> str:
+    """How many of a few cuts lie at or below the place, as nested conditions."""
+    if low == high:
+        return f"{low}L"
+    middle = (low + high) // 2
+    at, tie = cuts[middle]
+    before = f"__at < {at}L" if tie == _LEAST else f"(__at < {at}L or (__at = {at}L and __tie < {tie}L))"
+    return f"case when {before} then {_case_tree(cuts, low, middle)} else {_case_tree(cuts, middle + 1, high)} end"
+
+
 def _with_slice(places: DataFrame, most: int, size: Column, cuts: tuple[Callable, Callable]) -> DataFrame:
     """``__slice``: how many of `size` <= `most` cuts lie at or below the place; -1 for a row without one.
 
