@@ -51,13 +51,33 @@ def test_contamination_equals_brute_force(spark, odd, odd_rows):
     assert clean.count() == sum(not e[-1] for e in expected)
 
 
-def test_contamination_in_blocks(spark, odd, monkeypatch):
+def test_contamination_with_full_bit_maps(spark, odd, monkeypatch):
+    """If the bit maps let every place pass and nothing is broadcast, the joins alone give the same rows."""
     frame, _ = items_frame(spark)
     whole = rows(decontam.contamination(odd, frame), "doc_id", "n_hit", "items_sha256")
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(decontam, "_among", lambda hashes, bit_map: hashes == hashes)
+    monkeypatch.setattr(decontam, "broadcast_if_small", lambda df: df)
     assert rows(decontam.contamination(odd, frame), "doc_id", "n_hit", "items_sha256") == whole
 
 
+def test_contamination_by_a_window_of_many_items(spark):
+    """A window that 400 items share, in 300 copies and 100 other texts; columns named as the operator's own."""
+    shared = prose(10, 4)
+    items = spark.createDataFrame([(i, shared if i % 2 else f"{shared} tail{i}", i, "x") for i in range(400)], "item_id int, text string, window int, key string")
+    texts = [(i, f"{prose(50, 2)} {shared} end") for i in range(300)] + [(300 + i, f"own{i} {shared} {shared}") for i in range(100)] + [(400, prose(9, 4))]
+    docs = spark.createDataFrame([(i, t, "d", 1, i) for i, t in texts], "doc_id int, text string, digest string, n_hit int, windows int")
+    ids = sorted(str(i) for i in range(400))
+    digest = hashlib.sha256(",".join(ids).encode()).hexdigest()
+    got = {r["doc_id"]: r for r in decontam.contamination(docs, items).collect()}
+    assert len(got) == 401
+    assert all((got[i]["n_hit"], got[i]["n_items"], got[i]["items_sha256"]) == (10, 400, digest) for i in range(300))
+    assert all((got[300 + i]["n_hit"], got[300 + i]["n_items"]) == (20, 400) for i in range(100))
+    assert (got[400]["n_hit"], got[400]["contaminated"]) == (0, False)
+    assert [tuple(r) for r in decontam.without_contaminated(docs, items).collect()] == [(400, prose(9, 4), "d", 1, 400)]
+    spans = decontam.find_passages(docs.where("doc_id in (0, 300)"), items).select("doc_id", "spans").collect()
+    assert {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in spans} == {0: [(50, 60)], 300: [(1, 21)]}
+
+
 def test_empty_tables(spark, none, odd):
     no_items = spark.createDataFrame([], "item_id bigint, text string")
     assert decontam.contamination(none, no_items).count() == 0
