@@ -13,7 +13,10 @@ Rows travel as rows and not as pandas frames, which cannot tell a null reading f
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -29,8 +32,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LATE = "late_seq bigint, late_ts_us bigint"
 
 
-#: How much time the waiting rows of one state entry span.
+#: How much time the waiting rows of one state entry span, if they are more than FEW.
 BUCKET_SECONDS = 6 * 3600
+#: So few rows share one state entry, whatever time they span.
+FEW = 60
+#: A key's rows are folded in rounds once they are so many.
+MANY = 100_000
+
+_AT = itemgetter(0)
 
 
 def apply_state(df: DataFrame, key: str, processor: InOrder, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
@@ -38,8 +47,8 @@ def apply_state(df: DataFrame, key: str, processor: InOrder, bucket_seconds: int
 
     The stream must have a watermark. Inside a processor every instant is a number of microseconds, in
     rows and in state alike; the watermarked column itself stays outside, as Spark would drop late rows.
-    A timer reads and rewrites the rows of one bucket of time, so buckets should be a small part of the
-    watermark's delay.
+    A timer reads and rewrites the rows of the buckets of time that the watermark has reached, so buckets
+    should be a small part of the watermark's delay.
     """
     use_rocksdb_state(df.sparkSession)
     processor.width = bucket_seconds * 1_000_000
@@ -72,8 +81,9 @@ def late(emitted: DataFrame, key: str) -> DataFrame:
 class InOrder(StatefulProcessor):
     """Holds rows until the watermark has passed them, then hands them to `fold` in order.
 
-    Waiting rows stand in a map by bucket of time. Each bucket has a timer at its first row, and the
-    processor may have one more, so a firing timer touches the rows of its own bucket and no others.
+    Waiting rows stand in a map of entries. An entry of more than `FEW` rows holds rows of one bucket of time,
+    so a timer rewrites no others; the rows of buckets with fewer share entries, as each call of the state
+    costs more than its rows. A key has one timer, at the first of its rows or of what the processor waits for.
     """
 
     INPUT = ("seq", "at", "value")
@@ -89,76 +99,101 @@ class InOrder(StatefulProcessor):
         raise NotImplementedError
 
     def due(self) -> int | None:
-        """When the processor wants to be called without any row."""
+        """When the processor wants to be called without any row; asked for when `fold` has ended."""
         return None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = ", ".join(f"{f.split()[0]}: {f.split()[1]}" for f in self.WAITING.split(", "))
-        self.waiting = handle.getMapState("waiting", "bucket long", f"rows array<struct<{fields}>>")
-        #: how far the key has been folded; the processor's own timer; for each bucket with rows, its timer
-        self.clock = handle.getValueState("clock", "done long, due long, buckets array<long>, timers array<long>")
+        # an array for each column: structs would be converted one by one
+        columns = ", ".join(f"{f.split()[0]} array<{f.split()[1]}>" for f in self.WAITING.split(", "))
+        self.waiting = handle.getMapState("waiting", "entry long", columns)
+        #: how far the key has been folded; the processor's own time; for each entry its first time and number of rows
+        self.clock = handle.getValueState("clock", "done long, due long, entries array<long>, firsts array<long>, sizes array<long>")
         self.names = ["key", *(c.split()[0] for c in f"{self.OUTPUT}, {_LATE}".split(", "))]
         self.open(handle)
 
     def row(self, key, **values) -> Row:
         return Row(**{name: values.get(name) for name in self.names} | {"key": key})
 
-    def _load(self) -> tuple[int | None, int | None, dict[int, int]]:
-        done, due, buckets, timers = self.clock.get() if self.clock.exists() else (None, None, [], [])
-        return done, due, dict(zip(buckets, timers, strict=True))
+    def _load(self) -> tuple[int | None, int | None, dict[int, tuple[int, int]]]:
+        done, due, entries, firsts, sizes = self.clock.get() or (None, None, [], [], [])
+        return done, due, dict(zip(entries, zip(firsts, sizes, strict=True), strict=True))
+
+    def _rows(self, entry: int) -> list[tuple]:
+        return list(zip(*self.waiting.getValue((entry,)), strict=True))
 
-    def _rows(self, bucket: int) -> list[tuple]:
-        return [tuple(r) for r in self.waiting.getValue((bucket,))[0]]
+    def _keep(self, rows: list[tuple], entries: dict[int, tuple[int, int]]) -> None:
+        few: list[tuple] = []
+        parts: list[list[tuple]] = []
+        for _, own in groupby(sorted(rows, key=_AT), lambda r: r[0] // self.width):
+            bucket = list(own)
+            if len(bucket) < FEW:
+                few += bucket
+            else:
+                parts.append(bucket)
+        open_ = next((e for e, (_, size) in entries.items() if size + len(few) <= FEW), None) if few else None
+        if open_ is not None:
+            self._put(open_, self._rows(open_) + few, entries)
+        else:
+            parts += [few[i : i + FEW] for i in range(0, len(few), FEW)]
+        for part in parts:
+            self._put(max(entries, default=-1) + 1, part, entries)
+
+    def _put(self, entry: int, rows: list[tuple], entries: dict[int, tuple[int, int]]) -> None:
+        self.waiting.updateValue((entry,), tuple(map(list, zip(*rows, strict=True))))
+        entries[entry] = min(r[0] for r in rows), len(rows)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        done, due, heads = self._load()
-        fresh: dict[int, list[tuple]] = {}
+        done, due, entries = self._load()
+        fresh: list[tuple] = []
         for r in rows:
             if r["at"] is None or (done is not None and r["at"] < done):
                 yield self.row(key[0], late_seq=r["seq"], late_ts_us=r["at"])
             else:
-                fresh.setdefault(r["at"] // self.width, []).append(tuple(r[c] for c in ("at", "seq", *self.INPUT[2:])))
+                fresh.append(tuple(r[c] for c in ("at", "seq", *self.INPUT[2:])))
         if fresh:
-            before = self._timers(due, heads)
-            for bucket, own in fresh.items():
-                held = self._rows(bucket) if bucket in heads else []
-                self.waiting.updateValue((bucket,), (held + own,))
-                first = min(r[0] for r in own) // 1000 + 1
-                heads[bucket] = min(first, heads.get(bucket, first))
-            self._save(done, due, heads, before)
+            before = self._timer(due, entries)
+            self._keep(fresh, entries)
+            self._save(done, due, entries, before)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        fired = expiredTimerInfo.getExpiryTimeInMs()
-        _, due, heads = self._load()
-        before = self._timers(due, heads) - {fired}  # a fired timer is gone
-        ready: list[tuple] = []
-        for bucket in sorted(b for b, timer in heads.items() if timer <= fired):
-            rows = self._rows(bucket)
-            ready += [r for r in rows if r[0] < passed]
-            left = [r for r in rows if r[0] >= passed]
-            del heads[bucket]
-            if left:
-                self.waiting.updateValue((bucket,), (left,))
-                heads[bucket] = min(r[0] for r in left) // 1000 + 1
-            else:
-                self.waiting.removeKey((bucket,))
-        # buckets whose own timers are still to fire hold the next rows
-        until = min([passed, *((timer - 1) * 1000 for timer in heads.values())])
-        yield from self.fold(key[0], sorted(ready, key=lambda r: r[:2]), until)
-        self._save(passed, self.due(), heads, before)
-
-    def _timers(self, due: int | None, heads: dict[int, int]) -> set[int]:
-        return {*heads.values(), *([] if due is None else [-(-due // 1000)])}
-
-    def _save(self, done: int | None, due: int | None, heads: dict[int, int], before: set[int]) -> None:
-        after = self._timers(due, heads)
+        _, due, entries = self._load()
+        before = self._timer(due, entries) - {expiredTimerInfo.getExpiryTimeInMs()}  # a fired timer is gone
+        rounds: list[list[int]] = [[]]
+        size = 0
+        for entry in sorted((e for e, (first, _) in entries.items() if first < passed), key=lambda e: entries[e]):
+            if size >= MANY:
+                rounds.append([])
+                size = 0
+            rounds[-1].append(entry)
+            size += entries[entry][1]
+        until = [*(entries[own[0]][0] for own in rounds[1:]), passed]
+        held: list[tuple] = []
+        for own, end in zip(rounds, until, strict=True):
+            for entry in own:
+                held += self._rows(entry)
+                self.waiting.removeKey((entry,))
+                del entries[entry]
+            held.sort(key=lambda r: r[:2])
+            ready = bisect_left(held, end, key=_AT)
+            yield from self.fold(key[0], held[:ready], end)
+            held = held[ready:]
+        self._keep(held, entries)
+        self._save(passed, self.due(), entries, before)
+
+    def _timer(self, due: int | None, entries: dict[int, tuple[int, int]]) -> set[int]:
+        """The key's timer in milliseconds, if it has one."""
+        times = [first // 1000 + 1 for first, _ in entries.values()] + ([] if due is None else [-(-due // 1000)])
+        return {min(times)} if times else set()
+
+    def _save(self, done: int | None, due: int | None, entries: dict[int, tuple[int, int]], before: set[int]) -> None:
+        after = self._timer(due, entries)
         for timer in before - after:
             self.handle.deleteTimer(timer)
         for timer in after - before:
             self.handle.registerTimer(timer)
-        self.clock.update((done, due, list(heads), list(heads.values())))
+        self.clock.update((done, due, list(entries), [first for first, _ in entries.values()], [size for _, size in entries.values()]))
 
     def close(self) -> None:
         pass
@@ -194,7 +229,7 @@ class RunningCount(InOrder):
         self.count = handle.getValueState("count", "n long")
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
-        n = self.count.get()[0] if self.count.exists() else 0
+        (n,) = self.count.get() or (0,)
         for at, seq, _ in rows:
             n += 1
             yield self.row(key, seq=seq, ts_us=at, running=n)
@@ -216,7 +251,7 @@ class JumpAlert(InOrder):
         self.last = handle.getValueState("last", "v double")
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
-        previous = self.last.get()[0] if self.last.exists() else None
+        (previous,) = self.last.get() or (None,)
         for _, seq, value in rows:
             if previous is not None and value is not None and abs(value - previous) > self.threshold:
                 yield self.row(key, seq=seq, previous=previous, current=value)
@@ -237,7 +272,7 @@ class RateBlacklist(InOrder):
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
         # rows come in order, so a day is over when the next one begins
-        today, n = self.today.get() if self.today.exists() else (None, 0)
+        today, n = self.today.get() or (None, 0)
         for at, seq, _ in rows:
             day = (at + self.offset) // 86_400_000_000
             today, n = day, n + 1 if day == today else 1
@@ -280,7 +315,7 @@ class Retract(InOrder):
         self.shown = handle.getValueState("shown", "kind string")
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
-        before = shown = self.shown.get()[0] if self.shown.exists() else None
+        before = shown = (self.shown.get() or (None,))[0]
         for at, seq, kind in rows:
             for flag, value in (("-", shown), ("+", kind)):
                 if shown != kind and value is not None:
@@ -307,7 +342,7 @@ class CountWindowAvg(InOrder):
         self.group = handle.getValueState("group", "window_no long, rows long, total long")
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
-        window_no, held, total = self.group.get() if self.group.exists() else (0, 0, None)
+        window_no, held, total = self.group.get() or (0, 0, None)
         for _, _, value in rows:
             held += 1
             if value is not None:
@@ -336,10 +371,10 @@ class SustainedRise(InOrder):
         self.last = handle.getValueState("last", "v double, pending long")
 
     def due(self) -> int | None:
-        return self.last.get()[1] if self.last.exists() else None
+        return self.next
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
-        previous, pending = self.last.get() if self.last.exists() else (None, None)
+        previous, pending = self.last.get() or (None, None)
         for at, _, value in rows:
             if pending is not None and pending <= at:
                 yield self.row(key, alert_at_us=pending)
@@ -354,6 +389,7 @@ class SustainedRise(InOrder):
         if pending is not None and pending <= passed:
             yield self.row(key, alert_at_us=pending)
             pending = None
+        self.next = pending
         self.last.update((previous, pending))
 
 
@@ -369,13 +405,10 @@ class Inactivity(InOrder):
         self.last = handle.getValueState("last", "at long, alerted boolean")
 
     def due(self) -> int | None:
-        if not self.last.exists():
-            return None
-        at, alerted = self.last.get()
-        return None if at is None or alerted else at + self.wait
+        return self.next
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
-        last, alerted = self.last.get() if self.last.exists() else (None, False)
+        last, alerted = self.last.get() or (None, False)
         for at, _, _ in rows:
             if last is not None and not alerted and at - last > self.wait:
                 yield self.row(key, last_ts_us=last, alert_at_us=last + self.wait)
@@ -383,6 +416,7 @@ class Inactivity(InOrder):
         if last is not None and not alerted and last + self.wait <= passed:
             alerted = True
             yield self.row(key, last_ts_us=last, alert_at_us=last + self.wait)
+        self.next = None if last is None or alerted else last + self.wait
         self.last.update((last, alerted))
 
 
@@ -404,7 +438,7 @@ class AsOfJoin(InOrder):
         self.version = handle.getValueState("version", "at long, value double")
 
     def fold(self, key, rows, passed) -> Iterator[Row]:
-        since, held = self.version.get() if self.version.exists() else (None, None)
+        since, held = self.version.get() or (None, None)
         for at, seq, value, side in sorted(rows, key=lambda r: (r[0], r[3], r[1])):
             if side == 0:
                 since, held = at, value

@@ -144,3 +144,47 @@ def test_signed_rows_of_a_key():
     assert signed == [("+", "a", 1), ("-", "a", 3), ("+", "b", 3), ("-", "b", 4), ("+", "c", 6)]
     key.feed([(2 * HOUR, 7, None)], 3 * HOUR)
     assert (key.out[-1]["flag"], key.out[-1]["kind"]) == ("-", "c") and not key.handle.states["shown"].exists()
+
+
+class Counted:
+    """Counts the calls of each method of a state."""
+
+    def __init__(self, state, calls):
+        self.state, self.calls = state, calls
+
+    def __getattr__(self, name):
+        self.calls.append(name)
+        return getattr(self.state, name)
+
+
+@pytest.mark.parametrize("make", [state.RunningCount, state.MapCounts, state.AsOfJoin, lambda: state.SustainedRise(4000), lambda: state.Inactivity(5000), lambda: state.CountWindowAvg(2)])
+def test_a_key_of_few_rows_costs_few_calls(make):
+    """Twenty buckets of three rows, folded at once: calls of the state do not grow with the buckets."""
+    key, calls = Key(make(), HOUR), []
+    key.processor.waiting, key.processor.clock = Counted(key.processor.waiting, calls), Counted(key.processor.clock, calls)
+    register = key.handle.registerTimer
+    key.handle.registerTimer = lambda at: (calls.append("registerTimer"), register(at))
+    rest = () if len(key.processor.INPUT) == 3 else (1,)
+    rows = [(i * HOUR // 3, i, "a" if isinstance(key.processor, state.MapCounts) else float(i), *rest) for i in range(60)]
+    random.Random(2).shuffle(rows)
+    key.feed(rows, 0)
+    key.feed([], 100 * HOUR)
+    assert len(key.touched) <= 2 and len(calls) <= 13 and not key.handle.states["waiting"].held
+
+
+@pytest.mark.parametrize("few,many", [(60, 100_000), (3, 7), (1, 1)])
+def test_rows_in_many_batches(monkeypatch, few, many):
+    """Rows that come one by one for the same bucket share entries, and are folded in order in any number of rounds."""
+    monkeypatch.setattr(state, "FEW", few)
+    monkeypatch.setattr(state, "MANY", many)
+    key = Key(state.RunningCount(), 10 * HOUR)
+    rows = [(i // 2 * HOUR // 4, i, 0.0) for i in range(200)]
+    random.Random(3).shuffle(rows)
+    for at in range(0, 100):
+        key.feed(rows[at : at + 1], 0)
+    assert len(key.handle.states["waiting"].held) <= 2 * 100 / few + 1
+    key.feed(rows[100:], 13 * HOUR)
+    assert {r["seq"] for r in key.out} == set(range(104))  # two rows each quarter of an hour before the 13th hour
+    key.feed([], 100 * HOUR)
+    assert [(r["seq"], r["running"]) for r in key.out] == [(i, i + 1) for i in range(200)]
+    assert not key.handle.timers and not key.handle.states["waiting"].held
