@@ -45,3 +45,23 @@ def test_inserts_that_share_a_source_and_odd_rows(spark):
     expected = [("m", 0, "s", "a"), ("m", 0, "x", "a"), ("m", 0, "s", "b"), ("m", 0, "y", "b"), ("m", 1, "z", "c"), ("m", 0, "w", "d"), (None, 0, "v", "n")]
     assert got == sorted(expected, key=repr)
     assert scopes.scoped_edges(df.where("false")).count() == 0
+
+
+def test_only_edges_are_shuffled(spark):
+    """Tokens and statements stay where they are read, whatever the number of tokens."""
+    rows = [(str(i), f"insert into o{i} with t as (select * from a) select * from t join (b join c{i} on f(x) = 1)") for i in range(50)]
+    edges = scopes.scoped_edges(spark.createDataFrame(rows, "script_id string, sql string"))
+    plan = edges._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan and "Join" not in plan
+    got = {tuple(r) for r in edges.collect()}
+    assert got == {(str(i), 0, source, f"o{i}") for i in range(50) for source in ("a", "b", f"c{i}")}
+
+
+def test_statements_of_one_batch_stay_apart(spark):
+    """Brackets, clauses and names that one statement leaves open mean nothing to the next; blank ones have no tokens."""
+    texts = list(CASES) + ["insert into o select * from ((", "a, b", "with recursive t as (", "t as (select 1) insert into o select * from t", " ; ", "into o select * from a"]
+    df = spark.createDataFrame([(str(i), sql) for i, sql in enumerate(texts)], "script_id string, sql string")
+    together = {tuple(r) for r in scopes.scoped_edges(df.coalesce(1)).collect()}
+    apart = {tuple(r) for r in scopes.scoped_edges(df.repartition(len(texts), "script_id")).collect()}
+    assert together == apart
+    assert {r[2] for r in together if r[0] == str(len(CASES) + 3)} == {"t"}
