@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import tokens
+from millrace.functions.text import computed_once, tokens
 from millrace.operators.joins import broadcast_if_small
 from millrace.session import cut_lineage
 
@@ -55,7 +55,8 @@ class Index:
 
     def build(self, docs: DataFrame, field: str, fuzzy: bool = False) -> Index:
         """Write the index; a document without tokens is not in it."""
-        cut = docs.select(self.id, tokens(F.col(field)).alias("t")).where(F.size("t") > 0)
+        # cutting a text costs more than all else done with it, so texts are cut once and their tokens kept
+        cut = cut_lineage(computed_once(docs.select(self.id, field), tokens(F.col(field)), "t").select(self.id, "t").where(F.size("t") > 0))
         each = cut.select(self.id, F.size("t").alias("length"), F.explode("t").alias("token"))
         self._write(each.groupBy("token", self.id, "length").agg(F.count(F.lit(1)).alias("freq")), "postings", "token")
         sums = cut.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("t")).alias("length")).select("docs", F.coalesce("length", F.lit(0)).alias("length"))

@@ -83,3 +83,22 @@ def test_fuzzy_terms_equal_brute_force(spark, monkeypatch):
             assert sorted(r["id"] for r in built.documents_like(term, d).collect()) == sorted(i for i, text in docs if found & set(text.split()))
     monkeypatch.setattr(inverted, "MOST_TOKENS", 1)
     assert built.documents_like("abca", 2).count() > 1
+
+
+def test_texts_are_cut_once(spark, monkeypatch):
+    """However often its parts are used, an index cuts each text into tokens once; texts without any leave no trace."""
+    cuts = spark.sparkContext.accumulator(0)
+
+    def counted(c):
+        def cut(text):
+            cuts.add(1)
+            return (text or "").split()
+
+        return F.udf(cut, "array<string>")(c)
+
+    monkeypatch.setattr(inverted, "tokens", counted)
+    docs = spark.createDataFrame([(i, f"a b{i} a") for i in range(30)] + [(40, ""), (41, None)], "id bigint, text string")
+    built = Index(spark, scratch_path(spark, "t-once"), "id", 4).build(docs, "text")
+    assert cuts.value == 32 and built.totals() == (30, 3.0)
+    rows = built._of("postings", "token", ["a"]).select("id", "freq", "length")
+    assert {tuple(r) for r in rows.collect()} == {(i, 2, 3) for i in range(30)}
